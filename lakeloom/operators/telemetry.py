@@ -92,7 +92,7 @@ def daily_capacity(history: DataFrame) -> DataFrame:
         "total_duration_ms", "waiting_ms")
     base = rows.groupBy(*keys).agg(*_load(F.round(F.avg("waiting_ms"), 0).alias("avg_queue_ms")))
     p95 = exact_percentiles(rows, keys, "total_duration_ms", {"p95": 0.95})
-    return base.join(p95.select(*keys, F.round("p95", 0).alias("p95_ms")), keys)
+    return base.join(p95.select(*keys, F.round("p95", 2).alias("p95_ms")), keys)
 
 
 def hourly_use(history: DataFrame) -> DataFrame:

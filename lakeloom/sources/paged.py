@@ -11,11 +11,16 @@ from __future__ import annotations
 import base64
 import math
 import pickle
+import sys
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StructType
 
+# Workers receive this module with the job and need no installation.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 class TokenExpired(Exception):
     """The server refused the token."""
@@ -74,7 +79,7 @@ class PagedSource(DataSource):
 def read_pages(spark: SparkSession, fetcher, schema: StructType | str, page_size: int = 1000, parallel: int = 64) -> DataFrame:
     """All records of a paged source."""
     spark.dataSource.register(PagedSource)
-    packed = base64.b64encode(pickle.dumps(fetcher)).decode()
+    packed = base64.b64encode(cloudpickle.dumps(fetcher)).decode()
     return (spark.read.format("paged").schema(schema).option("fetcher", packed)
             .option("page_size", page_size).option("parallel", parallel).load())
 

@@ -10,17 +10,20 @@ from __future__ import annotations
 import datetime as dt
 import io
 import re
+import sys
 import zipfile
 from collections.abc import Iterator
 from xml.etree import ElementTree as ET
 from xml.sax.saxutils import escape
 
 import pandas as pd
-from pyspark import TaskContext
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (BooleanType, DateType, NumericType, StringType, StructType, TimestampNTZType,
-                               TimestampType)
+from pyspark.sql.types import BooleanType, DateType, NumericType, StructType, TimestampNTZType, TimestampType
+
+# Workers receive this module with the job and need no installation.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 MAX_ROWS = 1_048_575  # below the header row
 # Name spaces of the workbook format and its first day.
