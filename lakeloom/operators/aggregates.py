@@ -40,14 +40,15 @@ def unpivot_counts(wide: DataFrame, key: str, name: str, value: str) -> DataFram
 
 def summary(df: DataFrame, keys: list[str], col: str, digits: int = 4) -> DataFrame:
     """n, mean, sample deviation, min, quartiles and max over the whole table."""
-    if not keys:
-        return summary(df.select(F.lit(0).alias("_all"), col), ["_all"], col, digits).drop("_all")
     probs = {"q1": 0.25, "median": 0.5, "q3": 0.75}
     base = df.groupBy(*keys).agg(
         F.count(col).alias("n"), F.round(F.avg(col), digits).alias("mean"),
         F.round(F.stddev_samp(col), digits).alias("sd"),
         F.min(col).alias("min"), F.max(col).alias("max"))
     quarts = exact_percentiles(df, keys, col, probs)
+    if not keys:
+        one = base.withColumn("_q", quarts.select(F.struct(*probs)).scalar())
+        return one.select("*", *[F.round(F.col(f"_q.{p}"), digits).alias(p) for p in probs]).drop("_q")
     return base.join(quarts.select(*keys, *[F.round(p, digits).alias(p) for p in probs]), keys, "left")
 
 

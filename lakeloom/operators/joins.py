@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeloom.operators.sizing import checked_broadcast, fits_broadcast
+from lakeloom.operators.sizing import attach, checked_broadcast, fits_broadcast
 
 
 def star(fact: DataFrame, dims: list[tuple[DataFrame, str]]) -> DataFrame:
@@ -76,8 +76,7 @@ def union_by_priority(sources: list[DataFrame], key: str) -> DataFrame:
 
 def aggregate_and_join_back(df: DataFrame, keys: list[str], **measures) -> DataFrame:
     """Group measures on every row, for aggregates that windows refuse."""
-    totals = df.groupBy(*keys).agg(*[c.alias(n) for n, c in measures.items()])
-    return df.join(totals, keys)
+    return attach(df, df.groupBy(*keys).agg(*[c.alias(n) for n, c in measures.items()]), keys)
 
 
 def overlapping_windows(windows: DataFrame, key: str, start: str, end: str) -> DataFrame:

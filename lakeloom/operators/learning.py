@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from lakeloom.functions.dates import age_by_year, parse_mixed_date
 from lakeloom.operators.ordered import sequence_number
+from lakeloom.operators.sizing import attach
+from lakeloom.session import durable
 
 
 def training_set(fact: DataFrame, students: DataFrame, terms: DataFrame, as_of: str) -> DataFrame:
@@ -29,10 +31,11 @@ def stratified_split(df: DataFrame, label: str, key: list[str], train: float = 0
     The order comes from a hash of the row key, so the split is the same on
     every run and cluster; numbering is safe for one dominant label.
     """
+    df = durable(df, "split")
     hashed = df.withColumn("_h", F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in key])))
     numbered = sequence_number(hashed, [label], [F.col("_h"), *[F.col(k) for k in key]], "_seq")
     sizes = df.groupBy(label).agg(F.count("*").alias("_size"))
-    return (numbered.join(sizes, label)
+    return (attach(numbered, sizes, [label])
             .withColumn("is_train", F.col("_seq") <= F.floor(F.col("_size") * F.lit(train)))
             .drop("_h", "_seq", "_size"))
 

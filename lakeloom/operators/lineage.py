@@ -27,18 +27,14 @@ def reachable(links: DataFrame, node: str, direction: str = "downstream") -> Dat
     src, dst = ("source_table", "target_table") if direction == "downstream" else ("target_table", "source_table")
     hops = durable(links.select(F.col(src).alias("node"), F.col(dst).alias("next")).distinct(), "edges")
     start = spark.range(1).select(F.lit(node).alias("node"), F.lit(0).alias("depth"))
-    rounds, frontier = [start], start
+    found, frontier = start, start
     for depth in count(1):
         step = hops.join(frontier.select("node"), "node", "left_semi").select(F.col("next").alias("node")).distinct()
-        for seen in rounds:
-            step = step.join(seen.select("node"), "node", "left_anti")
+        step = step.join(found.select("node"), "node", "left_anti")
         frontier = durable(step.withColumn("depth", F.lit(depth)), "frontier")
         if frontier.isEmpty():
             break
-        rounds.append(frontier)
-    found = rounds[0]
-    for part in rounds[1:]:
-        found = found.unionByName(part)
+        found = found.unionByName(frontier)
     return found.filter(F.col("depth") > 0).withColumnRenamed("node", "table_name")
 
 

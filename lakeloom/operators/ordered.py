@@ -17,14 +17,25 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeloom.operators.sizing import HOT_ROWS, hottest_group
+from lakeloom.operators.sizing import HOT_ROWS, attach, group_sizes
 from lakeloom.session import durable
 
 CHUNK = "_chunk"
 
 
-def _chunks(df: DataFrame, keys: list[str], order: list[Column], parts: int | None) -> DataFrame:
-    n = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def _chunks(
+    df: DataFrame, keys: list[str], order: list[Column | str], hot_rows: int | None,
+) -> DataFrame | None:
+    """Range-sorted chunks of at most about ``hot_rows`` rows, or None when no group needs them.
+
+    ``hot_rows`` None says that the caller knows the groups to be small.
+    """
+    if hot_rows is None:
+        return None
+    hottest, total = group_sizes(df, keys)
+    if hottest <= hot_rows:
+        return None
+    n = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // max(hot_rows, 1_000_000))
     ranged = df.repartitionByRange(n, *[F.col(k) for k in keys], *order)
     return durable(ranged.withColumn(CHUNK, F.spark_partition_id()), "chunks")
 
@@ -38,16 +49,16 @@ def _with_carry(rows: DataFrame, carry: DataFrame, keys: list[str], names: list[
 
 
 def running_total(
-    df: DataFrame, keys: list[str], order: list[Column], value: Column, out: str,
-    hot_rows: int = HOT_ROWS, parts: int | None = None,
+    df: DataFrame, keys: list[str], order: list[Column | str], value: Column, out: str,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Sum of ``value`` from the first row of the key up to the current row."""
     df = df.withColumn("_v", value)
     frame = (Window.unboundedPreceding, Window.currentRow)
-    if hottest_group(df, keys) <= hot_rows:
+    rows = _chunks(df, keys, order, hot_rows)
+    if rows is None:
         w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(*frame)
         return df.withColumn(out, F.sum("_v").over(w)).drop("_v")
-    rows = _chunks(df, keys, order, parts)
     local = rows.withColumn("_run", F.sum("_v").over(
         Window.partitionBy(CHUNK, *keys).orderBy(*order).rowsBetween(*frame)))
     before = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
@@ -59,21 +70,21 @@ def running_total(
     return joined.withColumn(out, total).drop("_v", "_run", "_carry", CHUNK)
 
 
-def sequence_number(df: DataFrame, keys: list[str], order: list[Column], out: str, **kw) -> DataFrame:
+def sequence_number(df: DataFrame, keys: list[str], order: list[Column | str], out: str, **kw) -> DataFrame:
     """1, 2, 3, ... within each key."""
     return running_total(df, keys, order, F.lit(1).cast("long"), out, **kw)
 
 
 def rolling_mean(
-    df: DataFrame, keys: list[str], order: list[Column], value: str, rows: int, out: str,
-    digits: int = 3, hot_rows: int = HOT_ROWS, parts: int | None = None,
+    df: DataFrame, keys: list[str], order: list[Column | str], value: str, rows: int, out: str,
+    digits: int = 3, hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Mean of the current and up to ``rows`` - 1 preceding rows, NULLs skipped."""
     back = rows - 1
-    if hottest_group(df, keys) <= hot_rows:
+    chunked = _chunks(df, keys, order, hot_rows)
+    if chunked is None:
         w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(-back, Window.currentRow)
         return df.withColumn(out, F.round(F.avg(value).over(w), digits))
-    chunked = _chunks(df, keys, order, parts)
     here = Window.partitionBy(CHUNK, *keys).orderBy(*order)
     size = Window.partitionBy(CHUNK, *keys)
     numbered = chunked.withColumn("_rn", F.row_number().over(here))
@@ -107,14 +118,10 @@ def rank_in_group(
     Ranks depend only on how many rows hold each value, so rows are counted per
     (key, value) before any ordering and the ranks are joined back.
     """
-    counts = df.groupBy(*keys, value).agg(F.count("*").alias("_n"))
+    counts = durable(df.groupBy(*keys, value).agg(F.count("*").alias("_n")), "counts")
     order = [F.col(value).desc_nulls_last()]
     ranked = running_total(counts, keys, order, F.col("_n"), "_upto", hot_rows=hot_rows)
-    on = [*keys, value]
-    right = ranked.select(*[F.col(c).alias(f"_k_{c}") for c in on],
-                          (F.col("_upto") - F.col("_n") + 1).alias(out))
-    same = reduce(lambda a, b: a & b, [df[c].eqNullSafe(right[f"_k_{c}"]) for c in on])
-    return df.join(right, same).drop(*[f"_k_{c}" for c in on])
+    return attach(df, ranked.select(*keys, value, (F.col("_upto") - F.col("_n") + 1).alias(out)), [*keys, value])
 
 
 def exact_percentiles(
@@ -129,13 +136,11 @@ def exact_percentiles(
     if not keys:
         whole = df.select(F.lit(0).alias("_all"), value)
         return exact_percentiles(whole, ["_all"], value, probs, hot_rows).drop("_all")
-    counts = (df.filter(F.col(value).isNotNull()).groupBy(*keys, value)
-              .agg(F.count("*").alias("_n")))
+    counts = durable(df.filter(F.col(value).isNotNull()).groupBy(*keys, value)
+                     .agg(F.count("*").alias("_n")), "counts")
     upto = running_total(counts, keys, [F.col(value).asc()], F.col("_n"), "_upto", hot_rows=hot_rows)
     totals = counts.groupBy(*keys).agg((F.sum("_n") - 1).alias("_last"))
-    right = totals.select(*[F.col(c).alias(f"_k_{c}") for c in keys], "_last")
-    same = reduce(lambda a, b: a & b, [upto[c].eqNullSafe(right[f"_k_{c}"]) for c in keys])
-    placed = upto.join(right, same).drop(*[f"_k_{c}" for c in keys])
+    placed = attach(upto, totals, keys)
     picks = []
     for name, p in probs.items():
         at = F.col("_last") * F.lit(float(p))
@@ -151,7 +156,7 @@ def exact_percentiles(
 
 
 def nest_rows(
-    df: DataFrame, keys: list[str], order: list[Column], fields: list[str], out: str,
+    df: DataFrame, keys: list[str], order: list[Column | str], fields: list[str], out: str,
     max_items: int = 100_000, **kw,
 ) -> DataFrame:
     """Rows as array<struct> per key in order, in parts of at most ``max_items``.
@@ -176,8 +181,8 @@ def list_values(
     Repeats travel as counts: only (key, value, count) is shuffled, and each
     part is unfolded from the runs that fall into it.
     """
-    counts = (df.filter(F.col(value).isNotNull()).groupBy(*keys, value)
-              .agg(F.count("*").alias("_n")))
+    counts = durable(df.filter(F.col(value).isNotNull()).groupBy(*keys, value)
+                     .agg(F.count("*").alias("_n")), "counts")
     runs = running_total(counts, keys, [F.col(value).asc()], F.col("_n"), "_end", hot_rows=hot_rows)
     start = F.col("_end") - F.col("_n")
     size = F.lit(max_items)

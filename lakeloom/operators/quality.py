@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from lakeloom.operators.ordered import running_total
+from lakeloom.session import durable
 
 
 def expect_or_drop(df: DataFrame, name: str, predicate: Column) -> tuple[DataFrame, Observation]:
@@ -106,7 +107,8 @@ def numeric_drift(base: DataFrame, other: DataFrame, col: str, limit: float) ->
     """Two-sample Kolmogorov-Smirnov distance from exact value counts (Q09)."""
     tagged = base.select(col, F.lit(1).alias("a"), F.lit(0).alias("b")).unionByName(
         other.select(col, F.lit(0).alias("a"), F.lit(1).alias("b"))).filter(F.col(col).isNotNull())
-    counts = tagged.groupBy(F.lit(0).alias("_all"), col).agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+    counts = durable(tagged.groupBy(F.lit(0).alias("_all"), col)
+                     .agg(F.sum("a").alias("a"), F.sum("b").alias("b")), "counts")
     order = [F.col(col).asc()]
     cum = running_total(counts, ["_all"], order, F.col("a"), "_ca")
     cum = running_total(cum, ["_all"], order, F.col("b"), "_cb")

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakeloom.session import durable
+
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 32 * 1024 * 1024
 # Rows of one key that a single task may sort inside a window.
@@ -27,9 +31,21 @@ def checked_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BRO
     return F.broadcast(df) if fits_broadcast(df, rows, size) else df
 
 
-def hottest_group(df: DataFrame, keys: list[str]) -> int:
-    """Rows of the largest group; pre-aggregated on the map side, reads the keys only."""
-    if not keys:
-        return df.count()
-    top = df.groupBy(*keys).agg(F.count("*").alias("_n")).agg(F.max("_n")).first()[0]
-    return top or 0
+def group_sizes(df: DataFrame, keys: list[str]) -> tuple[int, int]:
+    """(rows of the largest group, all rows); reads the keys only, pre-aggregated on the map side."""
+    per_key = df.groupBy(*keys).agg(F.count("*").alias("_n"))
+    hottest, total = per_key.agg(F.max("_n"), F.sum("_n")).first()
+    return hottest or 0, total or 0
+
+
+def attach(df: DataFrame, per_key: DataFrame, keys: list[str]) -> DataFrame:
+    """Join one row per key back to all rows of the key; NULL keys match.
+
+    The per-key side is written first. A small one is then broadcast from its
+    file size, so the rows never move. With a large one both join inputs are
+    plain shuffles, the shape adaptive execution can split when a key is hot;
+    an aggregate directly below the join would prevent that.
+    """
+    side = durable(per_key, "perkey").withColumnsRenamed({k: f"_k_{k}" for k in keys})
+    same = reduce(lambda a, b: a & b, [df[k].eqNullSafe(side[f"_k_{k}"]) for k in keys])
+    return df.join(side, same).drop(*[f"_k_{k}" for k in keys])

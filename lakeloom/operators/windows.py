@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakeloom.operators.sizing import attach
+
 
 def latest_per_key(df: DataFrame, keys: list[str], by: list[str]) -> DataFrame:
     """The row with the greatest ``by`` per key.
@@ -23,10 +23,7 @@ def latest_per_key(df: DataFrame, keys: list[str], by: list[str]) -> DataFrame:
 def flag_latest(df: DataFrame, keys: list[str], by: list[str], out: str = "is_last") -> DataFrame:
     """Every row, flagged true where it is the greatest by ``by`` in its key."""
     best = df.groupBy(*keys).agg(F.max(F.struct(*by)).alias("_best"))
-    right = best.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_best")
-    same = reduce(lambda a, b: a & b, [df[k].eqNullSafe(right[f"_k_{k}"]) for k in keys])
-    flagged = df.join(right, same).withColumn(out, F.struct(*by).eqNullSafe(F.col("_best")))
-    return flagged.drop("_best", *[f"_k_{k}" for k in keys])
+    return attach(df, best, keys).withColumn(out, F.struct(*by).eqNullSafe(F.col("_best"))).drop("_best")
 
 
 def rank_aggregate(

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeloom.functions.fixed import GRADE_POINTS
+from lakeloom.session import tune
 
 GRADES = list(GRADE_POINTS)
 
@@ -40,6 +41,7 @@ class Campus:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.dir = spark, sf_dir.rstrip("/")
+        tune(spark)
 
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.dir}/{name}.parquet")

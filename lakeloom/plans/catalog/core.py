@@ -196,8 +196,7 @@ def ranking_upload(c: Campus):
     """An outside ranking by department: half of them, and one key nobody has."""
     known = c.department.filter(F.col("division") != "EUROPE").select(
         "dept_id", (F.col("dept_id") + 1).cast("int").alias("external_rank"))
-    return known.unionByName(c.spark.range(1).select(F.lit(999).cast("long").alias("dept_id"),
-                                                     F.lit(999).alias("external_rank")))
+    return known.unionByName(c.spark.createDataFrame([(999, 999)], "dept_id long, external_rank int"))
 
 
 UPLOAD_SQL = """up AS (SELECT dept_id, (dept_id + 1)::INTEGER AS external_rank FROM department WHERE division <> 'EUROPE'
@@ -553,7 +552,8 @@ def w02_global_rank(c: Campus):
     FROM (SELECT dept_id, term_id, count(*) AS n FROM history GROUP BY 1, 2)""", "history")
 def w03_running_total(c: Campus):
     n = aggregates.counts(c.history, "dept_id", "term_id", out="enrollments")
-    return ordered.running_total(n, ["dept_id"], [F.col("term_id")], F.col("enrollments"), "running_total")
+    return ordered.running_total(n, ["dept_id"], [F.col("term_id")], F.col("enrollments"), "running_total",
+                                 hot_rows=None)  # one row per term in a group
 
 
 @query("W04", "SELECT * FROM enrollment QUALIFY row_number() OVER (PARTITION BY student_id ORDER BY term_id DESC, enrollment_id DESC) = 1", "enrollment")

@@ -28,18 +28,28 @@ def local_session(cores: str = "*", app: str = "lakeloom", **conf: str) -> Spark
     return builder.getOrCreate()
 
 
+def tune(spark: SparkSession) -> None:
+    """Runtime settings the operators count on; sizes and parallelism stay the cluster's own."""
+    for key in ("adaptive.enabled", "adaptive.skewJoin.enabled", "adaptive.forceOptimizeSkewedJoin"):
+        spark.conf.set(f"spark.sql.{key}", "true")
+
+
+_own_dirs: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
     ``spark.checkpoint.dir`` is read from the session. Only where it is unset
-    (tests on one machine) is a folder of our own chosen and remembered.
+    (tests on one machine) is a folder of our own chosen, once per application.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir", None
-    )
+    context = spark.sparkContext
+    path = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir", None)
     if not path:
-        path = tempfile.mkdtemp(prefix="lakeloom-shared-")
-        spark.conf.set("spark.checkpoint.dir", path)
+        app = context.applicationId
+        if app not in _own_dirs:
+            _own_dirs[app] = tempfile.mkdtemp(prefix="lakeloom-shared-")
+        path = _own_dirs[app]
     return path.rstrip("/")
 
 

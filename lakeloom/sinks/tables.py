@@ -23,22 +23,30 @@ def write_table(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
 
 def replace_partition(df: DataFrame, path: str, col: str) -> DataFrame:
     """Replace only the partitions present in ``df``: re-running a day is harmless."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(col).parquet(path))
+    even = df.hint("rebalance", col)  # few files per value, a hot value split over several tasks
+    even.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(col).parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
-def write_clustered(df: DataFrame, path: str, partition: str, within: list[str], files_per_value: int = 1) -> DataFrame:
+def write_clustered(df: DataFrame, path: str, partition: str, within: list[str]) -> DataFrame:
     """Partition directories by one key and sorted row groups by the others.
 
     Readers prune directories on the first key and skip row groups on the next.
-    A value with many rows is spread over ``files_per_value`` tasks by hash.
+    The rebalance hint lets adaptive execution split a hot value over tasks of
+    even size and merge small ones.
     """
-    salt = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_value))
-    placed = df.repartition(F.col(partition), salt) if files_per_value > 1 else df.repartition(partition)
+    placed = df.hint("rebalance", partition)
     placed.sortWithinPartitions(partition, *within).write.mode("overwrite").partitionBy(partition).parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
+def write_bucketed(df: DataFrame, name: str, path: str, keys: list[str], buckets: int) -> DataFrame:
+    """A table laid out by hash of its join keys: joins of two such tables need no shuffle."""
+    (df.write.mode("overwrite").format("parquet").option("path", path).bucketBy(buckets, *keys).sortBy(*keys)
+     .saveAsTable(name))
+    return df.sparkSession.table(name)
+
+
 def merge_upsert(
     target: DataFrame, source: DataFrame, keys: list[str], delete_when: Column | None = None,
 ) -> DataFrame:

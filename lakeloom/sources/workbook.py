@@ -13,15 +13,17 @@ import re
 import sys
 import zipfile
 from collections.abc import Iterator
+from decimal import Decimal
 from xml.etree import ElementTree as ET
-from xml.sax.saxutils import escape
+from xml.sax.saxutils import escape, quoteattr
 
 import pandas as pd
 from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DateType, NumericType, StructType, TimestampNTZType, TimestampType
 
+from lakeloom.session import durable
+
 # Workers receive this module with the job and need no installation.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -130,7 +132,7 @@ def _cell(value) -> str:
         return "<c/>"
     if isinstance(value, bool):
         return f'<c t="b"><v>{int(value)}</v></c>'
-    if isinstance(value, (int, float)) or hasattr(value, "dtype"):
+    if isinstance(value, (int, float, Decimal)):
         return f"<c><v>{value}</v></c>"
     if isinstance(value, dt.datetime):
         return f"<c><v>{(value - EPOCH).total_seconds() / 86400}</v></c>"
@@ -144,9 +146,11 @@ def _row(values) -> str:
 
 
 class _Book:
-    """One workbook written row by row into a single named sheet."""
+    """One workbook: small cover sheets first, then the named sheet written row by row."""
 
-    def __init__(self, sheet: str, header: list[str]):
+    def __init__(self, sheet: str, header: list[str], cover: dict[str, list[tuple]]):
+        names = [*cover, sheet]
+        numbers = range(1, len(names) + 1)
         self.buffer, self.rows = io.BytesIO(), 0
         self.zip = zipfile.ZipFile(self.buffer, "w", zipfile.ZIP_DEFLATED)
         kinds = "application/vnd.openxmlformats-officedocument.spreadsheetml"
@@ -155,19 +159,25 @@ class _Book:
         self.zip.writestr("[Content_Types].xml", (
             f'<Types xmlns="{pkg}/content-types"><Default Extension="rels" '
             'ContentType="application/vnd.openxmlformats-package.relationships+xml"/>'
-            f'<Override PartName="/xl/workbook.xml" ContentType="{kinds}.sheet.main+xml"/>'
-            f'<Override PartName="/xl/worksheets/sheet1.xml" ContentType="{kinds}.worksheet+xml"/></Types>'))
+            f'<Override PartName="/xl/workbook.xml" ContentType="{kinds}.sheet.main+xml"/>' + "".join(
+                f'<Override PartName="/xl/worksheets/sheet{i}.xml" ContentType="{kinds}.worksheet+xml"/>' for i in numbers)
+            + "</Types>"))
         self.zip.writestr("_rels/.rels", (
             f'<Relationships xmlns="{pkg}/relationships"><Relationship Id="rId1" '
             f'Type="{rel}/officeDocument" Target="xl/workbook.xml"/></Relationships>'))
         self.zip.writestr("xl/workbook.xml", (
-            f'<workbook xmlns="{MAIN[1:-1]}" xmlns:r="{rel}"><sheets>'
-            f'<sheet name="{escape(sheet)}" sheetId="1" r:id="rId1"/></sheets></workbook>'))
+            f'<workbook xmlns="{MAIN[1:-1]}" xmlns:r="{rel}"><sheets>' + "".join(
+                f'<sheet name={quoteattr(n)} sheetId="{i}" r:id="rId{i}"/>' for i, n in zip(numbers, names))
+            + "</sheets></workbook>"))
         self.zip.writestr("xl/_rels/workbook.xml.rels", (
-            f'<Relationships xmlns="{pkg}/relationships"><Relationship Id="rId1" '
-            f'Type="{rel}/worksheet" Target="worksheets/sheet1.xml"/></Relationships>'))
-        self.part = self.zip.open("xl/worksheets/sheet1.xml", "w")
-        self.part.write(f'<worksheet xmlns="{MAIN[1:-1]}"><sheetData>{_row(header)}'.encode())
+            f'<Relationships xmlns="{pkg}/relationships">' + "".join(
+                f'<Relationship Id="rId{i}" Type="{rel}/worksheet" Target="worksheets/sheet{i}.xml"/>' for i in numbers)
+            + "</Relationships>"))
+        start = f'<worksheet xmlns="{MAIN[1:-1]}"><sheetData>'
+        for i, rows in zip(numbers, cover.values()):
+            self.zip.writestr(f"xl/worksheets/sheet{i}.xml", start + "".join(map(_row, rows)) + "</sheetData></worksheet>")
+        self.part = self.zip.open(f"xl/worksheets/sheet{len(names)}.xml", "w")
+        self.part.write((start + _row(header)).encode())
 
     def add(self, values) -> None:
         self.part.write(_row(values).encode())
@@ -193,16 +203,17 @@ def _store(path: str, name: str, content: bytes, attempt: int) -> None:
     store.move(part, f"{root}/{name}")
 
 
-def export_workbooks(df: DataFrame, path: str, sheet: str, by: str, max_rows: int = MAX_ROWS, spread: int = 1) -> DataFrame:
+def export_workbooks(df: DataFrame, path: str, sheet: str, by: str, cover: dict[str, list[tuple]] | None = None,
+                     max_rows: int = MAX_ROWS) -> DataFrame:
     """Workbooks ``<by>-<task>-<n>.xlsx`` holding the rows of one value of ``by`` each.
 
-    A value with many rows is spread over ``spread`` tasks and continues in a
-    further workbook once a sheet is full; rows stream, nothing is grouped in
-    memory beyond one workbook. Returns (file, rows), one row per workbook.
+    The rebalance hint splits a value with many rows over several tasks, and a
+    full sheet is followed by a further workbook; rows stream, and no task keeps
+    more than one workbook. ``cover`` gives small further sheets that go into
+    every workbook before the data. Runs at once and returns (file, rows) per workbook.
     """
     names = df.columns
-    salt = F.pmod(F.xxhash64(*names), F.lit(spread))
-    placed = df.withColumn("_salt", salt).repartition(F.col(by), F.col("_salt")).sortWithinPartitions(by)
+    placed = df.hint("rebalance", by).sortWithinPartitions(by)
 
     def write(batches):
         context = TaskContext.get()
@@ -222,10 +233,10 @@ def export_workbooks(df: DataFrame, path: str, sheet: str, by: str, max_rows: in
                     finish()
                     number, book = number + 1, None
                 if book is None:
-                    book, current = _Book(sheet, names), value
+                    book, current = _Book(sheet, names, cover or {}), value
                 book.add(values)
         if book is not None:
             finish()
         yield pd.DataFrame(done, columns=["file", "rows"]).astype({"file": "object", "rows": "int64"})
 
-    return placed.mapInPandas(write, "file string, rows long")
+    return durable(placed.mapInPandas(write, "file string, rows long"), "workbooks")
