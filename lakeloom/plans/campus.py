@@ -6,11 +6,13 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from lakeloom.functions.fixed import GRADE_POINTS
 from lakeloom.session import tune
 
 GRADES = list(GRADE_POINTS)
+_schemas: dict[tuple[str, str], StructType] = {}
 
 
 def term_of(date: str) -> Column:
@@ -44,7 +46,13 @@ class Campus:
         tune(spark)
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+        """A given table; its schema is read from the files once per session, as a catalog would keep it."""
+        path = f"{self.dir}/{name}.parquet"
+        known = _schemas.get((self.spark.sparkContext.applicationId, path))
+        if known is None:
+            known = self.spark.read.parquet(path).schema
+            _schemas[self.spark.sparkContext.applicationId, path] = known
+        return self.spark.read.schema(known).parquet(path)
 
     def size(self, name: str) -> int:
         """Row count from the file footers."""

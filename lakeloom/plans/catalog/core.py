@@ -184,7 +184,7 @@ def j05_two_child_levels(c: Campus):
     """Children are reduced to one row per teacher before any join, so parents never multiply."""
     course = c.course.filter(F.col("title").like("%ring%")).select("course_id", "faculty_id")
     taught = course.groupBy("faculty_id").agg(F.countDistinct("course_id").alias("courses_taught"))
-    seen = (c.history.select("course_id", "student_id").distinct().join(course, "course_id")
+    seen = (c.history.select("course_id", "student_id").join(course, "course_id")
             .groupBy("faculty_id").agg(F.countDistinct("student_id").alias("students_enrolled")))
     dept = c.department.select("dept_id", F.col("name").alias("dept_name"))
     return (c.faculty.select("faculty_id", "name", "dept_id").join(dept, "dept_id")

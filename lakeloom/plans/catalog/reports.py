@@ -18,14 +18,18 @@ from lakeloom.session import durable
     count(DISTINCT student_id) AS distinct_students, rank() OVER (PARTITION BY term_id ORDER BY count(*) DESC) AS dept_rank_in_term
     FROM history JOIN department USING (dept_id) WHERE gpa_points IS NOT NULL GROUP BY 1, 2, 3""", "history department")
 def x01_heavy_summary(c: Campus):
+    return heavy_summary(c.history, c.department)
+
+
+def heavy_summary(fact, department):
     """Grouped by key before the dimension joins, so names never travel with the fact."""
-    graded = c.history.filter(F.col("gpa_points").isNotNull())
+    graded = fact.filter(F.col("gpa_points").isNotNull())
     ranked = windows.rank_aggregate(
         graded, ["dept_id", "term_id"],
         {"enrollments": F.count("*"), "avg_gpa": values.exact_avg("gpa_points", 1, 4),
          "distinct_students": F.countDistinct("student_id")},
         ["term_id"], "enrollments", "dept_rank_in_term")
-    return (ranked.join(c.department.select("dept_id", "division"), "dept_id")
+    return (ranked.join(department.select("dept_id", "division"), "dept_id")
             .withColumn("dept_rank_in_term", F.col("dept_rank_in_term").cast("long"))
             .orderBy("term_id", "dept_rank_in_term", "dept_id"))
 
