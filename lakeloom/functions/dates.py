@@ -26,8 +26,11 @@ def weekday(col: Column) -> Column:
 
 
 def in_zone(ts: Column, zone: str) -> Column:
-    """Wall-clock time in ``zone`` of a UTC time stamp, daylight saving included."""
-    return F.from_utc_timestamp(ts.cast("timestamp"), zone).cast("timestamp_ntz")
+    """Wall-clock time in ``zone`` of a UTC wall-clock time, daylight saving included.
+
+    Works on times without zone, so the session's own zone plays no part.
+    """
+    return F.convert_timezone(F.lit("UTC"), F.lit(zone), ts)
 
 
 def seconds_between(start: Column, end: Column) -> Column:

@@ -8,13 +8,16 @@ from pyspark.sql import functions as F
 from lakeloom.functions.values import exact_total
 from lakeloom.operators.aggregates import share
 from lakeloom.operators.joins import overlapping_windows, temporal_join
+from lakeloom.operators.sizing import HOT_ROWS, fits_broadcast
 
 
 def priced(usage: DataFrame, prices: DataFrame) -> DataFrame:
     """Usage with the list price valid at its end; unpriced usage keeps a NULL cost."""
-    if not overlapping_windows(prices, "sku_name", "price_start", "price_end").limit(1).isEmpty():
+    small = fits_broadcast(prices)
+    hot = None if small else HOT_ROWS
+    if not overlapping_windows(prices, "sku_name", "price_start", "price_end", hot).limit(1).isEmpty():
         raise ValueError("price windows overlap: spend would be counted twice")
-    joined = temporal_join(usage, prices, "sku_name", "usage_end", "price_start", "price_end")
+    joined = temporal_join(usage, prices, "sku_name", "usage_end", "price_start", "price_end", small=small)
     return joined.withColumn("cost", F.col("quantity") * F.col("price"))
 
 

@@ -39,6 +39,11 @@ class Policies:
             rows, "table_schema string, table_name string, filter_name string, target_columns string")
 
 
+def session_principal(spark: SparkSession) -> str:
+    """Name of the user running the session, to pass where a principal is asked for."""
+    return spark.sql("SELECT current_user()").first()[0]
+
+
 def identities(memberships: DataFrame, principal: str) -> DataFrame:
     """The principal itself and every group it belongs to."""
     groups = memberships.filter(F.col("principal") == principal).select(F.col("group_name").alias("identity"))
@@ -47,6 +52,7 @@ def identities(memberships: DataFrame, principal: str) -> DataFrame:
 
 
 def is_member(memberships: DataFrame, principal: str, group: str) -> bool:
+    """Group membership is data: (principal, group_name) rows."""
     hit = memberships.filter((F.col("principal") == principal) & (F.col("group_name") == group))
     return not hit.limit(1).isEmpty()
 

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.operators.sizing import attach, checked_broadcast, fits_broadcast
+from lakeloom.operators.ordered import running_total
+from lakeloom.operators.sizing import HOT_ROWS, attach, checked_broadcast, fits_broadcast
 
 
 def star(fact: DataFrame, dims: list[tuple[DataFrame, str]]) -> DataFrame:
@@ -79,29 +80,34 @@ def aggregate_and_join_back(df: DataFrame, keys: list[str], **measures) -> DataF
     return attach(df, df.groupBy(*keys).agg(*[c.alias(n) for n, c in measures.items()]), keys)
 
 
-def overlapping_windows(windows: DataFrame, key: str, start: str, end: str) -> DataFrame:
-    """Windows that begin before an earlier one of the same key has ended."""
-    w = Window.partitionBy(key).orderBy(start, F.col(end).asc_nulls_last())
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
-    far = F.to_timestamp(F.lit("9999-12-31"))
-    closed = F.coalesce(F.col(end).cast("timestamp"), far)
-    return (windows.withColumn("_until", F.max(closed).over(before))
-            .filter(F.col(start).cast("timestamp") < F.col("_until")).drop("_until"))
+def overlapping_windows(
+    windows: DataFrame, key: str, start: str, end: str, hot_rows: int | None = HOT_ROWS,
+) -> DataFrame:
+    """Starts of windows that begin while another of the same key is open.
+
+    Starts count +1 and ends -1 in time order, ends first; a start that brings
+    the running count above one lies inside another window.
+    """
+    opens = windows.select(key, F.col(start).alias("at"), F.lit(1).alias("step"))
+    closes = windows.filter(F.col(end).isNotNull()).select(key, F.col(end).alias("at"), F.lit(-1).alias("step"))
+    moves = opens.unionByName(closes).groupBy(key, "at", "step").agg(F.sum("step").alias("n"))
+    count = running_total(moves, [key], ["at", "step"], F.col("n"), "open", hot_rows=hot_rows)
+    return count.filter((F.col("step") == 1) & (F.col("open") > 1)).select(key, F.col("at").alias(start), "open")
 
 
 def temporal_join(
     facts: DataFrame, windows: DataFrame, key: str, ts: str, start: str, end: str, how: str = "left",
-    broadcast_rows: int = 500_000,
+    small: bool | None = None,
 ) -> DataFrame:
     """Match each fact with the window of its key that covers its time: start <= t < end.
 
-    A proven-small window table is broadcast. A large one is cut into months, so
+    A proven-small window table is broadcast (``small`` passes on an earlier check). A large one is cut into months, so
     the join is an equality on (key, month) and a key with long history or many
     facts is spread over its months; the range test is then a residual filter.
     """
     covers = (F.col(ts) >= F.col(start)) & (F.col(end).isNull() | (F.col(ts) < F.col(end)))
     right = windows.withColumnRenamed(key, "_wkey")
-    if fits_broadcast(right, rows=broadcast_rows):
+    if fits_broadcast(right) if small is None else small:
         return facts.join(F.broadcast(right), (F.col(key) == F.col("_wkey")) & covers, how).drop("_wkey")
     horizon = facts.agg(F.max(ts).alias("m")).first()["m"]  # one value
     first, month = F.trunc(F.col(start), "MM"), F.expr("INTERVAL 1 MONTH")

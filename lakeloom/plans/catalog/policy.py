@@ -49,7 +49,7 @@ def g04_attached_masks(c: Campus):
     return gov.mask_columns(c.student, masks, "faculty")
 
 
-@query("G05", f"SELECT student_id, dept_id FROM student WHERE dept_id IN (SELECT dept_id FROM allowed WHERE principal = '{USER}')", "student allowed")
+@query("G05 F14", f"SELECT student_id, dept_id FROM student WHERE dept_id IN (SELECT dept_id FROM allowed WHERE principal = '{USER}')", "student allowed")
 def g05_row_filter(c: Campus):
     return gov.row_filter(c.student.select("student_id", "dept_id"), c.access, c.memberships, USER)
 

@@ -54,8 +54,18 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new, never reused path below the shared folder."""
-    return f"{shared_dir(spark)}/lakeloom/{label}-{uuid.uuid4().hex}"
+    """A new, never reused path below the shared folder, kept per application."""
+    return f"{_app_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def _app_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/lakeloom/{spark.sparkContext.applicationId}"
+
+
+def release(spark: SparkSession) -> bool:
+    """Delete what this application staged; call it when no DataFrame is needed any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_app_dir(spark))
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def durable(df: DataFrame, label: str = "stage") -> DataFrame:

@@ -48,15 +48,15 @@ def test_overlapping_prices_are_refused(spark):
         cost.priced(usage, prices)
 
 
-@pytest.mark.parametrize("rows", [500_000, 0])
-def test_half_open_price_windows(spark, rows):
+@pytest.mark.parametrize("small", [True, False])
+def test_half_open_price_windows(spark, small):
     prices = spark.createDataFrame([("a", "2020-01-01", "2021-01-01", 1.0), ("a", "2021-01-01", None, 2.0)],
                                    "sku string, s string, e string, price double")
     prices = prices.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("s", "e")})
     times = ["2019-12-31 23:59:59", "2020-01-01 00:00:00", "2020-12-31 23:59:59", "2021-01-01 00:00:00", "2024-05-05 00:00:00"]
     facts = spark.createDataFrame([("a", t) for t in times] + [("b", times[1])], "sku string, t string")
     facts = facts.withColumn("t", F.col("t").cast("timestamp_ntz"))
-    out = joins.temporal_join(facts, prices, "sku", "t", "s", "e", broadcast_rows=rows)
+    out = joins.temporal_join(facts, prices, "sku", "t", "s", "e", small=small)
     got = sorted((r.sku, str(r.t), r.price) for r in out.collect())
     assert [g[2] for g in got] == [None, 1.0, 1.0, 2.0, 2.0, None]
 
@@ -86,3 +86,18 @@ def test_untagged_rows_are_kept_on_request(spark):
     df = spark.createDataFrame([({"a": "x", "b": "y"}, 2.0), ({}, 3.0)], "tags map<string,string>, cost double")
     assert {tuple(r) for r in cost.spend_by_tag(df).collect()} == {("a", "x", 2.0), ("b", "y", 2.0)}
     assert (None, None, 3.0) in {tuple(r) for r in cost.spend_by_tag(df, keep_untagged=True).collect()}
+
+
+def test_overlaps_on_the_chunked_path(spark):
+    import random
+
+    rnd = random.Random(5)
+    rows = [("hot" if i % 3 else f"k{i % 4}", (s := rnd.randrange(500)), rnd.choice([None, s + rnd.randrange(1, 9)])) for i in range(60)]
+    df = spark.createDataFrame(rows, "k string, s int, e int")
+    want = set()
+    for i, (k, s, _) in enumerate(rows):
+        if any(j != i and k2 == k and s2 <= s and (e2 is None or e2 > s) for j, (k2, s2, e2) in enumerate(rows)):
+            want.add((k, s))
+    for hot in (None, 0):
+        got = {(r.k, r.s) for r in joins.overlapping_windows(df, "k", "s", "e", hot).collect()}
+        assert got == want
