@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lakeloom.functions import dates, fixed, text, values
+from lakeloom.functions import dates, text, values
 from lakeloom.operators import aggregates, joins, ordered, quality, windows
 from lakeloom.operators.sizing import checked_broadcast
+from lakeloom.operators.telemetry import tier
 from lakeloom.plans.campus import GRADES, Campus
+from lakeloom.plans.oracle import STANDING, TIER, case_band, list_of
 from lakeloom.plans.registry import query
-from lakeloom.operators.telemetry import tier
 
 AVG = "round(sum(round({x} * {m})::BIGINT)::DOUBLE / count({x}) / {m}::DOUBLE, {d})"
 
@@ -45,17 +46,12 @@ def p03_optional_filters(c: Campus):
     return c.history.filter(wanted).select("enrollment_id", "dept_id", "term_id")
 
 
-@query("P04", """SELECT student_id, CASE status WHEN 'active' THEN 'In Good Standing'
-    WHEN 'graduated' THEN 'Alumnus' ELSE 'Inactive' END AS standing FROM student""", "student")
+@query("P04", f"SELECT student_id, {STANDING} AS standing FROM student", "student")
 def p04_standing(c: Campus):
     return c.student.select("student_id", values.standing("status").alias("standing"))
 
 
-BAND_SQL = """SELECT CASE WHEN gpa_points >= 3.7 THEN '3.7 and up' WHEN gpa_points >= 3.3 THEN '3.3 to 3.7'
-    WHEN gpa_points >= 3.0 THEN '3.0 to 3.3' WHEN gpa_points >= 2.7 THEN '2.7 to 3.0'
-    WHEN gpa_points >= 2.0 THEN '2.0 to 2.7' WHEN gpa_points IS NULL THEN 'withdrawn' ELSE 'below 2.0' END AS band,
-    CASE WHEN gpa_points >= 3.7 THEN 1 WHEN gpa_points >= 3.3 THEN 2 WHEN gpa_points >= 3.0 THEN 3
-    WHEN gpa_points >= 2.7 THEN 4 WHEN gpa_points >= 2.0 THEN 5 WHEN gpa_points IS NULL THEN 7 ELSE 6 END AS band_order,
+BAND_SQL = f"""SELECT {case_band('gpa_points')} AS band, {case_band('gpa_points', order=True)} AS band_order,
     count(*) AS enrollments FROM history GROUP BY ALL"""
 
 
@@ -65,9 +61,8 @@ def p05_point_bands(c: Campus):
     return c.history.groupBy(band.alias("band"), order.alias("band_order")).agg(F.count("*").alias("enrollments"))
 
 
-@query("P06", """SELECT statement_id, CASE WHEN total_duration_ms < 1000 THEN '1 Fast (<1s)'
-    WHEN total_duration_ms < 5000 THEN '2 Medium (1-5s)' ELSE '3 Slow (>5s)' END AS perf_tier,
-    CASE WHEN waiting_ms > 0 THEN 1 ELSE 0 END AS was_throttled FROM query_history""", "query_history")
+@query("P06", f"SELECT statement_id, {TIER} AS perf_tier, CASE WHEN waiting_ms > 0 THEN 1 ELSE 0 END AS was_throttled FROM query_history",
+       "query_history")
 def p06_performance_tier(c: Campus):
     return c.query_history.select("statement_id", tier("total_duration_ms").alias("perf_tier"),
                                   values.throttled("waiting_ms").alias("was_throttled"))
@@ -441,8 +436,8 @@ def a17_grade_pivot(c: Campus):
     return aggregates.pivot_counts(c.history, "dept_id", "grade", GRADES)
 
 
-@query("A18", """SELECT dept_id, g AS grade, (SELECT count(*) FROM history h WHERE h.dept_id = d.dept_id AND h.grade = g) AS cnt
-    FROM (SELECT DISTINCT dept_id FROM history) d, (SELECT unnest(['A','A-','B+','B','B-','C+','C','D','F','W']) AS g)""", "history")
+@query("A18", f"""SELECT dept_id, g AS grade, (SELECT count(*) FROM history h WHERE h.dept_id = d.dept_id AND h.grade = g) AS cnt
+    FROM (SELECT DISTINCT dept_id FROM history) d, (SELECT unnest({list_of(GRADES)}) AS g)""", "history")
 def a18_unpivot(c: Campus):
     wide = aggregates.pivot_counts(c.history, "dept_id", "grade", GRADES)
     return aggregates.unpivot_counts(wide, "dept_id", "grade", "cnt")

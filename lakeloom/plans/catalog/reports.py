@@ -8,6 +8,7 @@ from lakeloom.functions import dates, text, values
 from lakeloom.operators import aggregates, cost, joins, ordered, telemetry, windows
 from lakeloom.plans.campus import Campus
 from lakeloom.plans.catalog.core import GPA4, STAR_NEEDS, STAR_SQL, avg_sql, star
+from lakeloom.plans.oracle import BUCKET, STANDING, TIER
 from lakeloom.plans.registry import query
 from lakeloom.session import durable
 
@@ -34,10 +35,9 @@ def heavy_summary(fact, department):
             .orderBy("term_id", "dept_rank_in_term", "dept_id"))
 
 
-@query("X02 J02 P04", """SELECT s.student_id, upper(last_name) || ', ' || upper(first_name[1]) || lower(first_name[2:]) AS full_name,
+@query("X02 J02 P04", f"""SELECT s.student_id, upper(last_name) || ', ' || upper(first_name[1]) || lower(first_name[2:]) AS full_name,
     CASE WHEN email IS NOT NULL THEN split_part(email, '@', 2) END AS email_domain, d.name AS dept_name, 'matched' AS dept_match,
-    coalesce(a.total, 0.0)::DOUBLE AS aid_amount, CASE status WHEN 'active' THEN 'In Good Standing' WHEN 'graduated' THEN 'Alumnus'
-    ELSE 'Inactive' END AS standing, status FROM student s LEFT JOIN department d USING (dept_id)
+    coalesce(a.total, 0.0)::DOUBLE AS aid_amount, {STANDING} AS standing, status FROM student s LEFT JOIN department d USING (dept_id)
     LEFT JOIN (SELECT student_id, sum(round(amount * 100)::BIGINT)::DOUBLE / 100 AS total FROM aid GROUP BY 1) a ON a.student_id = s.student_id""",
        "student department aid")
 def x02_student_enriched(c: Campus):
@@ -187,8 +187,7 @@ def t07_user_workload(c: Campus):
     return telemetry.user_load(c.query_history)
 
 
-@query("T08", """SELECT CASE WHEN total_duration_ms < 1000 THEN '1 Fast (<1s)' WHEN total_duration_ms < 5000 THEN '2 Medium (1-5s)'
-    ELSE '3 Slow (>5s)' END AS perf_tier, count(*) AS queries FROM query_history GROUP BY 1""", "query_history")
+@query("T08", f"SELECT {TIER} AS perf_tier, count(*) AS queries FROM query_history GROUP BY 1", "query_history")
 def t08_tier_distribution(c: Campus):
     return telemetry.tiers(c.query_history)
 
@@ -312,8 +311,7 @@ def t18_slow_queries(c: Campus):
     return telemetry.slow_queries(c.query_history, 5000, 1.2, 20)
 
 
-@query("T18 P06", """SELECT CASE WHEN total_duration_ms < 1000 THEN '< 1s' WHEN total_duration_ms < 5000 THEN '1-5s' WHEN total_duration_ms < 10000 THEN '5-10s'
-    WHEN total_duration_ms < 30000 THEN '10-30s' ELSE '> 30s' END AS bucket, count(*) AS query_count, round(avg(read_rows), 2) AS avg_rows,
+@query("T18 P06", f"""SELECT {BUCKET} AS bucket, count(*) AS query_count, round(avg(read_rows), 2) AS avg_rows,
     round(avg(total_duration_ms), 2) AS avg_ms FROM query_history GROUP BY 1""", "query_history")
 def t18_latency_histogram(c: Campus):
     return telemetry.latency_histogram(c.query_history)

@@ -2,9 +2,40 @@
 
 from __future__ import annotations
 
+from lakeloom.functions import fixed
+
+
+def case_in(col: str, labels: dict[str, list[str]], other: str) -> str:
+    """CASE giving the label whose list holds the value."""
+    whens = " ".join("WHEN {} IN ({}) THEN '{}'".format(col, ", ".join(f"'{v}'" for v in vs), k) for k, vs in labels.items())
+    return f"CASE {whens} ELSE '{other}' END"
+
+
+def case_below(col: str, steps: list[tuple[float, str]], last: str) -> str:
+    """CASE giving the label of the first upper bound above the value."""
+    return "CASE " + " ".join(f"WHEN {col} < {b} THEN '{k}'" for b, k in steps) + f" ELSE '{last}' END"
+
+
+def case_band(col: str, order: bool = False) -> str:
+    """CASE giving the band of a value, or its position."""
+    names = [k for _, k in fixed.POINT_BANDS] + [fixed.LOWEST_BAND, fixed.NULL_BAND]
+    out = [str(i) for i in range(1, len(names) + 1)] if order else [f"'{k}'" for k in names]
+    whens = " ".join(f"WHEN {col} >= {b} THEN {o}" for (b, _), o in zip(fixed.POINT_BANDS, out))
+    return f"CASE WHEN {col} IS NULL THEN {out[-1]} {whens} ELSE {out[-2]} END"
+
+
+def list_of(values) -> str:
+    return "[" + ", ".join("NULL" if v is None else repr(v) for v in values) + "]"
+
+
+STANDING = case_in("status", {v: [k] for k, v in fixed.STANDING.items()}, fixed.OTHER_STANDING)
+TIER = case_below("total_duration_ms", fixed.TIERS, fixed.LAST_TIER)
+BUCKET = case_below("total_duration_ms", fixed.BUCKETS, fixed.LAST_BUCKET)
+STATUS = case_in("raw_state", fixed.RUN_STATUS, "Other")
+
 _TERM = "((year({d}) - 1995) * 3 + (month({d}) - 1) // 4 + 1)::BIGINT"
-_GRADE = "(['A','A-','B+','B','B-','C+','C','D','F','W'])[{i} + 1]"
-_POINTS = "([4.0,3.7,3.3,3.0,2.7,2.3,2.0,1.0,0.0,NULL]::DOUBLE[])[{i} + 1]"
+_GRADE = "(" + list_of(fixed.GRADE_POINTS) + ")[{i} + 1]"
+_POINTS = "(" + list_of(fixed.GRADE_POINTS.values()) + "::DOUBLE[])[{i} + 1]"
 _EMAIL = ("CASE WHEN user_id % 10 = 0 THEN printf('%08x-0000-4000-8000-%012x', user_id, user_id) "
           "ELSE 'user' || user_id || '@campus.example' END")
 
@@ -67,10 +98,7 @@ ENTITIES: dict[str, tuple[tuple[str, ...], str]] = {
         l_shipdate + to_minutes(l_quantity::BIGINT) AS period_end,
         CASE l_returnflag WHEN 'R' THEN 'FAILED' WHEN 'A' THEN 'COMPLETED' END AS result_state FROM lineitem"""),
     "pipelines": ((), "SELECT s_suppkey AS pipeline_id, s_name AS name FROM supplier WHERE NOT s_acctbal < 500"),
-    "runs": (("job_periods", "job_names", "pipeline_periods", "pipelines", "query_history"), r"""
-        SELECT *, CASE WHEN raw_state IN ('SUCCEEDED','FINISHED','COMPLETED') THEN 'Succeeded'
-            WHEN raw_state IN ('ERROR','FAILED','TIMEDOUT') THEN 'Failed'
-            WHEN raw_state IN ('CANCELED','CANCELLED') THEN 'Canceled' ELSE 'Other' END AS status,
+    "runs": (("job_periods", "job_names", "pipeline_periods", "pipelines", "query_history"), f"SELECT *, {STATUS} AS status," + r"""
           (epoch(date_trunc('second', end_time)) - epoch(date_trunc('second', start_time)))::BIGINT AS secs
         FROM (
           SELECT 'Job' AS workload_type, name, run_id, min(period_start) AS start_time, max(period_end) AS end_time,
