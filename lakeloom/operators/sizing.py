@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.session import durable
@@ -31,11 +31,20 @@ def checked_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BRO
     return F.broadcast(df) if fits_broadcast(df, rows, size) else df
 
 
-def group_sizes(df: DataFrame, keys: list[str]) -> tuple[int, int]:
-    """(rows of the largest group, all rows); reads the keys only, pre-aggregated on the map side."""
-    per_key = df.groupBy(*keys).agg(F.count("*").alias("_n"))
-    hottest, total = per_key.agg(F.max("_n"), F.sum("_n")).first()
-    return hottest or 0, total or 0
+def same_keys(left: DataFrame, right: DataFrame, keys: list[str], prefix: str = "_k_") -> Column:
+    """Equality of keys, NULL equal to NULL; the right side carries them with a prefix."""
+    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[f"{prefix}{k}"]) for k in keys])
+
+
+def hot_keys(df: DataFrame, keys: list[str], hot_rows: int) -> tuple[DataFrame, int]:
+    """(keys holding more than ``hot_rows`` rows, rows they hold together).
+
+    One pass over the keys alone, counted on the map side. There are fewer hot
+    keys than rows divided by ``hot_rows``, so the result is small.
+    """
+    counts = df.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > hot_rows)
+    hot = durable(counts, "hot")
+    return hot, hot.agg(F.sum("_n")).first()[0] or 0
 
 
 def attach(df: DataFrame, per_key: DataFrame, keys: list[str]) -> DataFrame:
@@ -47,5 +56,4 @@ def attach(df: DataFrame, per_key: DataFrame, keys: list[str]) -> DataFrame:
     an aggregate directly below the join would prevent that.
     """
     side = durable(per_key, "perkey").withColumnsRenamed({k: f"_k_{k}" for k in keys})
-    same = reduce(lambda a, b: a & b, [df[k].eqNullSafe(side[f"_k_{k}"]) for k in keys])
-    return df.join(side, same).drop(*[f"_k_{k}" for k in keys])
+    return df.join(side, same_keys(df, side, keys)).drop(*[f"_k_{k}" for k in keys])

@@ -378,9 +378,9 @@ def a08_nested_catalog(c: Campus):
     return nested.select("dept_id", "part", F.size("courses").alias("n_courses"), F.to_json("courses").alias("courses"))
 
 
-@query("A09")
+@query("A09", "SELECT dept_id, quantile_disc(gpa_points, 0.5) AS median_gpa FROM history GROUP BY 1", "history")
 def a09_approximate_median(c: Campus):
-    """A mergeable sketch; returns values that occur, so there is no equal SQL."""
+    """A mergeable sketch that returns a value that occurs; with ten distinct values it is the exact one."""
     return c.history.groupBy("dept_id").agg(F.approx_percentile("gpa_points", 0.5).alias("median_gpa"))
 
 

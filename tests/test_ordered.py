@@ -34,7 +34,7 @@ def groups(data):
 
 
 ORDER = ["term", "id"]
-PATHS = [None, 0]
+PATHS = [None, 0, 40]
 
 
 @pytest.mark.parametrize("hot", PATHS)
@@ -124,6 +124,8 @@ def test_latest_and_flag(frame, data):
     assert {r.key: r.id for r in flags} == want
 
 
-def test_chunks_split_a_hot_key(frame, spark):
-    chunks = ordered._chunks(frame, ["key"], ORDER, 0)
+def test_chunks_split_a_hot_key(frame):
+    chunks = ordered._chunks(frame, ["key"], ORDER, 400, 0)
     assert chunks.filter("key = 'hot'").select(ordered.CHUNK).distinct().count() > 1
+    continued = chunks.groupBy("key").agg(F.countDistinct(ordered.CHUNK).alias("n")).agg(F.sum(F.col("n") - 1)).first()[0]
+    assert continued < chunks.select(ordered.CHUNK).distinct().count()
