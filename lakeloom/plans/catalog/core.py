@@ -251,7 +251,7 @@ def j10_aggregate_join_back(c: Campus):
     return joins.aggregate_and_join_back(rows, ["dept_id"], students=F.countDistinct("student_id"))
 
 
-@query("J11 X08", """WITH files AS (SELECT student_id, first_name, dept_id FROM student WHERE dept_id < 15),
+@query("J11 X08", """WITH files AS (SELECT student_id, first_name, dept_id FROM student WHERE status <> 'withdrawn'),
     db AS (SELECT student_id, status FROM student WHERE status <> 'leave')
     SELECT e.enrollment_id, e.student_id, f.first_name, f.dept_id, CASE WHEN f.student_id IS NOT NULL THEN d.status END AS status,
       e.grade, concat_ws('+', CASE WHEN f.student_id IS NOT NULL THEN 'file' END,
@@ -259,7 +259,7 @@ def j10_aggregate_join_back(c: Campus):
     FROM enrollment e LEFT JOIN files f USING (student_id) LEFT JOIN db d ON d.student_id = e.student_id""",
        "enrollment student")
 def x08_multisource_reconciliation(c: Campus):
-    files = c.student.filter(F.col("dept_id") < 15).select("student_id", "first_name", "dept_id")
+    files = c.student.filter(F.col("status") != "withdrawn").select("student_id", "first_name", "dept_id")
     db = c.student.filter(F.col("status") != "leave").select("student_id", "status")
     api = c.enrollment.select("enrollment_id", "student_id", "grade")
     return joins.reconcile(api, [(files, "file"), (db, "db")], "student_id", "api")
@@ -276,13 +276,13 @@ def j12_split_join(c: Campus):
                                 zip(["matched", "left only", "right only"], parts)}, "side")
 
 
-@query("J13", """WITH u AS (SELECT student_id, first_name, dept_id, NULL AS status, 0 AS p FROM student WHERE dept_id < 15
+@query("J13", """WITH u AS (SELECT student_id, first_name, dept_id, NULL AS status, 0 AS p FROM student WHERE status = 'active'
       UNION ALL SELECT student_id, upper(first_name), dept_id, status, 1 FROM student),
     s AS (SELECT * FROM u QUALIFY row_number() OVER (PARTITION BY student_id ORDER BY p) = 1)
     SELECT s.student_id, first_name, dept_id, status, enrollment_id, 'multi-source' AS source_system
     FROM s LEFT JOIN enrollment e ON s.student_id = e.student_id""", "student enrollment")
 def j13_union_dedupe_join(c: Campus):
-    files = c.student.filter(F.col("dept_id") < 15).select("student_id", "first_name", "dept_id")
+    files = c.student.filter(F.col("status") == "active").select("student_id", "first_name", "dept_id")
     db = c.student.select("student_id", F.upper("first_name").alias("first_name"), "dept_id", "status")
     people = joins.union_by_priority([files, db], "student_id")
     return people.join(c.enrollment.select("enrollment_id", "student_id"), "student_id", "left").withColumn(

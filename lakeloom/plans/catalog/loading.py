@@ -266,14 +266,14 @@ def k03_bucketed_join(c: Campus):
         F.count("*").alias("n"), F.sum("l_quantity").cast("long").alias("units"))
 
 
-MERGE = """t AS (SELECT student_id, dept_id, status FROM student WHERE dept_id < 12),
-    s AS (SELECT student_id, dept_id, CASE WHEN dept_id = 5 THEN 'graduated' ELSE status END AS status FROM student WHERE dept_id >= 4)"""
+MERGE = """t AS (SELECT student_id, dept_id, status FROM student WHERE status <> 'graduated'),
+    s AS (SELECT student_id, dept_id, CASE WHEN status = 'withdrawn' THEN 'returned' ELSE status END AS status FROM student WHERE status <> 'leave')"""
 
 
 def merge_sides(c: Campus):
     rows = c.student.select("student_id", "dept_id", "status")
-    source = rows.filter("dept_id >= 4").withColumn("status", F.when(F.col("dept_id") == 5, "graduated").otherwise(F.col("status")))
-    return rows.filter("dept_id < 12"), source
+    back = F.when(F.col("status") == "withdrawn", "returned").otherwise(F.col("status"))
+    return rows.filter("status <> 'graduated'"), rows.filter("status <> 'leave'").withColumn("status", back)
 
 
 @query("K10 J09", f"WITH {MERGE} SELECT * FROM s UNION ALL SELECT * FROM t WHERE student_id NOT IN (SELECT student_id FROM s)", "student")
@@ -287,19 +287,19 @@ def k11_delete_where(c: Campus):
     return tables.delete_where(c.student.select("student_id", "email"), F.col("email").like("%7@%"))
 
 
-@query("K12", f"""WITH {MERGE} SELECT * FROM s WHERE status <> 'withdrawn'
+@query("K12", f"""WITH {MERGE} SELECT * FROM s WHERE status <> 'returned'
     UNION ALL SELECT * FROM t WHERE student_id NOT IN (SELECT student_id FROM s)""", "student")
 def k12_merge_with_delete(c: Campus):
-    return tables.merge_upsert(*merge_sides(c), ["student_id"], F.col("status") == "withdrawn")
+    return tables.merge_upsert(*merge_sides(c), ["student_id"], F.col("status") == "returned")
 
 
-@query("K10", """SELECT aid_id, student_id, aid_type, CASE WHEN aid_type = '2-HIGH' AND aid_id < 5000 THEN amount + 1 ELSE amount END AS amount FROM aid""", "aid")
+@query("K10", """SELECT aid_id, student_id, aid_type, CASE WHEN aid_type = '2-HIGH' AND amount > 250000 THEN amount + 1 ELSE amount END AS amount FROM aid""", "aid")
 def k10_merge_partitions(c: Campus):
     """Only the partition the source touches is rewritten."""
     path = scratch_path(c.spark, "merge")
     rows = c.aid.select("aid_id", "student_id", "amount", "aid_type")
     rows.write.partitionBy("aid_type").parquet(path)
-    change = rows.filter("aid_type = '2-HIGH' AND aid_id < 5000").withColumn("amount", F.col("amount") + 1)
+    change = rows.filter("aid_type = '2-HIGH' AND amount > 250000").withColumn("amount", F.col("amount") + 1)
     return tables.merge_partitions(path, change, ["aid_id"], "aid_type")
 
 
@@ -324,7 +324,7 @@ def k16_recorded_metrics(c: Campus):
     return rows
 
 
-TARGET = """t0 AS (SELECT student_id, dept_id, status FROM student WHERE dept_id < 12),
+TARGET = """t0 AS (SELECT student_id, dept_id, status FROM student WHERE status = 'active'),
     t1 AS (SELECT student_id, dept_id, status FROM student),
     t2 AS (SELECT * FROM t1 WHERE status <> 'withdrawn')"""
 
@@ -338,7 +338,7 @@ def x09_target_history(c: Campus):
 def _load_target(c: Campus) -> tables.VersionedTable:
     target = tables.VersionedTable(c.spark, scratch_path(c.spark, "target"))
     rows = c.student.select("student_id", "dept_id", "status")
-    target.commit(rows.filter("dept_id < 12"), "SEED")
+    target.commit(rows.filter("status = 'active'"), "SEED")
     target.merge(rows, ["student_id"])
     target.delete(F.col("status") == "withdrawn")
     return target
