@@ -39,8 +39,3 @@ def seconds_between(start: Column, end: Column) -> Column:
 
 def minutes_between(start: Column, end: Column, digits: int = 2) -> Column:
     return F.round(seconds_between(start, end) / F.lit(60.0), digits)
-
-
-def since(col: str, as_of: str, days: int) -> Column:
-    """Rolling window ending at ``as_of``: a literal lower bound that reaches the scan."""
-    return F.col(col) >= F.date_sub(F.lit(as_of).cast("date"), days)

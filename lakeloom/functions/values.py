@@ -74,12 +74,15 @@ def all_of(predicates: list[Column | None]) -> Column:
 
 
 def exact_sum(value: Column | str, scale: int) -> Column:
-    """Sum of values with ``scale`` decimals as a whole number of smallest units.
+    """Sum of values with ``scale`` decimals, counted in smallest units.
 
     Adding whole numbers gives the same bits whatever order partitions arrive
-    in, so results do not change between runs, retries or cluster sizes.
+    in, so results do not change between runs, retries or cluster sizes. High
+    and low parts are added apart, so no total over a huge table overflows.
     """
-    return F.sum(F.round(_col(value) * 10**scale).cast("long"))
+    units, split = F.round(_col(value) * 10**scale).cast("long"), 20
+    high, low = F.shiftright(units, split), units.bitwiseAND(F.lit(2**split - 1))
+    return F.sum(high).cast("double") * float(2**split) + F.sum(low).cast("double")
 
 
 def exact_total(value: Column | str, scale: int = 2) -> Column:
@@ -89,7 +92,3 @@ def exact_total(value: Column | str, scale: int = 2) -> Column:
 def exact_avg(value: Column | str, scale: int, digits: int) -> Column:
     value = _col(value)
     return F.round(exact_sum(value, scale) / F.count(value) / F.lit(float(10**scale)), digits)
-
-
-def count_if(predicate: Column) -> Column:
-    return F.sum(F.when(predicate, 1).otherwise(0))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
@@ -117,7 +115,3 @@ def numeric_drift(base: DataFrame, other: DataFrame, col: str, limit: float) ->
     return cum.agg(F.round(gap, 6).alias("distance")).select(
         F.lit(col).alias("column_name"), F.lit("ks").alias("metric"),
         "distance", (F.col("distance") > limit).alias("drifted"))
-
-
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 SINGLE_FILE_ROWS = 1_000_000
 
@@ -52,8 +51,3 @@ def export_json(df: DataFrame, path: str) -> None:
 def export_xml(df: DataFrame, path: str, row_tag: str, root_tag: str) -> None:
     """XML with the given tags; NULL nodes are left out."""
     df.write.mode("overwrite").format("xml").option("rowTag", row_tag).option("rootTag", root_tag).save(path)
-
-
-def trimmed(df: DataFrame) -> DataFrame:
-    """Text columns without surrounding white space, as files usually want them."""
-    return df.select(*[F.trim(c).alias(c) if t == "string" else F.col(c) for c, t in df.dtypes])
