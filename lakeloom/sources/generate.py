@@ -27,6 +27,11 @@ def weighted(key: Column, seed: int, values: list[str], weights: list[int]) -> C
     return out
 
 
+def generate_dim(spark: SparkSession, n: int, columns: dict[str, Column]) -> DataFrame:
+    """n rows with ids from 1; each column is an expression over ``id`` such as ``weighted`` or ``draw``."""
+    return spark.range(1, n + 1).select("id", *[value.alias(name) for name, value in columns.items()])
+
+
 def generate_fact(
     spark: SparkSession, n: int, students: DataFrame, n_courses: int, n_terms: int, seed: int = 42,
 ) -> DataFrame:

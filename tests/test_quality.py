@@ -101,3 +101,18 @@ def test_overlaps_on_the_chunked_path(spark):
     for hot in (None, 0):
         got = {(r.k, r.s) for r in joins.overlapping_windows(df, "k", "s", "e", hot).collect()}
         assert got == want
+
+
+def test_generated_dimension_is_skewed_and_dirty(spark):
+    from lakeloom.sources.generate import dirty_dates, generate_dim, weighted
+
+    n = 30_000
+    dim = generate_dim(spark, n, {
+        "status": weighted(F.col("id"), 1, ["active", "graduated", "leave"], [80, 15, 5]),
+        "email": F.concat(F.lit("s"), F.col("id").cast("string")),
+        "dob": dirty_dates("id", F.lit("2001-02-03").cast("date"))})
+    dirty = plant(dim, "id", {"email": (50, F.lit(None).cast("string"))})
+    shares = {r.status: r["count"] / n for r in dirty.groupBy("status").count().collect()}
+    assert shares["active"] == pytest.approx(0.8, abs=0.02) and shares["leave"] == pytest.approx(0.05, abs=0.02)
+    assert dirty.filter("email IS NULL").count() == n // 50
+    assert {r.dob for r in dirty.select("dob").distinct().collect()} == {"2001-02-03", "02/03/2001", "03.02.2001"}
