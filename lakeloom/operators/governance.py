@@ -99,10 +99,9 @@ def secure(
 
 def grant(access: DataFrame, principal: str, dept_id: int, by: str, at: str) -> DataFrame:
     """The mapping with one more row; nothing else changes."""
-    row = access.sparkSession.range(1).select(
-        F.lit(principal).alias("principal"), F.lit(dept_id).cast("long").alias("dept_id"),
-        F.lit(by).alias("granted_by"), F.lit(at).cast("timestamp_ntz").alias("granted_at"))
-    return access.unionByName(row.select(*[c for c in access.columns]))
+    row = access.sparkSession.createDataFrame(
+        [(principal, dept_id, by, at)], "principal string, dept_id long, granted_by string, granted_at string")
+    return access.unionByName(row.withColumn("granted_at", F.col("granted_at").cast("timestamp_ntz")).select(*access.columns))
 
 
 def visibility_report(
