@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from lakeloom.llm import jaccard
+from lakeloom.llm import jaccard, repeats
 
 QUERIES = {f.__name__: f for f in (
     jaccard.op1_ngram_jaccard,
+    repeats.op5_suffix_array_dedup,
 )}
-SQL = {**jaccard.ORACLE}
+SQL = {**jaccard.ORACLE, **repeats.ORACLE}
