@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from lakeloom.llm import jaccard, repeats
+from lakeloom.llm import gam, jaccard, repeats, tiling
 
 QUERIES = {f.__name__: f for f in (
     jaccard.op1_ngram_jaccard,
+    tiling.op2_benchmark_tiling,
     repeats.op5_suffix_array_dedup,
+    gam.op7_quality_gam,
 )}
 SQL = {**jaccard.ORACLE, **repeats.ORACLE}
