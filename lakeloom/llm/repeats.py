@@ -282,7 +282,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     seeds = marks.groupBy("code").agg(F.count("*").alias("n"), F.max("again").alias("again")).filter("n > 1 OR again").select("code")
     hits = marks.join(seeds, "code").groupBy("digest", "rep").agg(F.collect_list(F.struct("code", "lo", "win", "again")).alias("hits"))
     own = slim.withColumn("rep", F.coalesce("id", none)).withColumn("sha", F.unhex(F.sha2("text", 256)))
-    cand = durable(own.join(hits, (own.rep == hits.rep) & (own.sha == hits.digest)).select("digest", "text", "hits"), "candidates")
+    cand = durable(own.join(hits.hint("merge"), (own.rep == hits.rep) & (own.sha == hits.digest)).select("digest", "text", "hits"), "candidates")
     shape = "seed long, name binary, bytes binary, digest binary, lo long, win int, again boolean"
     places = durable(cand.mapInArrow(_segments(length, False), shape).drop("bytes"), "places")
     segments = (cand.mapInArrow(_segments(length, True), shape).groupBy("seed", "name")
