@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from lakeloom.llm import gam, jaccard, repeats, tiling
+from lakeloom.llm import gam, jaccard, pieces, repeats, tiling
 
 QUERIES = {f.__name__: f for f in (
     jaccard.op1_ngram_jaccard,
     tiling.op2_benchmark_tiling,
     repeats.op5_suffix_array_dedup,
     gam.op7_quality_gam,
+    pieces.op9_sampled_pieces,
 )}
 SQL = {**jaccard.ORACLE, **repeats.ORACLE}
