@@ -167,6 +167,25 @@ def components(edges: DataFrame) -> DataFrame:
             .union(now.select("b", "b")).distinct())
 
 
+def tie_up(ids: np.ndarray, size: np.ndarray, i: np.ndarray, j: np.ndarray) -> list[tuple[int, int, int]]:
+    """From linked pairs of one group: id, members linked with it, and the smallest id it reaches, for all that have links."""
+    links = np.bincount(i, size[j], len(ids)) + np.bincount(j, size[i], len(ids))
+    root = ids.copy()
+    while True:
+        low = np.minimum(root[i], root[j])
+        new = root.copy()
+        np.minimum.at(new, i, low)
+        np.minimum.at(new, j, low)
+        if (new == root).all():
+            break
+        root = new
+    return [x for x in zip(ids.tolist(), links.astype(np.int64).tolist(), root.tolist(), strict=True) if x[1]]
+
+
+def link_rows(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int64()) for k in range(3)], ["id", "links", "root"])
+
+
 def grouped(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
     """Runs of equal keys out of a sorted stream, each as one table."""
     held: list[pa.Table] = []

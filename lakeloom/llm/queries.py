@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from lakeloom.llm import gam, jaccard, pieces, repeats, tiling
+from lakeloom.llm import gam, itq, jaccard, packing, pieces, repeats, tiling, wrappers
 
 QUERIES = {f.__name__: f for f in (
     jaccard.op1_ngram_jaccard,
     tiling.op2_benchmark_tiling,
+    itq.op3_itq_near_duplicates,
     repeats.op5_suffix_array_dedup,
+    packing.op6_packed_tokens,
     gam.op7_quality_gam,
+    wrappers.op8_wrapper_extraction,
     pieces.op9_sampled_pieces,
 )}
-SQL = {**jaccard.ORACLE, **repeats.ORACLE}
+SQL = {**jaccard.ORACLE, **itq.ORACLE, **repeats.ORACLE}
