@@ -226,7 +226,7 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     groups = cand.groupBy("comp").agg(F.greatest(
         F.ceil(F.sum("grams") / BLOCK_GRAMS), F.ceil(F.count("*") / BLOCK_SETS)).cast("int").alias("blocks"))
     members = cand.join(groups, "comp").withColumn("block", F.pmod(F.xxhash64("rep"), "blocks").cast("int"))
-    sets = (slim.join(members.withColumnRenamed("rep", "id").drop("grams"), "id")
+    sets = (slim.join(members.withColumnRenamed("rep", "id").drop("grams").hint("merge"), "id")
             .select("id", "text", "key", "comp", "size", "blocks", "block")
             .mapInArrow(_blocks(n), "comp long, bi int, bj int, block int, id long, size long, set binary"))
     found = durable(sets.repartition("comp", "bi", "bj").sortWithinPartitions("comp", "bi", "bj")
