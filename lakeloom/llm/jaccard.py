@@ -12,8 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import (GOLD, components, durable, gram_hashes, grouped, mix, ragged, row_counts, span_hashes,
-                                 spans, table, text_of)
+from lakeloom.llm.common import (GOLD, components, durable, gram_hashes, grouped, link_rows, mix, ragged, row_counts,
+                                 span_hashes, spans, table, text_of, tie_up)
 from lakeloom.llm.common import chunks as text_chunks
 
 #: A verifying task holds two blocks of at most so many n-grams and sets.
@@ -164,28 +164,14 @@ def _verify(threshold: Fraction):
             if group["bi"][0].as_py() != group["bj"][0].as_py():
                 hit &= block[i] != block[j]
             i, j = i[hit], j[hit]
-            links = np.bincount(i, size[j], len(ids)) + np.bincount(j, size[i], len(ids))
-            root = ids.copy()
-            while True:
-                low = np.minimum(root[i], root[j])
-                new = root.copy()
-                np.minimum.at(new, i, low)
-                np.minimum.at(new, j, low)
-                if (new == root).all():
-                    break
-                root = new
-            out += [x for x in zip(ids.tolist(), links.astype(np.int64).tolist(), root.tolist(), strict=True) if x[1]]
+            out += tie_up(ids, size, i, j)
             if len(out) > 20_000:
-                yield _links(out)
+                yield link_rows(out)
                 out = []
-        yield _links(out)
+        yield link_rows(out)
     return run
 
 
-def _links(rows: list[tuple]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int64()) for k in range(3)], ["id", "links", "root"])
-
-
 def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5,
                        threshold: float = 0.8, recall: float = 0.9999, hashes: int = 256) -> DataFrame:
     """Documents whose sets of ``n`` consecutive words have a Jaccard similarity of ``threshold`` or more.
