@@ -52,19 +52,15 @@ class UnitIds:
         self.size = np.zeros(0, np.int64)
         self.flat = np.zeros(0, np.int32)
 
-    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts laid end to end, and how many each has."""
-        starts = unit_starts(data, offsets)
-        if not len(starts):
-            return np.zeros(0, np.int32), np.zeros(len(offsets) - 1, np.int64)
-        ends = np.append(starts[1:], len(data))
+    def units(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Hashes of the different units, the unit of each span, and the place of each unit's ids in ``start`` and ``size``."""
         hashes, one, unit = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
         at = np.searchsorted(self.keys, hashes)
         new = np.flatnonzero(np.append(self.keys, np.uint64(0))[at] != hashes)
+        if len(new) and len(self.keys) and len(self.keys) + len(new) > REMEMBERED:
+            self._forget()
+            at, new = np.zeros(len(hashes), np.int64), np.arange(len(hashes))
         if len(new):
-            if len(self.keys) + len(new) > REMEMBERED and len(self.keys):
-                self._forget()
-                return self.encode(data, offsets)
             text = memoryview(data)
             ids = [self.encoding.encode_ordinary(str(text[a:b], "utf-8")) for a, b in zip(starts[one[new]].tolist(), ends[one[new]].tolist(), strict=True)]
             size = np.array([len(x) for x in ids], np.int64)
@@ -73,7 +69,15 @@ class UnitIds:
             self.flat = np.concatenate([self.flat, np.fromiter((i for x in ids for i in x), np.int32, int(size.sum()))])
             self.keys = np.insert(self.keys, at[new], hashes[new])
             at = np.searchsorted(self.keys, hashes)
-        which = at[unit.ravel()]
+        return hashes, unit.ravel(), at
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts laid end to end, and how many each has."""
+        starts = unit_starts(data, offsets)
+        if not len(starts):
+            return np.zeros(0, np.int32), np.zeros(len(offsets) - 1, np.int64)
+        _, unit, at = self.units(data, starts, np.append(starts[1:], len(data)))
+        which = at[unit]
         row = np.searchsorted(offsets, starts, "right") - 1
         return gather(self.flat, self.start[which], self.size[which]), np.bincount(row, self.size[which], len(offsets) - 1).astype(np.int64)
 

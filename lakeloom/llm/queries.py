@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from lakeloom.llm import gam, itq, jaccard, packing, pieces, repeats, tiling, wrappers
+from lakeloom.llm import gam, itq, jaccard, packing, pieces, repeats, tiling, toxicity, wrappers
 
 QUERIES = {f.__name__: f for f in (
     jaccard.op1_ngram_jaccard,
     tiling.op2_benchmark_tiling,
     itq.op3_itq_near_duplicates,
+    toxicity.op4_toxic_neighbours,
     repeats.op5_suffix_array_dedup,
     packing.op6_packed_tokens,
     gam.op7_quality_gam,
