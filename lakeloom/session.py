@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,11 +43,14 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
     ``spark.checkpoint.dir`` is read from the session. Only where it is unset
-    (tests on one machine) is a folder of our own chosen, once per application.
+    and everything runs in one process (tests) is a folder of our own chosen,
+    once per application; a cluster without the setting is an error.
     """
     context = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir", None)
     if not path:
+        if not context.master.partition("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         app = context.applicationId
         if app not in _own_dirs:
             _own_dirs[app] = tempfile.mkdtemp(prefix="lakeloom-shared-")
@@ -55,7 +60,41 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, never reused path below the shared folder, kept per application."""
-    return f"{_app_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{_app_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    for paths in _scopes:
+        paths.append(path)
+    return path
+
+
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def collecting() -> Iterator[list[str]]:
+    """The paths that are staged inside the block, for ``drop``."""
+    paths: list[str] = []
+    _scopes.append(paths)
+    try:
+        yield paths
+    finally:
+        _scopes[:] = [s for s in _scopes if s is not paths]
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[list[str]]:
+    """Everything staged inside the block is deleted at its end; write or collect results before."""
+    with collecting() as paths:
+        try:
+            yield paths
+        finally:
+            drop(spark, paths)
+
+
+def drop(spark: SparkSession, paths: list[str]) -> None:
+    """Delete staged paths that no DataFrame needs any more."""
+    while paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(paths.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def _app_dir(spark: SparkSession) -> str:
