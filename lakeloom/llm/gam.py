@@ -248,13 +248,30 @@ def score_quality(docs: DataFrame, model: AdditiveModel, id_col: str = "doc_id",
     return slim.mapInArrow(run, f"`{id_col}` long, score double")
 
 
+def keep_scored(docs: DataFrame, model: AdditiveModel, least: float, text_col: str = "text") -> DataFrame:
+    """The rows whose text scores at least ``least``, with all their columns; nothing is shuffled."""
+    place = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            scores = [model.score(text_features(offsets, data)) for _, offsets, data in chunks(batch.column(place))]
+            yield batch.filter(pa.array(np.concatenate([*scores, np.zeros(0)]) >= least))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 #: A document is good from this score on.
 GOOD = 0.7
 
 
+def quality_model(docs: DataFrame, labels: DataFrame) -> AdditiveModel:
+    """Learned from labels outside of the held-out quarter of ids."""
+    return fit_quality(docs, labels.filter(fold("doc_id", 4) != 2))
+
+
 def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Scores learned from labels outside of the held-out quarter of ids."""
-    model = fit_quality(docs, labels.filter(fold("doc_id", 4) != 2))
+    """Score and verdict of every document."""
+    model = quality_model(docs, labels)
     return (score_quality(docs, model)
             .select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= GOOD).cast("int").alias("predicted")))
 

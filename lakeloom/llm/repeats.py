@@ -236,12 +236,12 @@ def _cut(length: int):
                 edges = [0, *np.stack([a, b], 1).ravel().tolist(), len(body)]
                 kept = b"".join(body[x:y] for x, y in zip(edges[::2], edges[1::2], strict=True))
                 out.append((digest[r].as_py(), int((b - a).sum()), [{"start": x, "end": y} for x, y in zip(a.tolist(), b.tolist(), strict=True)],
-                            kept, hashlib.sha256(kept).hexdigest()))
+                            kept, hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "ignore")))
             yield pa.RecordBatch.from_arrays([
                 blobs([x[0] for x in out]), pa.array([x[1] for x in out], pa.int64()),
                 pa.array([x[2] for x in out], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
-                blobs([x[3] for x in out]), pa.array([x[4] for x in out], pa.string()),
-            ], ["digest", "n_removed", "spans", "kept", "kept_sha256"])
+                blobs([x[3] for x in out]), pa.array([x[4] for x in out], pa.string()), pa.array([x[5] for x in out], pa.string()),
+            ], ["digest", "n_removed", "spans", "kept", "kept_sha256", "kept_text"])
     return run
 
 
@@ -250,7 +250,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     Returns one row per input row: the id, ``n_bytes``, ``n_removed``,
     ``n_spans``, ``spans`` (maximal removed runs as byte offsets), ``kept``
-    (the remaining bytes; null where nothing goes) and ``kept_sha256``.
+    (the remaining bytes; null where nothing goes), ``kept_text`` (the same
+    without characters that a cut divides), ``digest`` (SHA-256 of the whole
+    text) and ``kept_sha256``.
 
     1. Every window has a least hash among its 32-byte grams. Equal windows
        have equal least hashes, so runs of windows with one such seed are all
@@ -305,7 +307,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             .groupBy("digest").agg(F.collect_set(F.struct((F.col("lo") + F.col("first")).alias("a"),
                                                           (F.col("lo") + F.col("last") + (length - 1)).alias("b"))).alias("cuts")))
     changed = (cand.select("digest", "text").join(cuts, "digest")
-               .mapInArrow(_cut(length), "digest binary, n_removed long, spans array<struct<start:long,end:long>>, kept binary, kept_sha256 string")
+               .mapInArrow(_cut(length), "digest binary, n_removed long, spans array<struct<start:long,end:long>>, kept binary, kept_sha256 string, kept_text string")
                .dropDuplicates(["digest"]))
     copied = (F.col("copies") > 1) & (F.col("n_bytes") >= length)
     whole = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n_bytes").alias("end")))
@@ -317,6 +319,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                     F.when(F.col("copied"), F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_removed"),
                     F.size("spans").cast("long").alias("n_spans"), "spans",
                     F.when(F.col("copied"), F.unhex(F.lit(""))).otherwise(F.col("kept")).alias("kept"),
+                    F.when(F.col("copied"), F.lit("")).otherwise(F.col("kept_text")).alias("kept_text"), "digest",
                     F.when(F.col("copied"), F.sha2(F.lit(""), 256)).otherwise(F.coalesce("kept_sha256", F.lower(F.hex("digest")))).alias("kept_sha256")))
 
 
