@@ -52,9 +52,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document without its repeated strings of 400 bytes; ``n_chars`` follows the text."""
     cut = (repeats.remove_repeats(docs).filter("n_removed > 0")
-           .groupBy("digest").agg(F.first("kept_text").alias("__kept")))
+           .groupBy(F.col("digest").alias("__digest")).agg(F.first("kept_text").alias("__kept")))
     own = docs.withColumn("__digest", F.unhex(F.sha2(F.col("text").cast("binary"), 256)))
-    joined = own.join(cut, own["__digest"] == cut["digest"], "left")
+    joined = own.join(cut, "__digest", "left")
     new = {"text": F.coalesce("__kept", "text"), "n_chars": F.when(F.col("__kept").isNotNull(), F.char_length("__kept")).otherwise(F.col("n_chars"))}
     return joined.select(*[new[c].cast(docs.schema[c].dataType).alias(c) if c in new else c for c in docs.columns])
 

@@ -14,6 +14,8 @@ RAW = frozenset("script style textarea title noscript iframe xmp noembed noframe
 BLOCK = frozenset("""address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form
  h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre section summary table tbody td tfoot th thead
  tr ul""".split())
+#: Elements nested deeper become siblings, as in browsers.
+DEPTH = 150
 #: An opening tag ends open elements of these kinds, up to the nearest element of the second kinds.
 _CELL = frozenset({"td", "th"})
 ENDS = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
@@ -22,10 +24,11 @@ ENDS = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "children", "parent", "shape", "size", "text")
+    __slots__ = ("tag", "attrs", "children", "parent", "depth", "shape", "size", "text")
 
     def __init__(self, tag: str, attrs: str, parent: Node | None) -> None:
         self.tag, self.attrs, self.parent = tag, attrs, parent
+        self.depth: int = parent.depth + 1 if parent else 0
         self.children: list[Node | str] = []
         self.shape = self.size = 0
         self.text = ""
@@ -76,10 +79,8 @@ def parse(page: str) -> Node:
         if tag in RAW:
             close = re.compile(f"</{re.escape(tag)}(?=[\\s/>])[^>]*>", re.I).search(page, at)
             at = close.end() if close else end
-        elif tag not in VOID and not token[3].rstrip().endswith("/"):
+        elif tag not in VOID and (tag in BLOCK or not token[3].rstrip().endswith("/")) and node.depth < DEPTH:
             here = node
-        elif tag not in VOID and tag in BLOCK:
-            here = node  # a slash does not close these
     return root
 
 
