@@ -11,7 +11,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, StructType
 
 from lakeloom.operators.windows import boundary_keys
 
@@ -24,20 +24,33 @@ def require_unique(df: DataFrame, keys: list[str], what: str) -> None:
         raise ValueError(f"{what} has more than one row for a key of {keys}")
 
 
-def _values(df: DataFrame, keys: list[str]) -> list[str]:
-    return [c for c in df.columns if c not in keys]
+def _values(keys: list[str], *frames: DataFrame) -> dict[str, DataType]:
+    """All value columns of some snapshots in order of appearance, each with its newest type."""
+    found: dict[str, DataType] = {}
+    for df in frames:
+        found |= {f.name: f.dataType for f in df.schema.fields if f.name not in keys and f.name not in (START, END)}
+    return found
+
+
+def _image(df: DataFrame, values: dict[str, DataType]) -> Column:
+    """The value columns as a struct; a column that a snapshot lacks is NULL there."""
+    return F.struct(*[(F.col(c) if c in df.columns else F.lit(None)).cast(t).alias(c) for c, t in values.items()])
 
 
 def _paired(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """Full outer join of two snapshots: keys, struct ``old``, struct ``new`` (NULL if absent)."""
-    cols = _values(old, keys)
-    a = old.select(*keys, F.struct(*cols).alias("old"))
-    b = new.select(*keys, F.struct(*cols).alias("new"))
+    values = _values(keys, old, new)
+    a = old.select(*keys, _image(old, values).alias("old"))
+    b = new.select(*keys, _image(new, values).alias("new"))
     return a.join(b, keys, "full")
 
 
 def diff_snapshots(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    """keys, change (insert / update / delete) and both images; equal rows are left out."""
+    """keys, change (insert / update / delete) and both images; equal rows are left out.
+
+    The images hold the columns of both snapshots. A column that was added or
+    dropped counts as NULL on the other side, so its values are updates.
+    """
     change = (F.when(F.col("old").isNull(), "insert").when(F.col("new").isNull(), "delete")
               .when(~F.col("old").eqNullSafe(F.col("new")), "update"))
     return (_paired(old, new, keys).withColumn("change", change)
@@ -57,11 +70,14 @@ def change_log(old: DataFrame, new: DataFrame, keys: list[str], version: int) ->
 
 
 def scd1(target: DataFrame, snapshot: DataFrame, keys: list[str]) -> DataFrame:
-    """Latest state after applying a complete snapshot; deletes propagate."""
-    changes = diff_snapshots(target, snapshot, keys)
-    kept = target.join(changes.select(*keys), keys, "left_anti")
-    new = changes.filter(F.col("new").isNotNull()).select(*keys, "new.*")
-    return kept.unionByName(new)
+    """Latest state after applying a complete snapshot; deletes propagate.
+
+    What a complete snapshot holds is the state: nothing of the target is read.
+    Columns keep the target's order, added ones follow, dropped ones go.
+    """
+    require_unique(snapshot, keys, "snapshot")
+    order = [c for c in target.columns if c in snapshot.columns]
+    return snapshot.select(*order, *[c for c in snapshot.columns if c not in order])
 
 
 def scd2_start(snapshot: DataFrame, version: int) -> DataFrame:
@@ -73,12 +89,12 @@ def scd2(history: DataFrame, snapshot: DataFrame, version: int, keys: list[str])
 
     Closed rows pass through; open rows meet the snapshot in one full join that
     closes, keeps or opens, so each version costs one shuffle of the open rows.
+    Columns added or dropped between versions are NULL where they are missing.
     """
-    cols = _values(snapshot, keys)
-    closed = history.filter(F.col(END).isNotNull())
-    current = history.filter(F.col(END).isNull()).select(
-        *keys, F.struct(*cols).alias("old"), F.col(START).alias("_from"))
-    pairs = current.join(snapshot.select(*keys, F.struct(*cols).alias("new")), keys, "full")
+    values = _values(keys, history, snapshot)
+    closed = history.filter(F.col(END).isNotNull()).select(*keys, _image(history, values).alias("r"), START, END).select(*keys, "r.*", START, END)
+    current = history.filter(F.col(END).isNull()).select(*keys, _image(history, values).alias("old"), F.col(START).alias("_from"))
+    pairs = current.join(snapshot.select(*keys, _image(snapshot, values).alias("new")), keys, "full")
     none = F.lit(None).cast("int")
     same = F.col("old").eqNullSafe(F.col("new"))
 
@@ -103,9 +119,9 @@ def scd2_from(snapshots: list[tuple[DataFrame, int]], keys: list[str]) -> DataFr
     number of snapshots, never the data, bounds the rows of one key.
     """
     versions = [v for _, v in snapshots]
-    cols = _values(snapshots[0][0], keys)
+    values = _values(keys, *[df for df, _ in snapshots])
     union = reduce(DataFrame.unionByName, [
-        df.select(*keys, F.lit(v).alias("_v"), F.struct(*cols).alias("_row")) for df, v in snapshots])
+        df.select(*keys, F.lit(v).alias("_v"), _image(df, values).alias("_row")) for df, v in snapshots])
     following = dict(zip(versions, versions[1:]))
     # At most one entry per snapshot and key.
     per_key = union.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("_v", "_row"))).alias("s"))

@@ -7,18 +7,10 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.functions.masks import MASKS
+from lakeloom.functions.masks import MASKS, register_sql_masks
 from lakeloom.functions.text import matches_any
 
-ADMIN_GROUP = "admins"
-
-
-@dataclass(frozen=True)
-class Principal:
-    """Who is reading: a name, the mask role and whether filters apply at all."""
-
-    name: str
-    role: str = "other"
+ADMIN_GROUP, FACULTY_GROUP, STUDENT_GROUP = "admins", "faculty", "students"
 
 
 @dataclass
@@ -57,6 +49,14 @@ def is_member(memberships: DataFrame, principal: str, group: str) -> bool:
     return not hit.limit(1).isEmpty()
 
 
+def role_of(memberships: DataFrame, principal: str) -> Column:
+    """The principal's mask role, from its groups; a subquery, so it is answered whenever a plan runs."""
+    groups = memberships.filter(F.col("principal") == principal)
+    within = lambda group: F.bool_or(F.col("group_name") == group)
+    return groups.agg(F.when(within(ADMIN_GROUP), "admin").when(within(FACULTY_GROUP), "faculty")
+                      .when(within(STUDENT_GROUP), "student").otherwise("other")).scalar()
+
+
 def allowed_values(access: DataFrame, memberships: DataFrame, principal: str, col: str) -> DataFrame:
     """Values mapped to the principal or to one of its groups; empty for an unmapped one."""
     who = identities(memberships, principal)
@@ -70,31 +70,33 @@ def row_filter(
 ) -> DataFrame:
     """Admins see all rows, mapped principals their values, everyone else none.
 
-    With ``self_col`` a third tier sees only rows naming the principal (G22). Each
-    tier is a predicate or a semi join, never a join on an OR.
+    With ``self_col`` a third tier, students, sees only rows naming the
+    principal (G22). Who the principal is gets decided when the plan runs: the
+    role is a subquery, the mapped values a join with one row per value.
     """
-    if is_member(memberships, principal, ADMIN_GROUP):
-        return df
-    visible = df.join(allowed_values(access, memberships, principal, col), col, "left_semi")
-    if self_col is None or not is_member(memberships, principal, "students"):
-        return visible.select(*df.columns)
-    return df.filter(F.col(self_col) == principal)
+    role = role_of(memberships, principal)
+    mapped = allowed_values(access, memberships, principal, col).select(F.col(col).alias("_mapped"))
+    seen = F.col("_mapped").isNotNull()
+    if self_col is not None:
+        seen = F.when(role == "student", F.col(self_col) == principal).otherwise(seen)
+    return (df.join(mapped, F.col(col) == F.col("_mapped"), "left")
+            .filter((role == "admin") | F.coalesce(seen, F.lit(False))).select(*df.columns))
 
 
-def mask_columns(df: DataFrame, masks: dict[str, str], role: str) -> DataFrame:
+def mask_columns(df: DataFrame, masks: dict[str, str], role: Column | str) -> DataFrame:
     """Replace each masked column by its expression, all others unchanged."""
     return df.select(*[MASKS[masks[c]](c, role).alias(c) if c in masks else F.col(c) for c in df.columns])
 
 
 def secure(
-    df: DataFrame, schema: str, table: str, policies: Policies, principal: Principal,
+    df: DataFrame, schema: str, table: str, policies: Policies, principal: str,
     access: DataFrame, memberships: DataFrame,
 ) -> DataFrame:
-    """Filter on raw values first, then mask."""
+    """Filter on raw values first, then mask by the role that the memberships give."""
     col = policies.filters.get((schema, table))
-    seen = row_filter(df, access, memberships, principal.name, col) if col else df
+    seen = row_filter(df, access, memberships, principal, col) if col else df
     masks = {c: m for (s, t, c), m in policies.masks.items() if (s, t) == (schema, table)}
-    return mask_columns(seen, masks, principal.role)
+    return mask_columns(seen, masks, role_of(memberships, principal))
 
 
 def grant(access: DataFrame, principal: str, dept_id: int, by: str, at: str) -> DataFrame:
@@ -255,11 +257,25 @@ def code_activity(log: DataFrame, as_of: str, days: int) -> DataFrame:
 
 
 def create_secured_view(
-    spark: SparkSession, name: str, df: DataFrame, schema: str, table: str, policies: Policies,
-    principal: Principal, access: DataFrame, memberships: DataFrame,
+    spark: SparkSession, name: str, source: str, schema: str, table: str, policies: Policies,
+    principal: str, access: str, memberships: str,
 ) -> None:
-    """One view per principal: readers of the view never name a policy."""
-    secure(df, schema, table, policies, principal, access, memberships).createOrReplaceTempView(name)
+    """One view per principal over named tables: readers of the view never name a policy.
+
+    The view keeps its text, so the memberships and mappings of the moment of
+    reading decide: a revoked admin loses access at once.
+    """
+    register_sql_masks(spark)
+    who = "'" + principal.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    role = (f"(SELECT CASE WHEN bool_or(m.group_name = '{ADMIN_GROUP}') THEN 'admin' WHEN bool_or(m.group_name = '{FACULTY_GROUP}') THEN 'faculty' "
+            f"ELSE 'other' END FROM {memberships} m WHERE m.principal = {who})")
+    masks = {c: m for (s, t, c), m in policies.masks.items() if (s, t) == (schema, table)}
+    columns = ", ".join(f"mask_{masks[c]}(`{c}`, {role}) AS `{c}`" if c in masks else f"`{c}`" for c in spark.table(source).columns)
+    col = policies.filters.get((schema, table))
+    rows = "" if col is None else (
+        f" WHERE {role} = 'admin' OR `{col}` IN (SELECT a.`{col}` FROM {access} a LEFT JOIN {memberships} g ON a.principal = g.group_name "
+        f"WHERE a.principal = {who} OR g.principal = {who})")
+    spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW {name} AS SELECT {columns} FROM {source}{rows}")
 
 
 def tier_predicate(role: Column, own_dept: Column, dept: Column, own_id: Column, row_id: Column) -> Column:

@@ -79,7 +79,7 @@ def majority_rate(df: DataFrame, label: str) -> DataFrame:
         F.round(F.col("largest") / F.col("total"), 6).alias("majority_rate"), "total")
 
 
-def confusion(scored: DataFrame, label: str = "label", n: int = 10) -> DataFrame:
-    """The n most frequent (actual, predicted) pairs."""
-    return (scored.groupBy(F.col(label).alias("actual"), "predicted").agg(F.count("*").alias("n"))
-            .orderBy(F.desc("n"), "actual", "predicted").limit(n))
+def confusion(scored: DataFrame, label: str = "label", n: int | None = 10) -> DataFrame:
+    """The n most frequent (actual, predicted) pairs, or all of them."""
+    pairs = scored.groupBy(F.col(label).alias("actual"), "predicted").agg(F.count("*").alias("n"))
+    return pairs if n is None else pairs.orderBy(F.desc("n"), "actual", "predicted").limit(n)

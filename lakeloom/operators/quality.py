@@ -68,19 +68,22 @@ def profile(df: DataFrame, columns: list[str], bounds: dict[str, tuple[float, fl
 
     long = df.select(F.explode(F.array(*[item(c) for c in columns])).alias("r")).select("r.*")
     # One row per (column, value): everything else is computed from the counts.
-    values = long.groupBy("column_name", "t", "x", "outlier").agg(F.count("*").alias("n"))
+    values = durable(long.groupBy("column_name", "t", "x", "outlier").agg(F.count("*").alias("n")), "values")
     n, x = F.col("n"), F.col("x")
     sums = values.groupBy("column_name").agg(
         F.sum("n").alias("row_count"),
         F.sum(F.when(F.col("t").isNull(), n).otherwise(0)).alias("null_count"),
         F.count("t").alias("distinct_count"),
-        F.sum(F.when(x.isNotNull(), n)).alias("_nx"),
-        F.sum(x * n).alias("_sx"), F.sum(x * x * n).alias("_sxx"),
+        F.sum(F.when(x.isNotNull(), n)).alias("_nx"), F.sum(x * n).alias("_sx"),
         F.min("x").alias("min_value"), F.max("x").alias("max_value"),
         F.sum(F.when(F.col("outlier"), n).otherwise(0)).alias("outliers"))
     mean = F.col("_sx") / F.col("_nx")
-    var = (F.col("_sxx") - F.col("_sx") * mean) / F.nullif(F.col("_nx") - 1, F.lit(0))
-    return sums.select(
+    # One row per column is joined back, so that squares are of distances from the mean.
+    away = F.col("x") - F.col("_mean")
+    spread = (values.filter("x IS NOT NULL").join(F.broadcast(sums.select("column_name", mean.alias("_mean"))), "column_name")
+              .groupBy("column_name").agg(F.sum(away * away * n).alias("_square")))
+    var = F.col("_square") / F.nullif(F.col("_nx") - 1, F.lit(0))
+    return sums.join(spread, "column_name", "left").select(
         "column_name", "row_count",
         F.round(100.0 * F.col("null_count") / F.col("row_count"), 4).alias("null_pct"),
         "distinct_count", F.round(mean, 4).alias("mean"),

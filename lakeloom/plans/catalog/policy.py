@@ -69,7 +69,8 @@ def g07_visibility_report(c: Campus):
 
 @query("G08 G04", f"SELECT {MASKED} FROM student WHERE dept_id IN (SELECT dept_id FROM allowed WHERE principal = '{USER}')", "student allowed")
 def g08_filter_and_mask(c: Campus):
-    return gov.secure(c.student, "sandbox", "student", POLICIES, gov.Principal(USER, "faculty"), c.access, c.memberships)
+    staff = c.memberships.unionByName(c.spark.range(1).select(F.lit(USER).alias("principal"), F.lit(gov.FACULTY_GROUP).alias("group_name")))
+    return gov.secure(c.student, "sandbox", "student", POLICIES, USER, c.access, staff)
 
 
 @query("G09", """SELECT faculty_id, ssn AS true_value, ssn AS as_admin, '***-**-' || right(ssn, 4) AS as_faculty, NULL::VARCHAR AS as_student FROM faculty""", "faculty")
@@ -238,10 +239,18 @@ def d01_sql_mask_functions(c: Campus):
         "GROUP BY student_id) a ON a.student_id = s.student_id", s=c.student, a=c.aid)
 
 
-@query("D02 G05 J08", f"SELECT student_id, dept_id FROM student WHERE dept_id IN (SELECT dept_id FROM access WHERE principal = '{USER}')", "student access")
+@query("D02 G05 J08", f"""SELECT 'mapped' AS acting_as, student_id, dept_id FROM student WHERE dept_id IN (SELECT dept_id FROM allowed WHERE principal = '{USER}')
+    UNION ALL SELECT 'admin', student_id, dept_id FROM student WHERE EXISTS (SELECT * FROM memberships WHERE group_name = 'admins')""", "student allowed memberships")
 def d02_sql_filter_function(c: Campus):
-    """A boolean SQL function with a subquery; Spark plans it as a semi join."""
+    """A boolean SQL function with an admin branch and mappings of groups, as subqueries."""
     c.access.createOrReplaceTempView("lakeloom_access")
+    c.memberships.createOrReplaceTempView("lakeloom_members")
     c.spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION lakeloom_may_see(dept BIGINT, who STRING) RETURNS BOOLEAN "
-                "RETURN dept IN (SELECT a.dept_id FROM lakeloom_access a WHERE a.principal = who)")
-    return c.spark.sql(f"SELECT student_id, dept_id FROM {{s}} WHERE lakeloom_may_see(dept_id, '{USER}')", s=c.student)
+                "RETURN EXISTS (SELECT 1 FROM lakeloom_members m WHERE m.principal = who AND m.group_name = 'admins') "
+                "OR dept IN (SELECT a.dept_id FROM lakeloom_access a LEFT JOIN lakeloom_members g ON a.principal = g.group_name "
+                "WHERE a.principal = who OR g.principal = who)")
+    admin = c.memberships.filter(F.col("group_name") == gov.ADMIN_GROUP).agg(F.min("principal")).first()[0]
+    people = {"mapped": USER} | ({"admin": admin} if admin is not None else {})
+    parts = [c.spark.sql(f"SELECT '{label}' AS acting_as, student_id, dept_id FROM {{s}} WHERE lakeloom_may_see(dept_id, '{who}')", s=c.student)
+             for label, who in people.items()]
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])

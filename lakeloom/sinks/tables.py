@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -67,16 +67,26 @@ def delete_where(target: DataFrame, predicate: Column) -> DataFrame:
 
 
 def merge_partitions(path: str, source: DataFrame, keys: list[str], partition: str) -> DataFrame:
-    """Upsert into a partitioned table, rewriting only partitions the source touches.
+    """Upsert into a partitioned table, rewriting only the partitions that change.
 
-    For tables whose keys stay within one partition value.
+    These are the ones the source names, NULL included, and the ones where its
+    keys stand now: a key whose partition value changes moves. Partitions that
+    lose their last row are deleted after the others are written.
     """
     spark = source.sparkSession
-    touched = source.select(partition).distinct()
-    # The touched partition values prune the scan at run time.
-    target = spark.read.parquet(path).join(touched, partition, "left_semi")
+    table = spark.read.parquet(path).withColumn(partition, F.col(partition).cast(source.schema[partition].dataType))
+    now = table.join(source.select(*keys), keys, "left_semi").select(partition)
+    touched = durable(source.select(partition).union(now).distinct().withColumnRenamed(partition, "_touched"), "touched")
+    target = table.join(touched, F.col(partition).eqNullSafe(F.col("_touched")), "left_semi")
     merged = durable(merge_upsert(target, source, keys), "merge")
-    return replace_partition(merged, path, partition)
+    left = merged.select(partition).distinct()
+    emptied = touched.join(left, F.col("_touched").eqNullSafe(F.col(partition)), "left_anti").select(F.col("_touched").cast("string")).collect()
+    replace_partition(merged, path, partition)
+    jvm = spark._jvm
+    for (value,) in emptied:
+        folder = jvm.org.apache.hadoop.fs.Path(path, jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString(partition, value))
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    return spark.read.schema(table.schema).parquet(path)
 
 
 def copy_table(src: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
@@ -133,10 +143,10 @@ class VersionedTable:
         number = self.version() + 1 if version is None else version
         if number <= self.version():
             return self.version()  # applied before: replays are harmless
-        df.write.mode("overwrite").parquet(f"{self.path}/v={number}")
-        rows = self.spark.read.parquet(f"{self.path}/v={number}").count()
+        seen = Observation()  # rows are counted while they are written
+        df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(f"{self.path}/v={number}")
         entry = [(number, operation, self.spark.sparkContext.sparkUser(),
-                  dt.datetime.now(dt.timezone.utc), rows, df.schema.json())]
+                  dt.datetime.now(dt.timezone.utc), seen.get["rows"], df.schema.json())]
         self.spark.createDataFrame(entry, self.LOG).coalesce(1).write.mode("append").json(f"{self.path}/_log")
         return number
 

@@ -21,24 +21,45 @@ def apply_snapshot(table: VersionedTable, snapshot: DataFrame, version: int, key
     return table.commit(state, f"SCD{kind}", version)
 
 
+COMPLETE = "version int, row_count long"
+
+
 def stream_snapshots(
     spark: SparkSession, path: str, schema, checkpoint: str, target: str, keys: list[str], kind: int = 2,
-    version: str = "snapshot_version",
+    version: str = "snapshot_version", complete: str | None = None,
 ) -> VersionedTable:
     """Read snapshot files tagged with a version and maintain the target.
 
-    Each micro batch may bring several versions; they are folded in order. The
-    target's own log decides what is new, so a replayed batch changes nothing.
+    A snapshot may arrive in any number of drops. Rows are staged per micro
+    batch, so a replayed batch replaces itself, and a version is folded in only
+    when the JSON rows (version, row_count) below ``complete`` (default: the
+    folder ``_complete`` of ``path``) announce it and that many rows are there.
+    Versions are folded in order; a version that is not whole holds back later ones.
     """
     table = VersionedTable(spark, target)
+    staged, markers = f"{target}/_staged", complete or f"{path}/_complete"
 
-    def fold(batch: DataFrame, _epoch: int) -> None:
-        versions = sorted(r[0] for r in batch.select(version).distinct().collect())  # one value per snapshot
-        for number in versions:
-            rows = batch.filter(F.col(version) == number).drop(version)
-            apply_snapshot(table, rows, number, keys, kind)
+    def stage(batch: DataFrame, epoch: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{staged}/batch-{epoch}")
 
-    query = (spark.readStream.schema(schema).parquet(path).writeStream.foreachBatch(fold)
+    query = (spark.readStream.schema(schema).parquet(path).writeStream.foreachBatch(stage)
              .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     query.awaitTermination()
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    held = [hadoop.Path(p) for p in (markers, staged)]
+    if not all(p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p) for p in held):
+        return table
+    rows = spark.read.schema(schema).option("recursiveFileLookup", True).parquet(staged)
+    for number, expected in sorted(spark.read.schema(COMPLETE).json(markers).distinct().collect()):  # one row per snapshot
+        if number <= table.version():
+            continue
+        own = rows.filter(F.col(version) == number).drop(version)
+        if own.count() != expected:
+            break
+        apply_snapshot(table, own, number, keys, kind)
     return table
+
+
+def announce(spark: SparkSession, path: str, version: int, row_count: int) -> None:
+    """Declare a snapshot complete once ``row_count`` rows of it have arrived below ``path``."""
+    spark.createDataFrame([(version, row_count)], COMPLETE).coalesce(1).write.mode("append").json(f"{path}/_complete")

@@ -2,8 +2,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakeloom.operators import cdc
-from lakeloom.sinks.tables import VersionedTable, merge_upsert
-from lakeloom.streaming.cdc import apply_snapshot, stream_snapshots
+from lakeloom.sinks.tables import VersionedTable, merge_partitions, merge_upsert
+from lakeloom.streaming.cdc import announce, apply_snapshot, stream_snapshots
 
 SHAPE = "id long, dept long, status string"
 
@@ -66,6 +66,7 @@ def test_stream_keeps_history(spark, tmp_path, kind):
     schema = snaps[0][0].withColumn("snapshot_version", F.lit(1)).schema
     for df, version in snaps:
         df.withColumn("snapshot_version", F.lit(version)).write.mode("append").parquet(str(tmp_path / "in"))
+        announce(spark, str(tmp_path / "in"), version, df.count())
         for _ in range(2):
             table = stream_snapshots(spark, str(tmp_path / "in"), schema, str(tmp_path / "cp"), str(tmp_path / "t"), ["id"], kind)
     got = {tuple(r) for r in table.read().collect()}
@@ -149,3 +150,41 @@ def test_schema_changes_are_logged(spark, tmp_path):
     rows = {(r.version, r.column_name, r.change, r.old_type, r.new_type) for r in table.schema_history().collect()}
     assert rows == {(1, "extra", "add", None, "int"), (1, "status", "drop", "string", None), (1, "dept", "retype", "bigint", "string")}
     assert table.schema_history().filter("user_name IS NULL OR at IS NULL").count() == 0
+
+
+def test_split_snapshot_waits_for_its_rest(spark, tmp_path):
+    (first, _), (second, _), _ = snapshots(spark)
+    tagged = lambda df, v: df.withColumn("snapshot_version", F.lit(v))
+    schema = tagged(first, 1).schema
+
+    def drop(df, v, rows=None):
+        tagged(df, v).write.mode("append").parquet(str(tmp_path / "in"))
+        if rows:
+            announce(spark, str(tmp_path / "in"), v, rows)
+        return stream_snapshots(spark, str(tmp_path / "in"), schema, str(tmp_path / "cp"), str(tmp_path / "t"), ["id"], 1).version()
+
+    assert drop(first.filter("id < 3"), 1) == -1
+    assert drop(second.filter("id = 1"), 2, 2) == -1
+    assert drop(first.filter("id = 3"), 1, 3) == 1
+    assert drop(second.filter("id = 2"), 2) == 2
+    assert {r.id for r in VersionedTable(spark, str(tmp_path / "t")).read().collect()} == {1, 2}
+
+
+def test_added_and_dropped_columns(spark):
+    old = spark.createDataFrame([(1, 1, "a"), (2, 1, "b")], SHAPE)
+    new = spark.createDataFrame([(1, 1, "x"), (2, 1, None)], "id long, dept long, email string")
+    changes = {r.id: r for r in cdc.diff_snapshots(old, new, ["id"]).collect()}
+    assert changes[1].change == "update" and changes[1].old.email is None and changes[1].new.email == "x" and changes[1].new.status is None
+    assert cdc.scd1(old, new, ["id"]).columns == ["id", "dept", "email"]
+    history = cdc.scd2(cdc.scd2_start(old, 1), new, 2, ["id"])
+    assert {(r.id, r.status, r.email, r[cdc.START], r[cdc.END]) for r in history.collect()} == {
+        (1, "a", None, 1, 2), (1, None, "x", 2, None), (2, "b", None, 1, 2), (2, None, None, 2, None)}
+    assert {tuple(r) for r in cdc.scd2_from([(old, 1), (new, 2)], ["id"]).select(*history.columns).collect()} == {tuple(r) for r in history.collect()}
+
+
+def test_merge_keeps_null_partitions_and_moves_keys(spark, tmp_path):
+    path = str(tmp_path / "p")
+    spark.createDataFrame([(1, "a", None), (2, "b", None), (3, "c", "x"), (4, "d", "y"), (5, "e", "z")], "id long, v string, part string").write.partitionBy("part").parquet(path)
+    source = spark.createDataFrame([(1, "new", None), (4, "moved", "x"), (6, "f", "w")], "id long, v string, part string")
+    got = {tuple(r) for r in merge_partitions(path, source, ["id"], "part").select("id", "v", "part").collect()}
+    assert got == {(1, "new", None), (2, "b", None), (3, "c", "x"), (4, "moved", "x"), (5, "e", "z"), (6, "f", "w")}

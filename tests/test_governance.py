@@ -36,26 +36,35 @@ def test_nested_visibility_and_grant(world, spark):
     assert {r.dept_id for r in gov.row_filter(students, wider, members, "ana").collect()} == {1, 3}
 
 
-def test_masks_by_role_and_unparseable_date(world):
+def test_masks_by_role_and_unparseable_date(world, spark):
     students, access, members = world
     policies = gov.Policies({("s", "student", "ssn"): "partial", ("s", "student", "dob"): "year"}, {("s", "student"): "dept_id"})
 
-    def seen(role):
-        return {r.student_id: (r.ssn, r.dob) for r in gov.secure(
-            students, "s", "student", policies, gov.Principal("ana", role), access, members).collect()}
+    def seen(*groups):
+        own = members.unionByName(spark.createDataFrame([("ana", g) for g in groups] or [("ana", "none")], members.schema))
+        return {r.student_id: (r.ssn, r.dob) for r in gov.secure(students, "s", "student", policies, "ana", access, own).collect()}
 
     assert set(seen("faculty")) == {1, 5, 9, 13, 17}
     assert seen("faculty")[1] == ("***-**-0001", "1999-XX-XX")
     assert seen("faculty")[5] == ("***-**-0005", None)
-    assert seen("admin")[5] == ("900-00-0005", "unknown")
-    assert set(seen("guest").values()) == {(None, None)}
+    assert seen("admins")[5] == ("900-00-0005", "unknown") and len(seen("admins")) == 20
+    assert set(seen("guests").values()) == set(seen().values()) == {(None, None)}
 
 
-def test_secured_view_hides_policy(world, spark):
+def test_secured_view_follows_memberships(world, spark):
     students, access, members = world
     policies = gov.Policies({("s", "student", "ssn"): "partial"}, {("s", "student"): "dept_id"})
-    gov.create_secured_view(spark, "student_for_ana", students, "s", "student", policies, gov.Principal("ana", "faculty"), access, members)
-    assert {r.ssn[:7] for r in spark.sql("SELECT ssn FROM student_for_ana").collect()} == {"***-**-"}
+    students.createOrReplaceTempView("view_students")
+    access.createOrReplaceTempView("view_access")
+    members.unionByName(spark.createDataFrame([("ana", "faculty"), ("o'brien", "admins")], members.schema)).createOrReplaceTempView("view_members")
+    for name, who in (("for_ana", "ana"), ("for_admin", "o'brien")):
+        gov.create_secured_view(spark, name, "view_students", "s", "student", policies, who, "view_access", "view_members")
+    assert {r.ssn[:7] for r in spark.sql("SELECT ssn FROM for_ana").collect()} == {"***-**-"}
+    assert spark.table("for_admin").count() == 20 and spark.table("for_admin").first().ssn.startswith("900")
+    members.createOrReplaceTempView("view_members")
+    assert spark.table("for_admin").count() == 0
+    assert {r.ssn for r in spark.table("for_ana").collect()} == {None}
+
 
 
 def test_leaks_and_gaps(spark, world):

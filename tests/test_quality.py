@@ -116,3 +116,9 @@ def test_generated_dimension_is_skewed_and_dirty(spark):
     assert shares["active"] == pytest.approx(0.8, abs=0.02) and shares["leave"] == pytest.approx(0.05, abs=0.02)
     assert dirty.filter("email IS NULL").count() == n // 50
     assert {r.dob for r in dirty.select("dob").distinct().collect()} == {"2001-02-03", "02/03/2001", "03.02.2001"}
+
+
+def test_deviation_of_large_values(spark):
+    rows = spark.range(1000).select((F.lit(3_000_000_000) + F.col("id")).alias("big"))
+    got = quality.profile(rows, ["big"]).first()
+    assert abs(got.stddev - rows.agg(F.stddev_samp("big")).first()[0]) < 1e-3
