@@ -106,7 +106,8 @@ def temporal_join(
     facts is spread over its months; the range test is then a residual filter.
     """
     covers = (F.col(ts) >= F.col(start)) & (F.col(end).isNull() | (F.col(ts) < F.col(end)))
-    right = windows.withColumnRenamed(key, "_wkey")
+    # A window that ends before it starts covers nothing, on either path.
+    right = windows.withColumnRenamed(key, "_wkey").filter(F.col(end).isNull() | (F.col(start) < F.col(end)))
     if fits_broadcast(right) if small is None else small:
         return facts.join(F.broadcast(right), (F.col(key) == F.col("_wkey")) & covers, how).drop("_wkey")
     horizon = facts.agg(F.max(ts).alias("m")).first()["m"]  # one value

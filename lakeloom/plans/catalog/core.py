@@ -11,6 +11,7 @@ from lakeloom.operators.telemetry import tier
 from lakeloom.plans.campus import GRADES, Campus
 from lakeloom.plans.oracle import STANDING, TIER, case_band, list_of
 from lakeloom.plans.registry import query
+from lakeloom.session import durable
 
 AVG = "round(sum(round({x} * {m})::BIGINT)::DOUBLE / count({x}) / {m}::DOUBLE, {d})"
 
@@ -251,17 +252,17 @@ def j10_aggregate_join_back(c: Campus):
     return joins.aggregate_and_join_back(rows, ["dept_id"], students=F.countDistinct("student_id"))
 
 
-@query("J11 X08", """WITH files AS (SELECT student_id, first_name, dept_id FROM student WHERE status <> 'withdrawn'),
+@query("J11 X08", """WITH files AS (SELECT student_id, first_name, last_name, dept_id FROM student WHERE status <> 'withdrawn'),
     db AS (SELECT student_id, status FROM student WHERE status <> 'leave')
-    SELECT e.enrollment_id, e.student_id, f.first_name, f.dept_id, CASE WHEN f.student_id IS NOT NULL THEN d.status END AS status,
+    SELECT e.enrollment_id, e.student_id, e.course_id, e.term_id, e.gpa_points, f.first_name, f.last_name, f.dept_id, CASE WHEN f.student_id IS NOT NULL THEN d.status END AS status,
       e.grade, concat_ws('+', CASE WHEN f.student_id IS NOT NULL THEN 'file' END,
         CASE WHEN f.student_id IS NOT NULL AND d.student_id IS NOT NULL THEN 'db' END, 'api') AS source_system
     FROM enrollment e LEFT JOIN files f USING (student_id) LEFT JOIN db d ON d.student_id = e.student_id""",
        "enrollment student")
 def x08_multisource_reconciliation(c: Campus):
-    files = c.student.filter(F.col("status") != "withdrawn").select("student_id", "first_name", "dept_id")
+    files = c.student.filter(F.col("status") != "withdrawn").select("student_id", "first_name", "last_name", "dept_id")
     db = c.student.filter(F.col("status") != "leave").select("student_id", "status")
-    api = c.enrollment.select("enrollment_id", "student_id", "grade")
+    api = c.enrollment.select("enrollment_id", "student_id", "course_id", "term_id", "grade", "gpa_points")
     return joins.reconcile(api, [(files, "file"), (db, "db")], "student_id", "api")
 
 
@@ -360,14 +361,15 @@ def a06_global_kpis(c: Campus):
 
 
 @query("A07", f"""SELECT student_id, 0::INTEGER AS part, count(*) AS courses_taken, {avg_sql('gpa_points', 1, 3)} AS avg_gpa,
-    array_to_string(list_sort(list(grade)), ',') AS grade_history, sum(CASE WHEN grade = 'F' THEN 1 ELSE 0 END)::BIGINT AS failures
+    array_to_string(list_sort(list(grade) FILTER (grade IS NOT NULL)), ',') AS grade_history, sum(CASE WHEN grade = 'F' THEN 1 ELSE 0 END)::BIGINT AS failures
     FROM enrollment GROUP BY 1""", "enrollment")
 def a07_student_summary(c: Campus):
     base = c.enrollment.groupBy("student_id").agg(
         F.count("*").alias("courses_taken"), values.exact_avg("gpa_points", 1, 3).alias("avg_gpa"),
         F.sum(F.when(F.col("grade") == "F", 1).otherwise(0)).alias("failures"))
     grades = ordered.list_values(c.enrollment, ["student_id"], "grade", "grade_history")
-    return base.join(grades.withColumn("grade_history", F.array_join("grade_history", ",")), "student_id")
+    listed = grades.withColumn("grade_history", F.array_join("grade_history", ","))
+    return base.join(listed, "student_id", "left").withColumn("part", F.coalesce("part", F.lit(0)))
 
 
 @query("A08 F11", """SELECT dept_id, 0::INTEGER AS part, count(*)::INTEGER AS n_courses,
@@ -477,6 +479,25 @@ def a21_department_summary(c: Campus):
     return agg.join(c.department.select("dept_id", F.col("name").alias("department"), "division"), "dept_id")
 
 
+def busiest_departments(c: Campus, n: int):
+    """The n departments with most enrolments; names join the n rows that are left."""
+    agg = windows.top(aggregates.counts(c.history, "dept_id"), [F.desc("n"), F.col("dept_id")], n)
+    return agg.join(c.department.select("dept_id", F.col("name").alias("department")), "dept_id").select("department", F.col("n").alias("enrollments"))
+
+
+TOP_SQL = """SELECT d.name AS department, n AS enrollments FROM (SELECT dept_id, count(*) AS n FROM history GROUP BY 1 ORDER BY n DESC, dept_id LIMIT {}) JOIN department d USING (dept_id)"""
+
+
+@query("A21 L02", TOP_SQL.format(15), "history department")
+def a21_top_departments(c: Campus):
+    return busiest_departments(c, 15)
+
+
+@query("A23 L02", TOP_SQL.format(10), "history department")
+def a23_largest_departments(c: Campus):
+    return busiest_departments(c, 10)
+
+
 @query("A21", f"WITH {STAR_SQL} SELECT year, count(enrollment_id) AS enrollment_count FROM star GROUP BY 1", STAR_NEEDS)
 def a21_by_year(c: Campus):
     return star(c).groupBy("year").agg(F.count("enrollment_id").alias("enrollment_count"))
@@ -637,11 +658,12 @@ def l03_boundary_keys(c: Campus):
     return first.unionByName(last)
 
 
-@query("L04", f"""SELECT t.term_id, t.year || ' ' || t.season AS term_label, count(*) AS enrollments, {GPA4} AS avg_gpa
-    FROM history JOIN term t USING (term_id) GROUP BY 1, 2 ORDER BY 1""", "history term")
+@query("L04", f"""SELECT t.term_id, t.year, t.season, t.year || ' ' || t.season AS term_label, count(*) AS enrollments,
+    count(DISTINCT student_id) AS distinct_students, {GPA4} AS avg_gpa FROM history JOIN term t USING (term_id) GROUP BY 1, 2, 3, 4 ORDER BY 1""", "history term")
 def l04_chronological_trend(c: Campus):
-    agg = c.history.groupBy("term_id").agg(F.count("*").alias("enrollments"), values.exact_avg("gpa_points", 1, 4).alias("avg_gpa"))
-    label = c.term.select("term_id", F.concat("year", F.lit(" "), "season").alias("term_label"))
+    agg = c.history.groupBy("term_id").agg(F.count("*").alias("enrollments"), F.countDistinct("student_id").alias("distinct_students"),
+                                           values.exact_avg("gpa_points", 1, 4).alias("avg_gpa"))
+    label = c.term.select("term_id", "year", "season", F.concat("year", F.lit(" "), "season").alias("term_label"))
     return agg.join(label, "term_id").orderBy("term_id")
 
 
@@ -777,6 +799,14 @@ def q01_expect_or_drop(c: Campus):
     return kept
 
 
+@query("Q01", f"WITH {STAGED_SQL} SELECT 'gpa_castable' AS expectation, count(*) AS seen, sum(CASE WHEN gpa_typed IS NULL AND gpa_raw IS NOT NULL THEN 1 ELSE 0 END)::BIGINT AS dropped FROM staged", "enrollment")
+def q01_drop_counts(c: Campus):
+    """What the expectation saw and dropped, observed while the kept rows are written."""
+    kept, seen = quality.expect_or_drop(staged_casts(c), "gpa_castable", F.col("gpa_typed").isNotNull() | F.col("gpa_raw").isNull())
+    durable(kept, "kept")
+    return c.spark.createDataFrame([("gpa_castable", seen.get["seen"], seen.get["dropped"])], "expectation string, seen long, dropped long")
+
+
 @query("Q02", f"WITH {STAGED_SQL} SELECT enrollment_id, gpa_raw, gpa_raw IS NOT NULL AND gpa_typed IS NULL AS rejected FROM staged", "enrollment")
 def q02_quarantine(c: Campus):
     valid, rejects = quality.quarantine(staged_casts(c), F.col("gpa_raw").isNotNull() & F.col("gpa_typed").isNull())

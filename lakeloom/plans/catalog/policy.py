@@ -245,12 +245,13 @@ def d02_sql_filter_function(c: Campus):
     """A boolean SQL function with an admin branch and mappings of groups, as subqueries."""
     c.access.createOrReplaceTempView("lakeloom_access")
     c.memberships.createOrReplaceTempView("lakeloom_members")
-    c.spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION lakeloom_may_see(dept BIGINT, who STRING) RETURNS BOOLEAN "
-                "RETURN EXISTS (SELECT 1 FROM lakeloom_members m WHERE m.principal = who AND m.group_name = 'admins') "
-                "OR dept IN (SELECT a.dept_id FROM lakeloom_access a LEFT JOIN lakeloom_members g ON a.principal = g.group_name "
-                "WHERE a.principal = who OR g.principal = who)")
     admin = c.memberships.filter(F.col("group_name") == gov.ADMIN_GROUP).agg(F.min("principal")).first()[0]
     people = {"mapped": USER} | ({"admin": admin} if admin is not None else {})
-    parts = [c.spark.sql(f"SELECT '{label}' AS acting_as, student_id, dept_id FROM {{s}} WHERE lakeloom_may_see(dept_id, '{who}')", s=c.student)
-             for label, who in people.items()]
+    parts = []
+    for label, who in people.items():  # the principal stands in the function, so its subqueries are answered once, not per row
+        c.spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION lakeloom_may_see_{label}(dept BIGINT) RETURNS BOOLEAN "
+                    f"RETURN EXISTS (SELECT 1 FROM lakeloom_members m WHERE m.principal = '{who}' AND m.group_name = 'admins') "
+                    "OR dept IN (SELECT a.dept_id FROM lakeloom_access a LEFT JOIN lakeloom_members g ON a.principal = g.group_name "
+                    f"WHERE a.principal = '{who}' OR g.principal = '{who}')")
+        parts.append(c.spark.sql(f"SELECT '{label}' AS acting_as, student_id, dept_id FROM {{s}} WHERE lakeloom_may_see_{label}(dept_id)", s=c.student))
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])

@@ -51,13 +51,13 @@ def x02_student_enriched(c: Campus):
 
 @query("X03", """SELECT student_id, dob, born AS dob_parsed, year(born)::INTEGER AS birth_year, dayname(born) AS birth_dow,
     floor((DATE '2024-09-01' - born) / 365.25::DOUBLE)::INTEGER AS age_years,
-    TIMESTAMP '2024-09-01 08:30:00' AS load_ts_eastern, TIMESTAMP '2024-09-01 05:30:00' AS load_ts_pacific FROM student""", "student")
+    TIMESTAMP '2024-09-01 12:30:00' AS load_ts_utc, TIMESTAMP '2024-09-01 08:30:00' AS load_ts_eastern, TIMESTAMP '2024-09-01 05:30:00' AS load_ts_pacific FROM student""", "student")
 def x03_student_dates(c: Campus):
     loaded = F.lit("2024-09-01 12:30:00").cast("timestamp_ntz")
     born = dates.parse_mixed_date("dob")
     return c.student.select(
         "student_id", "dob", born.alias("dob_parsed"), F.year(born).alias("birth_year"), dates.weekday(born).alias("birth_dow"),
-        dates.age_years(born, "2024-09-01").alias("age_years"), dates.in_zone(loaded, "America/New_York").alias("load_ts_eastern"),
+        dates.age_years(born, "2024-09-01").alias("age_years"), loaded.alias("load_ts_utc"), dates.in_zone(loaded, "America/New_York").alias("load_ts_eastern"),
         dates.in_zone(loaded, "America/Los_Angeles").alias("load_ts_pacific"))
 
 
@@ -68,31 +68,52 @@ def x03_student_dates(c: Campus):
       course_id, term_id, grade, gpa_points, round(budget_amount::DOUBLE / n.n, 2) AS budget_per_student
     FROM f JOIN n USING (dept_name)""", "enrollment course student budget")
 def x04_budget_enrollment(c: Campus):
-    joined = (c.enrollment.join(c.course.select("course_id", "dept_id"), "course_id")
-              .join(c.student.filter(F.col("status") == "active").select("student_id"), "student_id").join(c.budget, "dept_id"))
-    named = joined.withColumnsRenamed({"dept_name": "department", "budget_amount": "total_budget", "approved_date": "budget_approved"})
-    counted = joins.aggregate_and_join_back(named, ["department"], _students=F.countDistinct("student_id"))
-    return counted.withColumn("budget_per_student", F.round(F.col("total_budget") / F.col("_students"), 2)).drop("_students", "dept_id")
+    """Students are counted per department first, so the budgets meet the fact in one join."""
+    facts = (c.enrollment.join(c.course.select("course_id", "dept_id"), "course_id")
+             .join(c.student.filter(F.col("status") == "active").select("student_id"), "student_id"))
+    students = facts.select("dept_id", "student_id").groupBy("dept_id").agg(F.countDistinct("student_id").alias("_students"))
+    budgets = durable(c.budget.withColumnsRenamed({"dept_name": "department", "budget_amount": "total_budget", "approved_date": "budget_approved"})
+                      .join(students, "dept_id", "left"), "budgets")
+    return (facts.join(budgets, "dept_id")
+            .withColumn("budget_per_student", F.round(F.col("total_budget") / F.col("_students"), 2)).drop("_students", "dept_id"))
 
 
-@query("X05 J01 P03 L02", f"""WITH {STAR_SQL} SELECT enrollment_id, s.student_id, first_name || ' ' || last_name AS student_name, course_id,
-    term_id, year, season, grade, gpa_points, department FROM star JOIN student s USING (student_id)
-    ORDER BY year DESC, enrollment_id LIMIT 10000""", STAR_NEEDS + " student")
+EXPORT_SQL = """SELECT enrollment_id, s.student_id, first_name || ' ' || last_name AS student_name, course_id, title AS course_title,
+    term_id, star.year, season, grade, gpa_points, department FROM star JOIN student s USING (student_id) JOIN (SELECT course_id, title FROM course) USING (course_id)"""
+
+
+def enrollment_export(c: Campus, limit: int | None):
+    """Newest years first, at most ``limit`` rows; all rows, unordered, without one."""
+    named = c.student.select("student_id", text.display_name("first_name", "last_name").alias("student_name"))
+    titled = c.course.select("course_id", F.col("title").alias("course_title"))
+    rows = star(c).filter(values.all_of([None, None])).join(named, "student_id").join(titled, "course_id").drop("dept_id")
+    return rows if limit is None else windows.top(rows, [F.desc("year"), F.col("enrollment_id")], limit)
+
+
+@query("X05 J01 P03 L02", f"WITH {STAR_SQL} {EXPORT_SQL} ORDER BY year DESC, enrollment_id LIMIT 10000", STAR_NEEDS + " student")
 def x05_enrollment_export(c: Campus):
     """The interactive export: the limit is its guardrail."""
-    named = c.student.select("student_id", text.display_name("first_name", "last_name").alias("student_name"))
-    rows = star(c).filter(values.all_of([None, None])).join(named, "student_id").drop("dept_id")
-    return windows.top(rows, [F.desc("year"), F.col("enrollment_id")], 10000)
+    return enrollment_export(c, 10_000)
+
+
+@query("X05 J01", f"WITH {STAR_SQL} {EXPORT_SQL}", STAR_NEEDS + " student")
+def x05_full_export(c: Campus):
+    return enrollment_export(c, None)
 
 
 def daily_summary(c: Campus, run_date: str):
-    """One row about the whole fact: exact median, so a rerun gives the same row."""
-    base = c.history.agg(
-        F.lit(run_date).cast("date").alias("run_date"), F.count("*").alias("total_enrollments"),
-        F.countDistinct("student_id").alias("unique_students"), F.countDistinct("course_id").alias("unique_courses"),
-        values.exact_avg("gpa_points", 1, 4).alias("avg_gpa"), F.count_if(F.col("gpa_points").isNull()).alias("withdrawals"))
-    median = ordered.exact_percentiles(c.history, [], "gpa_points", {"m": 0.5})
-    return base.withColumn("median_gpa", F.round(median.select("m").scalar(), 4))
+    """One row about the whole fact, which is read once: grades travel as counts of their few values."""
+    slim = durable(c.history.select("student_id", "course_id", "gpa_points"), "slim")
+    distinct = slim.agg(F.countDistinct("student_id").alias("unique_students"), F.countDistinct("course_id").alias("unique_courses"))
+    counts = durable(slim.groupBy("gpa_points").agg(F.count("*").alias("n")), "grades")
+    tenths = F.round(F.col("gpa_points") * 10).cast("long")  # grades have one decimal
+    graded = F.sum(F.when(F.col("gpa_points").isNotNull(), F.col("n")))
+    totals = counts.agg(F.sum("n").alias("total_enrollments"), F.round(F.sum(tenths * F.col("n")) / graded / 10, 4).alias("avg_gpa"),
+                        F.coalesce(F.sum(F.when(F.col("gpa_points").isNull(), F.col("n"))), F.lit(0)).alias("withdrawals"))
+    median = ordered.exact_percentiles(slim, [], "gpa_points", {"m": 0.5})
+    return totals.select(F.lit(run_date).cast("date").alias("run_date"), "total_enrollments",
+                         distinct.select("unique_students").scalar().alias("unique_students"), distinct.select("unique_courses").scalar().alias("unique_courses"),
+                         "avg_gpa", "withdrawals", F.round(median.select("m").scalar(), 4).alias("median_gpa"))
 
 
 @query("X06 A06 A09 K02", f"""SELECT DATE '2024-02-01' AS run_date, count(*) AS total_enrollments, count(DISTINCT student_id) AS unique_students,

@@ -4,41 +4,35 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-SINGLE_FILE_ROWS = 1_000_000
+def export_delimited(df: DataFrame, path: str, sep: str = ",", quote_all: bool = False, single: bool = True) -> None:
+    """Delimited text with header (K04, K05): one part if ``single``, as many as ``df`` has partitions otherwise.
 
-
-def _is_small(df: DataFrame, rows: int) -> bool:
-    return df.limit(rows + 1).count() <= rows
-
-
-def export_delimited(
-    df: DataFrame, path: str, sep: str = ",", quote_all: bool = False, single: bool = True,
-    single_rows: int = SINGLE_FILE_ROWS,
-) -> None:
-    """Delimited text with header (K04, K05). One part only if the rows are proven few."""
-    out = df.coalesce(1) if single and _is_small(df, single_rows) else df
+    One part passes all rows through one task; the caller chooses, never the number of rows.
+    """
+    out = df.coalesce(1) if single else df
     (out.write.mode("overwrite").option("header", True).option("sep", sep).option("quoteAll", quote_all)
      .option("escape", '"').csv(path))
 
 
-def export_single_file(df: DataFrame, file: str, sep: str = "|", single_rows: int = SINGLE_FILE_ROWS) -> list[str]:
-    """Delimited text under a chosen file name.
+def export_single_file(df: DataFrame, file: str, sep: str = "|", single: bool = True) -> list[str]:
+    """Delimited text under a chosen file name, or, if not ``single``, numbered siblings of it.
 
-    Beyond ``single_rows`` the export keeps its parts, as numbered siblings of
-    the chosen name, rather than passing all rows through one task.
+    Files that an earlier export left under the name or as its siblings go.
     """
     spark = df.sparkSession
     staged = f"{file}.parts"
-    export_delimited(df, staged, sep=sep, single_rows=single_rows)
+    export_delimited(df, staged, sep=sep, single=single)
     hadoop = spark._jvm.org.apache.hadoop.fs
     source = hadoop.Path(staged)
     store = source.getFileSystem(spark._jsc.hadoopConfiguration())
     parts = sorted(s.getPath().getName() for s in store.listStatus(source) if s.getPath().getName().startswith("part-"))
     stem, dot, ending = file.rpartition(".")
-    names = [file] if len(parts) == 1 else [f"{stem}-{i:05d}{dot}{ending}" for i in range(len(parts))]
+    for old in [hadoop.Path(file), *[s.getPath() for s in store.globStatus(hadoop.Path(f"{stem}-[0-9][0-9][0-9][0-9][0-9]{dot}{ending}"))]]:
+        store.delete(old, False)
+    names = [file] if single else [f"{stem}-{i:05d}{dot}{ending}" for i in range(len(parts))]
     for part, name in zip(parts, names):
-        store.delete(hadoop.Path(name), False)
-        store.rename(hadoop.Path(source, part), hadoop.Path(name))
+        if not store.rename(hadoop.Path(source, part), hadoop.Path(name)):
+            raise OSError(f"{part} could not be renamed to {name}; the export stays in {staged}")
     store.delete(source, True)
     return names
 

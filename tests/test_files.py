@@ -130,13 +130,15 @@ def test_pages_of_a_table(spark):
     assert [r.id for r in files.keyset_page(df, "id", 99, 3).collect()] == [100, 101, 102]
 
 
-def test_single_file_name_and_overflow(spark, tmp_path):
+def test_single_file_name_and_siblings(spark, tmp_path):
     df = spark.range(50).repartition(4)
     one = out.export_single_file(df, str(tmp_path / "ids.txt"), sep="|")
     assert one == [str(tmp_path / "ids.txt")] and len((tmp_path / "ids.txt").read_text().split()) == 51
-    many = out.export_single_file(df, str(tmp_path / "big.txt"), sep="|", single_rows=10)
+    many = out.export_single_file(df, str(tmp_path / "big.txt"), sep="|", single=False)
     assert len(many) == 4
     assert spark.read.option("header", True).csv(many).count() == 50
+    again = out.export_single_file(df.limit(5), str(tmp_path / "big.txt"), sep="|")
+    assert [str(p) for p in tmp_path.glob("big*")] == again
 
 
 def test_json_and_xml_leave_nulls_out(spark, tmp_path):

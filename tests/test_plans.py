@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from lakeloom.operators.joins import split_join
 from lakeloom.operators.sizing import attach, checked_broadcast, fits_broadcast
+from lakeloom.plans import catalog  # noqa: F401  (registers the queries)
 from lakeloom.plans.registry import QUERIES
 from lakeloom.sinks import tables
 from conftest import SF
@@ -73,7 +74,9 @@ def test_clustered_fact_prunes_directories(spark, campus, tmp_path):
     fact = tables.write_clustered(campus.history.select("enrollment_id", "term_id", "dept_id"), str(tmp_path / "f"), "term_id", ["dept_id"])
     hit = fact.filter("term_id = 9 AND dept_id = 5")
     assert "PartitionFilters: [isnotnull(term_id" in plan(hit)
-    assert all("term_id=9" in f for f in hit.inputFiles()) or len(fact.inputFiles()) >= 20
+    hit.collect()
+    read = hit.select(F.input_file_name().alias("f")).distinct().collect()
+    assert read and all("term_id=9" in r.f for r in read)
 
 
 def test_hot_key_is_split_when_joined_back(spark):
@@ -98,7 +101,7 @@ def test_hot_key_is_split_when_joined_back(spark):
 
 def test_no_cartesian_products_anywhere(spark):
     for name, q in QUERIES.items():
-        if name[:1] in "jatwq":
+        if name[:1] in "jatwqgxclupfd":  # others write and read files, and so have no plan of their own
             text = plan(q.run(spark, SF))
             assert "CartesianProduct" not in text, name
             assert "BroadcastNestedLoopJoin" not in text, name
