@@ -9,11 +9,13 @@ from lakeloom.functions.values import exact_total
 from lakeloom.operators.aggregates import share
 from lakeloom.operators.joins import overlapping_windows, temporal_join
 from lakeloom.operators.sizing import HOT_ROWS, fits_broadcast
+from lakeloom.operators.telemetry import recent
 from lakeloom.session import durable
 
 
-def priced(usage: DataFrame, prices: DataFrame) -> DataFrame:
-    """Usage with the list price valid at its end; unpriced usage keeps a NULL cost."""
+def priced(usage: DataFrame, prices: DataFrame, as_of: str, days: int) -> DataFrame:
+    """Usage of a rolling window with the list price valid at its end; unpriced usage keeps a NULL cost."""
+    usage = recent(usage, "usage_end", as_of, days)
     prices = durable(prices, "prices")  # looked at three times below
     small = fits_broadcast(prices)
     hot = None if small else HOT_ROWS

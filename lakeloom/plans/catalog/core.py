@@ -298,7 +298,7 @@ def j15_scalar_allocation(c: Campus):
 
     weights = c.spark.createDataFrame([("Teaching", 0.5), ("Research", 0.3), ("Services", 0.2)],
                                       "department string, weight double")
-    return chargeback(weights, priced(c.usage, c.prices), "cost")
+    return chargeback(weights, priced(c.usage, c.prices, "2001-12-31", 2557), "cost")
 
 
 @query("J16", """SELECT e.enrollment_id, c.dept_id AS course_dept, b.dept_name, b.budget_amount FROM enrollment e

@@ -148,11 +148,15 @@ def x10_active_students(c: Campus):
 # -- T: telemetry -----------------------------------------------------------------
 
 
+#: (as of, days before): the whole of what the given logs and the given usage cover.
+LOG_WINDOW, SPEND_WINDOW = ("2024-01-31", 30), ("2001-12-31", 2557)
+
+
 def runs(c: Campus):
     return telemetry.run_history([
-        telemetry.timeline_runs(c.job_periods, c.jobs, "job_id", "run_id", "Job"),
-        telemetry.timeline_runs(c.pipeline_periods, c.pipelines, "pipeline_id", "update_id", "Pipeline"),
-        telemetry.statement_runs(c.query_history)])
+        telemetry.timeline_runs(c.job_periods, c.jobs, "job_id", "run_id", "Job", *LOG_WINDOW),
+        telemetry.timeline_runs(c.pipeline_periods, c.pipelines, "pipeline_id", "update_id", "Pipeline", *SPEND_WINDOW),
+        telemetry.statement_runs(c.query_history, *LOG_WINDOW)])
 
 
 @query("T01 U01 W06 A14", "SELECT workload_type, name, run_id, start_time, end_time, raw_state, status, round(secs / 60.0::DOUBLE, 2) AS duration_min FROM runs", "runs")
@@ -180,12 +184,12 @@ TASK_SQL = """task AS (SELECT job_id, run_id, task_key, min(period_start) AS sta
 
 @query("T04", f"WITH {TASK_SQL} SELECT * FROM done", "job_periods job_names")
 def t04_task_detail(c: Campus):
-    return telemetry.task_runs(c.job_periods, c.jobs)
+    return telemetry.task_runs(c.job_periods, c.jobs, *LOG_WINDOW)
 
 
 @query("T04", f"WITH {TASK_SQL} SELECT task_key, count(*) AS n, {avg_sql('duration_min', 2, 4)} AS avg_min FROM done GROUP BY 1", "job_periods job_names")
 def t04_task_average(c: Campus):
-    return telemetry.task_runs(c.job_periods, c.jobs).groupBy("task_key").agg(
+    return telemetry.task_runs(c.job_periods, c.jobs, *LOG_WINDOW).groupBy("task_key").agg(
         F.count("*").alias("n"), values.exact_avg("duration_min", 2, 4).alias("avg_min"))
 
 
@@ -193,24 +197,32 @@ def t04_task_average(c: Campus):
     sum(CASE WHEN waiting_ms > 0 THEN 1 ELSE 0 END)::BIGINT AS throttled, round(avg(waiting_ms), 0) AS avg_queue_ms,
     round(quantile_cont(total_duration_ms, 0.95), 2) AS p95_ms FROM query_history GROUP BY 1, 2""", "query_history")
 def t05_daily_capacity(c: Campus):
-    return telemetry.daily_capacity(c.query_history)
+    return telemetry.daily_capacity(c.query_history, *LOG_WINDOW)
 
 
 @query("T06", """SELECT date_trunc('hour', start_time) AS hour, warehouse_id, count(*) AS query_count, round(avg(total_duration_ms), 0) AS avg_ms,
     sum(CASE WHEN waiting_ms > 0 THEN 1 ELSE 0 END)::BIGINT AS throttled FROM query_history GROUP BY 1, 2""", "query_history")
 def t06_hourly_utilisation(c: Campus):
-    return telemetry.hourly_use(c.query_history)
+    return telemetry.hourly_use(c.query_history, *LOG_WINDOW)
 
 
 @query("T07", """SELECT executed_by AS user_name, count(*) AS query_count, round(avg(total_duration_ms), 0) AS avg_ms,
     sum(CASE WHEN waiting_ms > 0 THEN 1 ELSE 0 END)::BIGINT AS throttled, sum(read_rows)::BIGINT AS rows_read FROM query_history GROUP BY 1""", "query_history")
 def t07_user_workload(c: Campus):
-    return telemetry.user_load(c.query_history)
+    return telemetry.user_load(c.query_history, *LOG_WINDOW)
+
+
+@query("T07 P10", """SELECT executed_by AS user_name, count(*) AS query_count, round(avg(total_duration_ms), 0) AS avg_ms,
+    sum(CASE WHEN waiting_ms > 0 THEN 1 ELSE 0 END)::BIGINT AS throttled, sum(read_rows)::BIGINT AS rows_read FROM query_history
+    WHERE start_time >= DATE '2024-01-13' AND start_time < DATE '2024-01-21' GROUP BY 1""", "query_history")
+def t07_week_workload(c: Campus):
+    """One day and the seven before it."""
+    return telemetry.user_load(c.query_history, "2024-01-20", 7)
 
 
 @query("T08", f"SELECT {TIER} AS perf_tier, count(*) AS queries FROM query_history GROUP BY 1", "query_history")
 def t08_tier_distribution(c: Campus):
-    return telemetry.tiers(c.query_history)
+    return telemetry.tiers(c.query_history, *LOG_WINDOW)
 
 
 @query("T09", "SELECT workload_type, name, run_id, secs AS seconds FROM runs WHERE secs > 1800", "runs")
@@ -222,7 +234,7 @@ SPEND = "round(sum(round(cost * 10000)::BIGINT)::DOUBLE / 10000, 2) AS est_usd,
 
 
 def costs(c: Campus):
-    return cost.priced(c.usage, c.prices)
+    return cost.priced(c.usage, c.prices, *SPEND_WINDOW)
 
 
 @query("T10 J07", f"SELECT product, {SPEND} FROM costs GROUP BY 1", "costs")
@@ -253,7 +265,7 @@ def t11_cost_drivers(c: Campus):
     SELECT 'segment' AS tag_key, seg AS tag_value, round(sum(round(cost * 10000)::BIGINT)::DOUBLE / 10000, 2) AS est_usd FROM t GROUP BY 1, 2
     UNION ALL SELECT 'priority', pri, round(sum(round(cost * 10000)::BIGINT)::DOUBLE / 10000, 2) FROM t GROUP BY 1, 2""", "costs")
 def t12_spend_by_tag(c: Campus):
-    return cost.spend_by_tag(cost.priced(c.usage_tagged, c.prices))
+    return cost.spend_by_tag(cost.priced(c.usage_tagged, c.prices, *SPEND_WINDOW))
 
 
 @query("T12", """WITH t AS (SELECT c.cost, o_orderstatus AS st, c_mktsegment AS seg, o_orderpriority AS pri FROM costs c JOIN orders ON order_id = o_orderkey
@@ -262,7 +274,7 @@ def t12_spend_by_tag(c: Campus):
       UNION ALL SELECT 'priority', pri, cost FROM t WHERE st <> 'P')
     SELECT tag_key, tag_value, round(sum(round(cost * 10000)::BIGINT)::DOUBLE / 10000, 2) AS est_usd FROM u GROUP BY 1, 2""", "costs")
 def t12_spend_by_tag_keep_untagged(c: Campus):
-    return cost.spend_by_tag(cost.priced(c.usage_tagged, c.prices), keep_untagged=True)
+    return cost.spend_by_tag(cost.priced(c.usage_tagged, c.prices, *SPEND_WINDOW), keep_untagged=True)
 
 
 @query("T13", """SELECT warehouse_id, count(*) AS event_count, max(cluster_count)::INTEGER AS max_clusters,
@@ -316,26 +328,26 @@ def t17_chargeback(c: Campus):
     round(total_duration_ms / 3600000.0::DOUBLE * 1.2::DOUBLE, 6) AS cost_medium,
     round(total_duration_ms / 3600000.0::DOUBLE * 0.4::DOUBLE / read_rows, 9) AS cost_per_row FROM query_history WHERE read_rows > 0""", "query_history")
 def t18_cost_per_query(c: Campus):
-    return telemetry.query_costs(c.query_history, {"small": 0.4, "medium": 1.2})
+    return telemetry.query_costs(c.query_history, *LOG_WINDOW, {"small": 0.4, "medium": 1.2})
 
 
 @query("T18", """SELECT executed_by AS user_name, count(DISTINCT statement_id) AS query_count, round(avg(total_duration_ms), 2) AS avg_ms,
     round(sum(total_duration_ms)::BIGINT / 3600000.0::DOUBLE * 0.4::DOUBLE, 4) AS estimated_cost FROM query_history GROUP BY 1""", "query_history")
 def t18_cost_per_user(c: Campus):
-    return telemetry.user_costs(c.query_history, 0.4)
+    return telemetry.user_costs(c.query_history, *LOG_WINDOW, 0.4)
 
 
 @query("T18 L01", """SELECT statement_id, executed_by AS user_name, total_duration_ms, substr(statement_text, 1, 100) AS snippet,
     round(total_duration_ms / 3600000.0::DOUBLE * 1.2::DOUBLE, 4) AS query_cost FROM query_history WHERE total_duration_ms > 5000
     ORDER BY total_duration_ms DESC, statement_id LIMIT 20""", "query_history")
 def t18_slow_queries(c: Campus):
-    return telemetry.slow_queries(c.query_history, 5000, 1.2, 20)
+    return telemetry.slow_queries(c.query_history, *LOG_WINDOW, 5000, 1.2, 20)
 
 
 @query("T18 P06", f"""SELECT {BUCKET} AS bucket, count(*) AS query_count, round(avg(read_rows), 2) AS avg_rows,
     round(avg(total_duration_ms), 2) AS avg_ms FROM query_history GROUP BY 1""", "query_history")
 def t18_latency_histogram(c: Campus):
-    return telemetry.latency_histogram(c.query_history)
+    return telemetry.latency_histogram(c.query_history, *LOG_WINDOW)
 
 
 @query("T20 A20", """WITH s AS (SELECT product, round(sum(round(cost * 10000)::BIGINT)::DOUBLE / 10000, 2) AS est_usd, sum(quantity) AS units FROM costs GROUP BY 1)
@@ -352,7 +364,7 @@ def t20_monthly_spend(c: Campus):
 
 @query("T21", "SELECT statement_id, executed_by, execution_status, total_duration_ms, read_rows FROM query_history WHERE statement_text ILIKE '%purchase_log%'", "query_history")
 def t21_statement_filter(c: Campus):
-    return telemetry.statements_like(c.query_history, "%purchase_log%")
+    return telemetry.statements_like(c.query_history, *LOG_WINDOW, "%purchase_log%")
 
 
 @query("T22", """WITH d AS (SELECT start_time::DATE AS query_date, warehouse_id, count(*) AS volume,
@@ -360,14 +372,17 @@ def t21_statement_filter(c: Campus):
     SELECT query_date, warehouse_id, 'slow_queries' AS alert, slow AS value FROM d WHERE slow > 2
     UNION ALL SELECT query_date, warehouse_id, 'query_volume', volume FROM d WHERE volume > 70""", "query_history")
 def t22_daily_alerts(c: Campus):
-    return telemetry.alerts(c.query_history, 4000, 2, 70)
+    return telemetry.alerts(c.query_history, *LOG_WINDOW, 4000, 2, 70)
 
 
 @query("T22", """WITH w AS (SELECT date_trunc('week', start_time)::DATE AS week, warehouse_id, count(DISTINCT date_trunc('hour', start_time)) AS busy_hours
-      FROM query_history GROUP BY 1, 2) SELECT week, warehouse_id, busy_hours, round(1 - busy_hours / 168.0::DOUBLE, 4) AS idle_share FROM w
+      FROM query_history GROUP BY 1, 2), ids AS (SELECT DISTINCT warehouse_id FROM query_history),
+    weeks AS (SELECT unnest(generate_series(DATE '2024-01-01', DATE '2024-01-29', INTERVAL 7 DAY))::DATE AS week),
+    a AS (SELECT weeks.week, ids.warehouse_id, coalesce(busy_hours, 0) AS busy_hours FROM ids CROSS JOIN weeks LEFT JOIN w ON w.week = weeks.week AND w.warehouse_id = ids.warehouse_id)
+    SELECT week, warehouse_id, busy_hours, round(1 - busy_hours / 168.0::DOUBLE, 4) AS idle_share FROM a
     WHERE round(1 - busy_hours / 168.0::DOUBLE, 4) > 0.02""", "query_history")
 def t22_idle_alerts(c: Campus):
-    return telemetry.idle_share(c.query_history, 0.02)
+    return telemetry.idle_share(c.query_history, *LOG_WINDOW, c.query_history.select("compute.warehouse_id"), 0.02)
 
 
 @query("T22 T14", """SELECT date_trunc('month', usage_date)::DATE AS month, round(sum(round(cost * 10000)::BIGINT)::DOUBLE / 10000, 2) AS monthly_usd

@@ -117,3 +117,18 @@ def test_split_join_sides_add_up(campus):
 def test_headline_queries_stay_in_the_jvm(spark, name):
     text = plan(QUERIES[name].run(spark, SF))
     assert "Python" not in text and "Pandas" not in text
+
+
+@pytest.mark.parametrize("name", ["t05_daily_capacity", "t06_hourly_utilisation", "t07_week_workload", "t08_tier_distribution"])
+def test_log_window_reaches_the_scan(spark, name):
+    text = plan(QUERIES[name].run(spark, SF))
+    assert "GreaterThanOrEqual(ts,2024-01-" in text and "LessThan(ts,2024-0" in text
+
+
+def test_idle_warehouses_without_queries_are_found(spark):
+    from lakeloom.operators.telemetry import idle_share
+
+    history = spark.sql("SELECT TIMESTAMP_NTZ'2024-01-09 10:00:00' AS start_time, named_struct('warehouse_id', 'a') AS compute")
+    got = {(str(r.week), r.warehouse_id, r.busy_hours) for r in idle_share(
+        history, "2024-01-14", 13, spark.createDataFrame([("a",), ("b",)], "warehouse_id string"), 0.02).collect()}
+    assert got == {("2024-01-01", "a", 0), ("2024-01-08", "a", 1), ("2024-01-01", "b", 0), ("2024-01-08", "b", 0)}

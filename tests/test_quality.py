@@ -45,7 +45,7 @@ def test_overlapping_prices_are_refused(spark):
     usage = spark.createDataFrame([("a", 1.0)], "sku_name string, quantity double").withColumn(
         "usage_end", F.lit("2020-07-01").cast("timestamp_ntz"))
     with pytest.raises(ValueError):
-        cost.priced(usage, prices)
+        cost.priced(usage, prices, "2020-12-31", 365)
 
 
 @pytest.mark.parametrize("small", [True, False])
