@@ -15,6 +15,8 @@ from lakeloom.llm.dom import BLOCK, Node, matching, measure, parse
 
 #: Pages that one wrapper is induced from at most, and characters of HTML.
 GROUP_PAGES, GROUP_CHARS = 256, 8 << 20
+#: Hosts that are dealt to several tasks at most: those with more than this fraction of all pages.
+MOST_HOT = 10_000
 #: A node is template if so many different pages have it with the same text, and this share of those that have it.
 LEAST_PAGES, CONSTANT = 4, 0.8
 
@@ -203,8 +205,9 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
     """
     slim = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), text_of(html_col).alias("html"))
     slim = slim.withColumn("host", F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[a-zA-Z][\w+.-]*://([^/?#]*)", 1)))
-    hot = slim.groupBy("host").agg(F.count("*").alias("n")).filter(F.col("n") > GROUP_PAGES)
-    return (slim.join(hot, "host", "left")
+    share = -(-slim.count() // MOST_HOT)
+    hot = slim.groupBy("host").agg(F.count("*").alias("n")).filter(F.col("n") > max(GROUP_PAGES, share))
+    return (slim.join(F.broadcast(hot), "host", "left")  # fewer than MOST_HOT hosts can have so many pages
             .withColumn("part", F.pmod(F.xxhash64("page_id", "url"), F.coalesce(F.ceil(F.col("n") / GROUP_PAGES), F.lit(1))).cast("int"))
             .select("host", "part", "page_id", "url", "html")
             .repartition("host", "part").sortWithinPartitions("host", "part", "page_id", "url")
