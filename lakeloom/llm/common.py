@@ -145,9 +145,9 @@ def components(edges: DataFrame) -> DataFrame:
     """Connected components of edges (a, b): columns id and component, the smallest id reachable.
 
     Alternating large-star and small-star rounds: every round is a minimum per
-    node, combined before the shuffle, and a join with one row per node, so a
-    node with very many neighbours is split like any skewed join. Rounds are
-    written to the shared folder; the driver sees two numbers a round.
+    node, combined before the shuffle and written, and a join with one row per
+    node. Both sides of that join are plain shuffles, so adaptive execution
+    splits a node with very many neighbours. The driver sees two numbers a round.
     """
     now = durable(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                   .filter("a <> b").distinct(), "edges")
@@ -158,9 +158,9 @@ def components(edges: DataFrame) -> DataFrame:
             break
         stamp = tuple(new)
         both = now.select(F.col("a").alias("u"), F.col("b").alias("v")).union(now.select("b", "a"))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        low = durable(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "low")
         large = both.filter("v > u").join(low, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        least = durable(large.groupBy("a").agg(F.min("b").alias("m")), "low")
         small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b")
         now = durable(small.union(least.select("a", "m")).distinct(), "edges")
     return (now.select(F.col("a").alias("id"), F.col("b").alias("component"))

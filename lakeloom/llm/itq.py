@@ -203,7 +203,7 @@ def near_duplicate_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_co
     coded = durable(classes.select("rep", "label", "dim", "embedding")
                     .mapInArrow(_codes(spark, models, bits, tables), "rep long, label int, dim int, tab int, key long, code binary"), "codes")
     bucket = ["label", "dim", "tab", "key"]
-    counts = coded.groupBy(*bucket).agg(F.count("*").alias("n")).filter("n > 1")
+    counts = durable(coded.groupBy(*bucket).agg(F.count("*").alias("n")).filter("n > 1"), "counts")
     parts = F.ceil(F.col("n") / BUCKET_ROWS)
     dealt = coded.join(counts, bucket).select(*bucket, F.pmod(F.xxhash64("rep"), parts).cast("int").alias("part"), (parts > 1).alias("hot"), "rep", "code")
     ties = durable(dealt.repartition(*bucket, "part").sortWithinPartitions(*bucket, "part", "rep")

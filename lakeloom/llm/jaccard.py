@@ -205,7 +205,7 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     classes = durable(named.groupBy("key").agg(F.min("id").alias("rep"), F.count("*").alias("size"),
                                                F.first("grams").alias("grams"), F.first("bands").alias("bands")), "classes")
     band = classes.select("rep", F.explode("bands").alias("band"))
-    shared = band.groupBy("band").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).filter("low < high")
+    shared = durable(band.groupBy("band").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).filter("low < high"), "shared")
     ties = band.join(shared.select("band", "low"), "band").filter("rep <> low").select(F.col("rep").alias("a"), F.col("low").alias("b"))
     cand = durable(components(ties).select(F.col("id").alias("rep"), F.col("component").alias("comp"))
                    .join(classes.select("rep", "key", "size", "grams"), "rep"), "candidates")

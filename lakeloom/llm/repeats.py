@@ -281,7 +281,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         F.min(F.coalesce("id", none)).alias("rep"), F.count("*").alias("copies"), F.first("n_bytes").alias("n_bytes"),
         F.first("code").alias("code"), F.first("lo").alias("lo"), F.first("win").alias("win"), F.first("again").alias("again")), "classes")
     marks = classes.select("digest", "rep", F.explode(F.arrays_zip("code", "lo", "win", "again")).alias("m")).select("digest", "rep", "m.*")
-    seeds = marks.groupBy("code").agg(F.count("*").alias("n"), F.max("again").alias("again")).filter("n > 1 OR again").select("code")
+    seeds = durable(marks.groupBy("code").agg(F.count("*").alias("n"), F.max("again").alias("again")).filter("n > 1 OR again").select("code"), "seeds")
     hits = marks.join(seeds, "code").groupBy("digest", "rep").agg(F.collect_list(F.struct("code", "lo", "win", "again")).alias("hits"))
     own = slim.withColumn("rep", F.coalesce("id", none)).withColumn("sha", F.unhex(F.sha2("text", 256)))
     cand = durable(own.join(hits.hint("merge"), (own.rep == hits.rep) & (own.sha == hits.digest)).select("digest", "text", "hits"), "candidates")
@@ -291,7 +291,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 .agg(F.first("bytes").alias("bytes"), F.first("win").alias("win")))
     counted = places.groupBy("seed", "name").agg(F.first("win").alias("win"), F.max("again").alias("again"), F.min(F.struct("digest", "lo")).alias("a"), F.max(F.struct("digest", "lo")).alias("b"))
     counted = durable(counted.select("seed", "name", "win", "again", (F.col("a") != F.col("b")).alias("multi")), "counted")
-    seeded = counted.groupBy("seed").agg(F.count("*").alias("n"), F.sum("win").alias("wins"), F.max("again").alias("again")).filter("n > 1 OR again")
+    seeded = durable(counted.groupBy("seed").agg(F.count("*").alias("n"), F.sum("win").alias("wins"), F.max("again").alias("again"))
+                     .filter("n > 1 OR again"), "seeded")
     subs = F.ceil(F.col("n") / SHARD_SEGMENTS).cast("int")
     shards = (segments.join(seeded, "seed")
               .select("seed", F.pmod(F.xxhash64("name"), subs).cast("int").alias("sub"),
