@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from lakeloom.llm.common import GOLD, chunks, mix, ragged, span_hashes, table, text_of
 
 MODEL = os.path.join(os.environ.get("TOKENIZER_DIR", "/opt/tokenizers"), "piece_bpe_32k.model")
-CHUNK = 4 << 20
+#: Bytes of text whose lattices are held at once; a lattice takes some hundred bytes for each.
+CHUNK = 1 << 20
 _MARK = "▁".encode()
 
 
