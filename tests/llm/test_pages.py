@@ -60,6 +60,28 @@ def test_hot_hosts_are_dealt_out(spark, monkeypatch):
     assert got == {k: f"text {k}" for k in range(40)}
 
 
+def test_constant_nodes_decide_where_pages_are_marked():
+    def marked(k):
+        return page(f'<div class="layout no-sidebar" id="menu-closed"><article><p>Follow our house rules</p><h1>Story {k}</h1><p>Body {k}</p>'
+                    f'<div class="social-history"><p>Past of {k}</p></div></article><div>More on {k}</div></div>')
+
+    assert wrappers.extract_group([marked(k) for k in range(6)]) == [f"Story {k}\nBody {k}\nPast of {k}\nMore on {k}" for k in range(6)]
+    assert wrappers.extract_group([marked(1)]) == ["Follow our house rules\nStory 1\nBody 1"]
+    assert wrappers.extract_group([page('<form id="search"><div><p>One page in a form</p></div></form>')]) == ["One page in a form"]
+
+
+def test_groups_of_a_host_are_even(spark, monkeypatch):
+    sizes = []
+    monkeypatch.setattr(wrappers, "GROUP_PAGES", 8)
+    monkeypatch.setattr(wrappers, "extract_group", lambda pages: sizes.append(len(pages)) or [""] * len(pages))
+    import pyarrow as pa
+
+    rows = [("h", 0, k, "u", "<p>x") for k in range(33)]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], ["host", "part", "page_id", "url", "html"])
+    assert sum(b.num_rows for b in wrappers._extract([batch])) == 33
+    assert min(sizes) >= wrappers.LEAST_PAGES and max(sizes) <= 8
+
+
 def brute_weight(a: Node, b: Node) -> int:
     if a.tag != b.tag:
         return 0
