@@ -43,7 +43,8 @@ def greedy_tiles(item: list[int], doc: list[int], shortest: int) -> list[tuple[i
 
     The search length starts at the item's length and halves while nothing that
     long is found; matches found are extended and, if a longer one than the
-    search length turns up, the search is repeated at that length.
+    search length turns up, the search is repeated at that length. At the
+    shortest length it is repeated until it adds no tile.
     """
     free_i, free_d = [True] * len(item), [True] * len(doc)
     tiles = []
@@ -65,6 +66,7 @@ def greedy_tiles(item: list[int], doc: list[int], shortest: int) -> list[tuple[i
         if longest > 2 * search:
             search = longest
             continue
+        before = len(tiles)
         for k in sorted(found, reverse=True):
             for i, d in found[k]:
                 if all(free_i[i:i + k]) and all(free_d[d:d + k]):
@@ -72,7 +74,9 @@ def greedy_tiles(item: list[int], doc: list[int], shortest: int) -> list[tuple[i
                     free_i[i:i + k] = [False] * k
                     free_d[d:d + k] = [False] * k
         if search <= shortest:
-            return tiles
+            if len(tiles) == before:
+                return tiles
+            continue  # matches that clashed with a tile may have a free rest that is long enough
         search = max(shortest, search // 2)
 
 

@@ -43,6 +43,15 @@ def test_tiles_are_maximal_and_apart():
         assert sum(t[2] for t in greedy_tiles(distinct_item, distinct_doc, 2)) == brute_tiles(distinct_item, distinct_doc, 2)
 
 
+def test_rest_of_a_clashing_match_is_tiled():
+    s = [[f"s{k}{j}" for j in range(5)] for k in range(3)]
+    t = [["the", *(f"t{k}{j}" for j in range(6))] for k in range(3)]
+    codes = {w: n for n, w in enumerate(w for part in s + t for w in part)}
+    item, doc = ([codes[w] for part in order for w in part]
+                 for order in ((s[0], t[0], s[1], t[1], s[2], t[2]), (s[0], t[1], s[1], t[2], s[2], t[0])))
+    assert sum(k for _, _, k in greedy_tiles(item, doc, 5)) == brute_tiles(item, doc, 5) == 36
+
+
 def pairs(spark, rows, items, **options):
     benchmark = spark.createDataFrame(items, "item_id long, text string")
     return sorted((r.doc_id, r.item_id) for r in tiling.decontaminate(frame(spark, rows), benchmark, **options).collect())
