@@ -79,6 +79,16 @@ def majority_rate(df: DataFrame, label: str) -> DataFrame:
         F.round(F.col("largest") / F.col("total"), 6).alias("majority_rate"), "total")
 
 
+def gates(scored: DataFrame, label: str) -> DataFrame:
+    """Accuracy, weighted F1, majority baseline, and the gates on accuracy: too good to be true, worse than the baseline."""
+    scored = durable(scored, "scored")
+    found = metrics(scored)
+    accuracy = F.lit(found["accuracy"])
+    return majority_rate(scored, label).select(
+        accuracy.alias("accuracy"), F.lit(found["f1"]).alias("f1"), "majority_rate", "total",
+        (accuracy < 0.99).alias("no_leak"), (accuracy >= 0.95 * F.col("majority_rate")).alias("not_worse"))
+
+
 def confusion(scored: DataFrame, label: str = "label", n: int | None = 10) -> DataFrame:
     """The n most frequent (actual, predicted) pairs, or all of them."""
     pairs = scored.groupBy(F.col(label).alias("actual"), "predicted").agg(F.count("*").alias("n"))

@@ -518,7 +518,7 @@ TEST_ROWS = """test AS (SELECT grade AS label FROM (SELECT enrollment_id, grade,
 def m04_forest_scores(c: Campus):
     """The majority baseline of the test rows, and the gate that accuracy is not too good to be true.
 
-    Whether accuracy reaches the baseline depends on the trees, which SQL cannot state; ``learning.metrics`` gives it.
+    What depends on the trees, which SQL cannot state, is in ``m04_forest_gates``.
     """
     test = durable(scored(c).select("label", "label_ix", "prediction"), "scored")
     accuracy = F.lit(learning.metrics(test)["accuracy"])
@@ -528,11 +528,23 @@ def m04_forest_scores(c: Campus):
 
 @query("M06", f"WITH {TEST_ROWS} SELECT label AS actual, count(*) AS test_rows, true AS known_labels FROM test GROUP BY label", "enrollment")
 def m06_confusion(c: Campus):
-    """All pairs of actual and predicted label, added up per actual one: every test row is in one pair."""
+    """All pairs of actual and predicted label, added up per actual one: every test row is in one pair (the pairs: ``m06_confusion_pairs``)."""
     pairs = learning.confusion(scored(c), n=None)
     return pairs.groupBy("actual").agg(F.sum("n").alias("test_rows"), F.bool_and(F.col("predicted").isNotNull()).alias("known_labels"))
 
 
+@query("M04 M05")
+def m04_forest_gates(c: Campus):
+    """Accuracy, weighted F1 and majority baseline of the test rows, and both gates; they depend on the trees, so no SQL states them."""
+    return learning.gates(scored(c).select("label", "label_ix", "prediction"), "label")
+
+
+@query("M06")
+def m06_confusion_pairs(c: Campus):
+    """How often each actual label is predicted as which; the pairs depend on the trees, so no SQL states them."""
+    return learning.confusion(scored(c), n=None)
+
+
 @query("M02", """SELECT c AS column_name, v AS category, (row_number() OVER (PARTITION BY c ORDER BY v) - 1)::INTEGER AS position FROM (
     SELECT DISTINCT 'term_season' AS c, season AS v FROM enrollment JOIN (SELECT term_id, season FROM term) USING (term_id)
     UNION SELECT DISTINCT 'student_status', status FROM enrollment JOIN (SELECT student_id, status FROM student) USING (student_id)
