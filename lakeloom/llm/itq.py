@@ -37,12 +37,50 @@ def choose_tables(rows: int, threshold: float, recall: float) -> tuple[int, int]
     return bits, 1 if agree >= 1 else max(1, math.ceil(math.log(1 - recall) / math.log(1 - agree)))
 
 
+#: Shares of the common component that may be taken out before signs are.
+SHARES = (0.0, 0.25, 0.5, 0.75, 1.0)
+
+
+def widest_flip(threshold: float, shortest: float) -> float:
+    """How often a bit differs at most, for unit vectors at the threshold that lie ``shortest`` or more from the centre.
+
+    Moving the centre leaves their distance as it is and changes the angle
+    under which it is seen; it is widest when both are nearest to the centre.
+    """
+    half = math.sqrt(max(0.0, (1 - min(threshold, 1.0)) / 2))
+    return 1.0 if half >= shortest else 2 * math.asin(half / shortest) / math.pi
+
+
+def choose_share(rows: int, threshold: float, recall: float, shortest: list[float], unrelated: list[float]) -> int:
+    """Which of ``SHARES`` takes the least work: rows in all tables, what they meet there, and whether unrelated ones are tied.
+
+    ``shortest`` holds the least distance of a vector from each centre, ``unrelated`` how often a bit of two of the sample differs.
+    """
+    def work(k: int) -> float:
+        flip = widest_flip(threshold, shortest[k])
+        if flip >= 0.45:  # the vectors themselves, the first choice, always allow for the recall
+            return math.inf if k else 1e300
+        bits, tables = choose_tables(rows, math.cos(math.pi * flip), recall)
+        met = rows * (1 - unrelated[k]) ** bits
+        return tables * (1 + met) * (1 + (met if 1.5 * flip + 0.1 >= unrelated[k] else 0))
+
+    return min(range(len(SHARES)), key=lambda k: (work(k), k))
+
+
 def _units(lists: pa.Array, d: int) -> np.ndarray:
     x = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, d)
     x = x / np.abs(x).max(1, keepdims=True)  # so that squares neither vanish nor overflow
     return x / np.sqrt((x * x).sum(1, keepdims=True))
 
 
+def _mean_angle(x: np.ndarray) -> float:
+    """Of pairs of different vectors."""
+    if len(x) < 2:
+        return math.pi / 2
+    x = x / np.maximum(np.sqrt((x * x).sum(1, keepdims=True)), 1e-12)
+    return float(np.arccos(np.clip(x @ x.T, -1, 1))[np.triu_indices(len(x), 1)].mean())
+
+
 def _codes(spark: SparkSession, models: dict[int, tuple[np.ndarray, np.ndarray]], bits: int, tables: int):
     """A row for each vector and table: the table's key and the whole code."""
     sent = spark.sparkContext.broadcast(models)
@@ -65,6 +103,24 @@ def _codes(spark: SparkSession, models: dict[int, tuple[np.ndarray, np.ndarray]]
     return run
 
 
+def _shortest(spark: SparkSession, centres: dict[int, np.ndarray]):
+    """The least distance of a part's vectors from each centre of their dimension."""
+    sent = spark.sparkContext.broadcast(centres)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        least: dict[int, np.ndarray] = {}
+        for batch in batches:
+            dims = batch.column(0).to_numpy()
+            for d in np.unique(dims).tolist():
+                x = _units(batch.filter(pa.array(dims == d)).column(1), d)
+                far = np.array([np.sqrt(((x - c) ** 2).sum(1).min()) for c in sent.value[d]])
+                least[d] = np.minimum(least.get(d, np.inf), far)
+        rows = [(d, k, float(v)) for d, far in least.items() for k, v in enumerate(far)]
+        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate((pa.int32(), pa.int32(), pa.float64()))],
+                                         ["dim", "share", "far"])
+    return run
+
+
 def _distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.bitwise_count(a[:, None, :] ^ b[None, :, :]).sum(2, dtype=np.int32)
 
@@ -161,6 +217,10 @@ def near_duplicate_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_co
     2. Rotations are learned by iterative quantisation on at most
        ``sample_rows`` classes, chosen by hash; as many from different starts
        as the tables need bits. Every class is coded and put into each table.
+       Of the common component as much is taken out before as makes the least
+       work; bits, tables and reach are those for the widest angle under which
+       a pair at the threshold is then seen, from the least distance of any
+       class from the centre.
     3. Vectors with equal keys in a table are tied to leaders by the Hamming
        distance of whole codes, which a stream through the bucket does while
        holding leaders only; very large buckets are dealt to several tasks.
@@ -187,17 +247,26 @@ def near_duplicate_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_co
                       .agg(F.min("id").alias("rep"), F.count("*").alias("size"))
                       .withColumn("dim", F.size("embedding")), "classes")
     sizes = classes.groupBy("label").count().agg(F.max("count")).first()[0] or 0
-    bits, tables = choose_tables(sizes, threshold, recall)
-    models = {}
-    widest = 1
+    samples, centres, unrelated = {}, {}, {}
     for d in sorted(r.dim for r in classes.select("dim").distinct().toLocalIterator()):
         sample = classes.filter(F.col("dim") == d).orderBy(F.xxhash64("embedding"), "label").limit(sample_rows)
-        x = _units(sample.select("embedding").toArrow()["embedding"].combine_chunks(), d)
+        x = samples[d] = _units(sample.select("embedding").toArrow()["embedding"].combine_chunks(), d)
         mean = x.mean(0) if len(x) > d else np.zeros(d)
-        turns = [learn_rotation(x - mean, seed) for seed in range(-(-bits * tables // d))]
-        models[d] = (mean, np.concatenate(turns, 1))
+        centres[d] = np.outer(SHARES, mean)
+        unrelated[d] = [_mean_angle(x[:1000] - c) / math.pi for c in centres[d]]
+    far: dict[int, list[float]] = {d: [1.0] * len(SHARES) for d in samples}
+    for r in classes.select("dim", "embedding").mapInArrow(_shortest(spark, centres), "dim int, share int, far double").groupBy("dim", "share").agg(F.min("far").alias("far")).collect():
+        far[r.dim][r.share] = r.far * (1 - 1e-9)
+    share = {d: choose_share(sizes, threshold, recall, far[d], unrelated[d]) for d in samples}
+    flip = max((widest_flip(threshold, far[d][k]) if k else math.acos(min(threshold, 1.0)) / math.pi for d, k in share.items()), default=0.0)
+    bits, tables = choose_tables(sizes, math.cos(math.pi * flip), recall)
+    models = {}
+    widest = 1
+    for d, x in samples.items():
+        centre = centres[d][share[d]]
+        turns = [learn_rotation(x - centre, seed) for seed in range(-(-bits * tables // d))]
+        models[d] = (centre, np.concatenate(turns, 1))
         widest = max(widest, models[d][1].shape[1])
-    flip = math.acos(min(threshold, 1.0)) / math.pi
     reach = math.ceil(widest * flip + 6 * math.sqrt(widest * flip * (1 - flip)))
     cover = reach // 2
     coded = durable(classes.select("rep", "label", "dim", "embedding")

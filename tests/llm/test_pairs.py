@@ -117,6 +117,27 @@ def test_vectors_match_brute_force(spark, monkeypatch, bucket_rows):
     assert {i: got[i].component_id for i in root} == root
 
 
+def test_common_component_loses_no_pair(spark):
+    rng = np.random.default_rng(3)
+    n, d = 3000, 64
+    common = np.zeros(d)
+    common[0] = 0.9
+    a = rng.standard_normal((n, d))
+    a[:, 0] = 0
+    a = common + np.sqrt(0.19) * a / np.linalg.norm(a, axis=1, keepdims=True)
+    step = rng.standard_normal((n, d))
+    step -= (step * a).sum(1, keepdims=True) * a
+    step /= np.linalg.norm(step, axis=1, keepdims=True)
+    b = 0.9801 * a + np.sqrt(1 - 0.9801 ** 2) * step
+    x = np.concatenate([a, b])
+    near = x @ x.T >= 0.98
+    got = {r.vec_id: r.n_links for r in itq.near_duplicate_vectors(vectors(spark, [(k, v.tolist(), 0) for k, v in enumerate(x)])).collect()}
+    x = x.astype(np.float32).astype(float)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    want = (x @ x.T >= 0.98).sum(1) - 1
+    assert near.sum() > n and [got[k] for k in range(2 * n)] == want.tolist()
+
+
 def test_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(1, [1.0, 0.0], 0), (2, [2.0, 0.0], 0), (2, [2.0, 0.0], 0), (3, [1.0, 0.0], 1), (4, [1.0, 0.0], None), (5, None, 0), (6, [0.0, 0.0], 0),
