@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lakeloom.llm import gam, itq, jaccard, lm, packing, pieces, repeats, tiling, toxicity, wrappers
+from lakeloom.llm import gam, itq, jaccard, licenses, lm, packing, pieces, repeats, tiling, toxicity, wrappers
 
 QUERIES = {f.__name__: f for f in (
     jaccard.op1_ngram_jaccard,
@@ -15,5 +15,6 @@ QUERIES = {f.__name__: f for f in (
     wrappers.op8_wrapper_extraction,
     pieces.op9_sampled_pieces,
     lm.op10_attention_scores,
+    licenses.op11_license_scan,
 )}
 SQL = {**jaccard.ORACLE, **itq.ORACLE, **repeats.ORACLE}
