@@ -16,8 +16,8 @@ BASE_SQL = r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
 p AS (SELECT * FROM (VALUES (['gnu', 'general', 'public', 'license'], 'gpl'), (['apache', 'license'], 'apache'), (['cc', 'by'], 'cc-by'), (['mit', 'license'], 'mit')) t(words, label)),
-h AS (SELECT doc_id, label, i - 1 AS at FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d), p WHERE w[i:i + len(words) - 1] = words)
-SELECT d.doc_id, len(w)::BIGINT AS n_words, count(at) AS n_base, min(at) AS first_word, max(at) AS last_word,
+h AS (SELECT doc_id, label, i - 1 AS pos FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d), p WHERE w[i:i + len(words) - 1] = words)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, count(pos) AS n_base, min(pos) AS first_word, max(pos) AS last_word,
   coalesce(string_agg(DISTINCT label, ',' ORDER BY label), '') AS base_labels FROM d LEFT JOIN h USING (doc_id) GROUP BY ALL"""
 
 
