@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lakeloom.llm import gam, itq, jaccard, licenses, lm, packing, periods, pieces, repeats, tiling, toxicity, wrappers
+from lakeloom.llm import alignment, gam, itq, jaccard, licenses, lm, packing, periods, pieces, repeats, tiling, toxicity, wrappers
 
 QUERIES = {f.__name__: f for f in (
     jaccard.op1_ngram_jaccard,
@@ -17,5 +17,6 @@ QUERIES = {f.__name__: f for f in (
     lm.op10_attention_scores,
     licenses.op11_license_scan,
     periods.op12_periodic_runs,
+    alignment.op13_token_alignment,
 )}
 SQL = {**jaccard.ORACLE, **itq.ORACLE, **repeats.ORACLE}
