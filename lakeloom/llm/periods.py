@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeloom.llm.common import table, text_of
@@ -92,27 +93,34 @@ def find_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     text; repeated rows give equal rows; rows without an id stay; an empty
     table gives an empty result. Only the two columns named are read.
     """
-    slim = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).cast("binary").alias("text"))
+    slim = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("text"))
     return slim.mapInArrow(_run_batches(least, repeats), _SHAPE).withColumnRenamed("id", id_col)
 
 
-def planted_words(id_col: str = "doc_id", text_col: str = "text") -> Column:
-    """The text with the periods that op12 plants: with h = crc32 of the decimal id and g = h // 10, where h % 10 = 0 and
-    there are n > 0 words, word i >= a is word a + (i - a) % p, with a = g % n and p = 1 + (n - a) // (3 + g % 8).
-
-    Texts without an id, and all others, are unchanged.
+def _planted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts = []
+        for own, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            h = zlib.crc32(str(own).encode())
+            if own is not None and h % 10 == 0 and (words := body.split()):
+                n, g = len(words), h // 10
+                a = g % n
+                p = 1 + (n - a) // (3 + g % 8)
+                body = b" ".join(words[:a] + (words[a:a + p] * (1 + (n - a) // p))[:n - a])
+            texts.append(body)
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.binary())], ["doc_id", "text"])
+
+
+def plant_periods(docs: DataFrame) -> DataFrame:
+    """The ids and texts (as UTF-8 bytes) of documents with the periods that op12 plants.
+
+    With h = crc32 of the decimal id and g = h // 10: where h % 10 = 0 and there
+    are n > 0 words, word i >= a is word a + (i - a) % p, with a = g % n and
+    p = 1 + (n - a) // (3 + g % 8). Texts without an id, and all others, are
+    unchanged; null texts are empty.
     """
-    h = F.crc32(F.col(id_col).cast("string").cast("binary"))
-
-    def folded(words: Column) -> Column:
-        n, g = F.size(words).cast("long"), F.floor(h / 10)
-        a = g % n
-        p = 1 + F.floor((n - a) / (3 + g % 8))
-        place = F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda i: F.when(i < a, i).otherwise(a + (i - a) % p))
-        return F.concat_ws(" ", F.transform(place, lambda i: F.get(words, i.cast("int"))))
-
-    words = F.filter(F.split(text_of(text_col), "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
-    return F.when((h % 10 == 0) & (F.size(words) > 0), folded(words)).otherwise(text_of(text_col))
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of("text").cast("binary").alias("text"))
+    return slim.mapInArrow(_planted, "doc_id long, text binary")
 
 
 _DIGEST = "doc_id long, n_runs long, start long, length long, period long, exponent_milli long, runs_sha256 string, collapsed_sha256 string"
@@ -133,5 +141,4 @@ def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs of all documents after planting: their number, the one with the greatest exponent, and digests."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", planted_words().alias("text"))
-    return find_runs(docs).select("doc_id", "runs", "collapsed").mapInArrow(_digest, _DIGEST)
+    return find_runs(plant_periods(table(spark, sf_dir, "documents"))).select("doc_id", "runs", "collapsed").mapInArrow(_digest, _DIGEST)
