@@ -20,8 +20,8 @@ from lakeloom.llm.common import durable, ragged, table, text_of
 
 DIR = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
 BYTE_BPE, PIECE_BPE = os.path.join(DIR, "byte_bpe_50k.json"), os.path.join(DIR, "piece_bpe_32k.model")
-#: Distinct units remembered in a task, and bytes of text in a block of documents.
-REMEMBERED, BLOCK = 1 << 18, 4 << 20
+#: Units remembered in a task, characters of a unit that is remembered, bytes of text aligned together, and of a block of texts.
+REMEMBERED, LONGEST, AT_ONCE, BLOCK = 1 << 16, 24, 1 << 20, 4 << 20
 _MARK = "▁"
 #: Where both tokenizers always cut: before a space that follows anything but white space.
 _CUT = re.compile(r"(?<=\S)(?= )")
@@ -147,17 +147,15 @@ class Aligner:
     def align(self, texts: list[str]) -> list[list[Unit] | None]:
         """The units of each text; None for texts that are empty or not spelled by both."""
         split = [self.units(t) if t else [] for t in texts]
+        if len(self.known) > REMEMBERED:
+            self.known.clear()
         known = self.known
         new = list({u for units in split for u in units if u not in known})
-        if new:
-            if len(known) > REMEMBERED:
-                known.clear()
-                new = list({u for units in split for u in units})
-            for unit, a, b in zip(new, self.a.encode(new), self.b.encode(new), strict=True):
-                known[unit] = self._align(unit, a, b)
+        fresh = {unit: self._align(unit, a, b) for unit, a, b in zip(new, self.a.encode(new), self.b.encode(new), strict=True)} if new else {}
+        known.update([(u, found) for u, found in fresh.items() if len(u) <= LONGEST])
         found = []
         for units in split:
-            own = [known[u] for u in units]
+            own = [known[u] if u in known else fresh[u] for u in units]
             found.append(own if own and all([u[0] is not None for u in own]) else None)
         return found
 
@@ -198,7 +196,7 @@ def align_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = Aligner(path_a, path_b)
-        for own, texts in _texts(batches, BLOCK):
+        for own, texts in _texts(batches, AT_ONCE):
             rows_a, rows_b, cuts = [], [], []
             for units in aligner.align(texts):
                 a, b, cut, end = [], [], [], 0
@@ -218,14 +216,14 @@ def align_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 _CUTS = pa.list_(pa.struct([("end", pa.int64()), ("a_to", pa.int32()), ("b_to", pa.int32())]))
-_BLOCKS = ("id long, block long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pairs array<long>, times array<int>")
+_BLOCKS = ("digest binary, block long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pairs array<long>, times array<int>")
 
 
 def _summaries(path_a: str, path_b: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = Aligner(path_a, path_b)
         block, held = TaskContext.get().partitionId() << 32, 0
-        for own, texts in _texts(batches, BLOCK):
+        for own, texts in _texts(batches, AT_ONCE):
             found = aligner.align(texts)
             rows = [tuple(map(list, zip(*units, strict=True))) if units else ((), (), (), (), ()) for units in found]
             told = [hashlib.sha256(";".join(r[3]).encode()).hexdigest() if r[3] else "" for r in rows]
@@ -241,7 +239,7 @@ def _summaries(path_a: str, path_b: str) -> Callable[[Iterator[pa.RecordBatch]],
             yield pa.RecordBatch.from_arrays(
                 [own, pa.array(np.full(len(rows), block)), *counts, pa.array(size), pa.array(told, pa.string()),
                  ragged(pair[first], each, pa.int64()), ragged(times, each, pa.int32())],
-                ["id", "block", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pairs", "times"])
+                ["digest", "block", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pairs", "times"])
             held += sum(map(len, texts))
             if held >= BLOCK:
                 block, held = block + 1, 0
@@ -269,28 +267,33 @@ def alignment_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     is the most frequent of its b id over all texts, ties included) and
     ``count_sum`` (the sum of the links' counts over all texts).
 
-    Texts are aligned once. Documents lie in blocks of some megabytes; a block
-    holds each of its pairs once, so a pair that stands in every text has one
-    row a block in the count and in the join that brings counts back, and no
-    table of counts is collected or broadcast. Blocks are then put together with
-    their counts, one at a time.
+    Distinct texts are aligned once and count as often as they occur. They lie
+    in blocks of some megabytes; a block holds each of its pairs once, so a pair
+    that stands in every text has one row a block in the count and in the join
+    that brings counts back, and no table of counts is collected or broadcast.
+    Blocks are then put together with their counts, one at a time.
 
     Null, empty and other texts without ids, repeated rows, missing ids and
     empty tables: as ``align_tokens``; ``groups_sha256`` is empty and all
     numbers are 0 where there are no ids.
     """
-    rows = durable(_slim(docs, id_col, text_col).mapInArrow(_summaries(path_a, path_b), _BLOCKS), "aligned")
-    blocks = durable(rows.select("block", F.explode(F.arrays_zip("pairs", "times")).alias("l"))
-                     .groupBy("block", F.col("l.pairs").alias("pair")).agg(F.sum("l.times").alias("n")), "pairs")
+    own = _slim(docs, id_col, text_col).withColumn("digest", F.unhex(F.sha2(F.col("text").cast("binary"), 256)))
+    texts = own.groupBy("digest").agg(F.first("text").alias("text"), F.count("*").alias("copies"))
+    texts = durable(texts, "texts")
+    rows = durable(texts.select("digest", "text").mapInArrow(_summaries(path_a, path_b), _BLOCKS), "aligned")
+    weighed = rows.join(texts.filter("copies > 1").select("digest", "copies"), "digest", "left")
+    blocks = durable(weighed.select("block", F.coalesce("copies", F.lit(1)).alias("copies"), F.explode(F.arrays_zip("pairs", "times")).alias("l"))
+                     .groupBy("block", F.col("l.pairs").alias("pair")).agg(F.sum(F.col("l.times") * F.col("copies")).alias("n")), "pairs")
     totals = durable(blocks.groupBy("pair").agg(F.sum("n").alias("total")), "totals")
     highest = totals.groupBy(F.col("pair").bitwiseAND(0xFFFFFFFF).alias("b")).agg(F.max("total").alias("high"))
     judged = totals.withColumn("b", F.col("pair").bitwiseAND(0xFFFFFFFF)).join(highest, "b").select("pair", "total", (F.col("total") == F.col("high")).alias("best"))
     counts = blocks.select("block", "pair").join(judged, "pair")
-    linked = rows.filter("n_links > 0")
-    shape = "id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, n_best long, count_sum long"
-    summed = linked.groupBy("block").cogroup(counts.groupBy("block")).applyInPandas(_with_counts, shape)
-    none = rows.filter("n_links = 0").select("id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", F.lit(0).cast("long").alias("n_best"), F.lit(0).cast("long").alias("count_sum"))
-    return summed.unionByName(none).withColumnRenamed("id", id_col)
+    numbers = ["n_a", "n_b", "n_groups", "n_links", "groups_sha256", "n_best", "count_sum"]
+    shape = "digest binary, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, n_best long, count_sum long"
+    summed = rows.filter("n_links > 0").groupBy("block").cogroup(counts.groupBy("block")).applyInPandas(_with_counts, shape)
+    none = rows.filter("n_links = 0").select("digest", *[F.lit("" if c == "groups_sha256" else 0).cast("string" if c == "groups_sha256" else "long").alias(c) for c in numbers])
+    per_text = durable(summed.unionByName(none), "summed")
+    return own.select("id", "digest").join(per_text, "digest").select(F.col("id").alias(id_col), *numbers)
 
 
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -119,8 +119,9 @@ def test_alignment_rows(spark, sides):
 
 def test_odd_rows(spark, sides, monkeypatch):
     rows = [*ODD, (10, "hot " * 40_000), (11, "has ▁"), (12, "漢字" * 20_000), (13, " "), (14, "x  ")]
-    for limit in (alignment.BLOCK, 50):
-        monkeypatch.setattr(alignment, "BLOCK", limit)
+    for limit in (alignment.AT_ONCE, 50):
+        monkeypatch.setattr(alignment, "AT_ONCE", limit)
+        monkeypatch.setattr(alignment, "BLOCK", 4 * limit)
         got = sorted((tuple(r) for r in alignment.alignment_counts(frame(spark, rows).repartition(3)).select(COLUMNS).collect()), key=repr)
         assert got == brute_rows(sides, rows)
     assert alignment.alignment_counts(spark.createDataFrame([], SCHEMA)).count() == 0
