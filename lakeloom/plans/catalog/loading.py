@@ -293,6 +293,38 @@ def k12_merge_with_delete(c: Campus):
     return tables.merge_upsert(*merge_sides(c), ["student_id"], F.col("status") == "returned")
 
 
+def _seeded(c: Campus, rows, key: str) -> tables.VersionedTable:
+    """A versioned table of the rows, in files that each hold a range of keys."""
+    target = tables.VersionedTable(c.spark, scratch_path(c.spark, "versions"))
+    target.commit(rows.repartitionByRange(16, key), "SEED")
+    return target
+
+
+@query("K10 C08", f"WITH {MERGE} SELECT * FROM s UNION ALL SELECT * FROM t WHERE student_id NOT IN (SELECT student_id FROM s)", "student")
+def k10_pruned_merge(c: Campus):
+    """The upsert on a stored target: only files that hold a key of the source are written again."""
+    rows, source = merge_sides(c)
+    target = _seeded(c, rows, "student_id")
+    target.merge(source, ["student_id"])
+    return target.read()
+
+
+@query("K11 C08", "SELECT student_id, email FROM student WHERE email IS NULL OR email NOT LIKE '%7@%'", "student")
+def k11_pruned_delete(c: Campus):
+    target = _seeded(c, c.student.select("student_id", "email"), "student_id")
+    target.delete(F.col("email").like("%7@%"))
+    return target.read()
+
+
+@query("K12 C08", f"""WITH {MERGE} SELECT * FROM s WHERE status <> 'returned'
+    UNION ALL SELECT * FROM t WHERE student_id NOT IN (SELECT student_id FROM s)""", "student")
+def k12_pruned_merge_with_delete(c: Campus):
+    rows, source = merge_sides(c)
+    target = _seeded(c, rows, "student_id")
+    target.merge(source, ["student_id"], F.col("status") == "returned")
+    return target.read()
+
+
 @query("K10", """SELECT aid_id, student_id, CASE WHEN aid_type = '2-HIGH' AND amount > 250000 THEN '3-MEDIUM' WHEN aid_type <> '5-LOW' THEN aid_type END AS aid_type,
     CASE WHEN aid_type = '2-HIGH' AND amount > 250000 THEN amount + 1 WHEN aid_type = '5-LOW' AND amount > 250000 THEN 0.0 ELSE amount END AS amount FROM aid""", "aid")
 def k10_merge_partitions(c: Campus):
@@ -386,6 +418,24 @@ def c02_change_log(c: Campus):
     return cdc.change_log(c.snapshot(1), c.snapshot(2), KEYS, 2)
 
 
+FEED = """WITH s AS (SELECT * FROM snaps WHERE v = 1), u AS (SELECT * FROM snaps WHERE v = 2),
+    m AS (SELECT u.account_id, s.account_id IS NULL AS fresh, s.level AS old_level, s.status AS old_status, u.level, u.status FROM u LEFT JOIN s ON u.account_id = s.account_id),
+    after AS (SELECT account_id, level, status FROM u UNION ALL SELECT account_id, level, status FROM s WHERE account_id NOT IN (SELECT account_id FROM u))
+    SELECT account_id, level, status, 'insert' AS _change_type, 1::INTEGER AS _version FROM m WHERE fresh
+    UNION ALL SELECT account_id, old_level, old_status, 'update_preimage', 1 FROM m WHERE NOT fresh AND (old_level <> level OR old_status <> status)
+    UNION ALL SELECT account_id, level, status, 'update_postimage', 1 FROM m WHERE NOT fresh AND (old_level <> level OR old_status <> status)
+    UNION ALL SELECT account_id, level, status, 'delete', 2 FROM after WHERE account_id LIKE '%3-%'"""
+
+
+@query("C02 K10 K11 C08", FEED, "snaps")
+def c02_change_feed(c: Campus):
+    """Changes of versions 1 to 2 of a stored table, an upsert and a delete, as their commits wrote them."""
+    target = _seeded(c, c.snapshot(1), "account_id")
+    target.merge(c.snapshot(2), KEYS)
+    target.delete(F.col("account_id").like("%3-%"))
+    return target.changes(1, 2)
+
+
 @query("C03", "SELECT account_id, level, status FROM snaps WHERE v = 3", "snaps")
 def c03_scd1(c: Campus):
     state = cdc.scd1(c.snapshot(1), c.snapshot(2), KEYS)

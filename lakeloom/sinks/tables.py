@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -112,14 +114,26 @@ def record_metrics(spark: SparkSession, metrics: dict, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def _image(kind: str, row: Column) -> Column:
+    return F.struct(F.lit(kind).alias("_change_type"), row.alias("row"))
+
+
 class VersionedTable:
-    """Parquet versions below one path with a log of what each version was.
+    """Versions of a table as lists of parquet files below one path, with a log of what each version was.
+
+    A version consists of files written for it (below ``v=<number>/<part>``)
+    and files taken over by name from earlier versions, so an upsert or delete
+    writes only what holds changed rows. It becomes visible when its log row is
+    written, after all its files; what a failed run leaves is in no list. One
+    writer at a time; readers see the last logged version.
 
-    A version becomes visible when its log row is written, after all its files.
-    One writer at a time; readers see the last logged version.
+    ``part`` names divide a version by meaning, for readers that need only some
+    of it. The log, one row a version with its file names, is read on the
+    driver, as Spark does with any listing of files.
     """
 
-    LOG = "version int, operation string, user_name string, at timestamp, row_count long, schema_json string"
+    LOG = ("version int, operation string, user_name string, at timestamp, row_count long, schema_json string, "
+           "files array<string>, fed boolean")
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
@@ -135,26 +149,124 @@ class VersionedTable:
         last = self.history().agg(F.max("version")).first()[0]
         return -1 if last is None else last
 
-    def read(self, version: int | None = None) -> DataFrame:
-        number = self.version() if version is None else version
-        return self.spark.read.parquet(f"{self.path}/v={number}")
-
-    def commit(self, df: DataFrame, operation: str, version: int | None = None) -> int:
+    def _entry(self, version: int | None = None) -> Row:
+        log = self.history()
+        found = (log.orderBy(F.col("version").desc()) if version is None else log.filter(F.col("version") == version)).first()
+        if found is None:
+            raise ValueError(f"{self.path} has no version {'yet' if version is None else version}")
+        return found
+
+    def files(self, version: int | None = None) -> list[str]:
+        """Names of a version's files below the path."""
+        return list(self._entry(version)["files"])
+
+    def read(self, version: int | None = None, part: str | None = None) -> DataFrame:
+        entry = self._entry(version)
+        return self._scan([f for f in entry["files"] if part is None or f.split("/")[1] == part], entry)
+
+    def _scan(self, names: list[str], entry: Row) -> DataFrame:
+        schema = StructType.fromJson(json.loads(entry["schema_json"]))
+        if not names:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*[f"{self.path}/{n}" for n in names])
+
+    def commit(self, df: DataFrame | dict[str, DataFrame], operation: str, version: int | None = None, keep: list[str] | None = None,
+               kept_rows: int = 0, changes: DataFrame | None = None) -> int:
+        """A further version of the rows of ``df`` (or of each part) and the files ``keep``, which hold ``kept_rows`` rows.
+
+        ``changes`` are the images of the rows that change, for ``changes``;
+        without them the version counts as a replacement of all rows.
+        """
+        parts = df if isinstance(df, dict) else {"rows": df}
         number = self.version() + 1 if version is None else version
         if number <= self.version():
             return self.version()  # applied before: replays are harmless
-        seen = Observation()  # rows are counted while they are written
-        df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(f"{self.path}/v={number}")
-        entry = [(number, operation, self.spark.sparkContext.sparkUser(),
-                  dt.datetime.now(dt.timezone.utc), seen.get["rows"], df.schema.json())]
+        names, rows = list(keep or []), kept_rows
+        for part, own in parts.items():
+            seen = Observation()  # rows are counted while they are written
+            folder = f"v={number}/{part}"
+            own.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(f"{self.path}/{folder}")
+            rows += seen.get["rows"]
+            names += [f"{folder}/{name}" for name in self._part_files(folder)]
+        if changes is not None:
+            changes.write.mode("overwrite").parquet(f"{self.path}/_changes/v={number}")
+        schema = next(iter(parts.values())).schema
+        entry = [(number, operation, self.spark.sparkContext.sparkUser(), dt.datetime.now(dt.timezone.utc), rows, schema.json(), names, changes is not None)]
         self.spark.createDataFrame(entry, self.LOG).coalesce(1).write.mode("append").json(f"{self.path}/_log")
         return number
 
+    def _part_files(self, folder: str) -> list[str]:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{folder}")
+        found = path.getFileSystem(self.spark._jsc.hadoopConfiguration()).listStatus(path)
+        return sorted(n for n in (f.getPath().getName() for f in found) if not n.startswith(("_", ".")))
+
+    def _holding(self, entry: Row, rows: Callable[[DataFrame], DataFrame]) -> list[str]:
+        """Names of the files that hold any of the rows; ``rows`` must keep the column ``__file``."""
+        if not entry["files"]:
+            return []
+        marked = self._scan(entry["files"], entry).withColumn("__file", F.col("_metadata.file_path"))
+        name = F.regexp_extract("__file", r"(v=\d+/[^/]+/[^/]+)$", 1)
+        return [r[0] for r in rows(marked).select(name.alias("f")).distinct().collect()]
+
     def merge(self, source: DataFrame, keys: list[str], delete_when: Column | None = None) -> int:
-        return self.commit(merge_upsert(self.read(), source, keys, delete_when), "MERGE")
+        """Upsert that rewrites only files holding a key of the source (K10); rows as ``merge_upsert`` gives them.
+
+        One scan of the keys finds the files, whose rows then meet the source in
+        one join; new rows and change images both come from its staged result.
+        The source should be small beside the table and its keys unique.
+        """
+        entry = self._entry()
+        incoming = durable(source, "incoming")
+        require_unique(incoming, keys, "merge source")
+        hit = self._holding(entry, lambda t: t.join(incoming.select(*keys), keys, "left_semi"))
+        old = self._scan(hit, entry)
+        columns = old.columns
+        gone = F.lit(False) if delete_when is None else F.coalesce(delete_when, F.lit(False))
+        new = incoming.select(*keys, F.struct(*[F.col(c).cast(old.schema[c].dataType).alias(c) for c in columns]).alias("__new"), gone.alias("__gone"))
+        pairs = durable(old.select(*keys, F.struct(*columns).alias("__old")).join(new, keys, "full"), "pairs")
+        old_row, new_row = F.col("__old"), F.col("__new")
+        inserted, matched = old_row.isNull() & ~F.col("__gone"), old_row.isNotNull() & new_row.isNotNull()
+        row = F.when(new_row.isNull(), old_row).when(~F.col("__gone"), new_row)
+        merged = pairs.withColumn("__row", row).filter("__row IS NOT NULL").select("__row.*")
+        images = (F.when(inserted, F.array(_image("insert", new_row)))
+                  .when(matched & F.col("__gone"), F.array(_image("delete", old_row)))
+                  .when(matched & ~old_row.eqNullSafe(new_row), F.array(_image("update_preimage", old_row), _image("update_postimage", new_row))))
+        changes = pairs.select(F.explode(images).alias("i")).select("i.row.*", "i._change_type")
+        taken = pairs.filter(old_row.isNotNull()).count()
+        return self.commit(merged, "MERGE", keep=[f for f in entry["files"] if f not in set(hit)], kept_rows=entry["row_count"] - taken, changes=changes)
 
     def delete(self, predicate: Column) -> int:
-        return self.commit(delete_where(self.read(), predicate), "DELETE")
+        """Remove rows for which the predicate is true, rewriting only the files that hold one."""
+        entry = self._entry()
+        hit = self._holding(entry, lambda t: t.filter(predicate))
+        rows = self._scan(hit, entry)
+        return self.commit(delete_where(rows, predicate), "DELETE", keep=[f for f in entry["files"] if f not in set(hit)],
+                           kept_rows=entry["row_count"] - rows.count(), changes=rows.filter(predicate).withColumn("_change_type", F.lit("delete")))
+
+    def changes(self, first: int, last: int | None = None) -> DataFrame:
+        """Change images of the versions from ``first`` to ``last``, as written at their commits.
+
+        Columns of the table, ``_change_type`` (insert, update_preimage,
+        update_postimage, delete) and ``_version``. Versions are not compared: a
+        replacement counts as a delete of every row before and an insert of
+        every row after it.
+        """
+        log = {r["version"]: r for r in self.history().collect()}
+        numbers = [v for v in sorted(log) if first <= v <= (max(log) if last is None else last)]
+        found = []
+        for number in numbers:
+            entry = log[number]
+            if entry["fed"]:
+                schema = StructType.fromJson(json.loads(entry["schema_json"])).add("_change_type", "string")
+                images = [self.spark.read.schema(schema).parquet(f"{self.path}/_changes/v={number}")]
+            else:
+                before = [log[v] for v in sorted(log) if v < number][-1:]
+                images = [self._scan(e["files"], e).withColumn("_change_type", F.lit(kind))
+                          for e, kind in [*((b, "delete") for b in before), (entry, "insert")]]
+            found += [i.withColumn("_version", F.lit(number)) for i in images]
+        if not found:
+            raise ValueError(f"{self.path} has no version from {first} to {last}")
+        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), found)
 
     def schema_history(self) -> DataFrame:
         """Column changes from version to version with who and when."""
