@@ -16,6 +16,9 @@ from lakeloom.llm import gam, jaccard, pieces, repeats, tiling
 from lakeloom.llm.common import durable, table
 from lakeloom.session import collecting, drop, tune
 
+#: Bytes of a string that counts as a repeated passage: 50 words of some four letters. The length of op5 is its own.
+PASSAGE = 240
+
 _staged: dict[str, list[str]] = {}
 
 
@@ -42,16 +45,16 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 @_stage
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, that with the smallest id; of rows with one id the first text. Rows without an id stay."""
+    """One document of each group of near duplicates, that with the smallest id; rows of one id with different texts all stay, and rows without an id."""
     gone = jaccard.ngram_jaccard_join(docs).filter("NOT kept").select("doc_id").distinct()
-    named = docs.filter("doc_id IS NOT NULL").join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id"])
-    return named.select(docs.columns).union(docs.filter("doc_id IS NULL"))
+    named = docs.filter("doc_id IS NOT NULL").join(gone, "doc_id", "left_anti").withColumn("__digest", F.sha2(F.col("text").cast("binary"), 256))
+    return named.dropDuplicates(["doc_id", "__digest"]).select(docs.columns).union(docs.filter("doc_id IS NULL"))
 
 
 @_stage
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document without its repeated strings of 400 bytes; ``n_chars`` follows the text."""
-    cut = (repeats.remove_repeats(docs).filter("n_removed > 0")
+    """Every document without its repeated strings of ``PASSAGE`` bytes; ``n_chars`` follows the text."""
+    cut = (repeats.remove_repeats(docs, length=PASSAGE).filter("n_removed > 0")
            .groupBy(F.col("digest").alias("__digest")).agg(F.first("kept_text").alias("__kept")))
     own = docs.withColumn("__digest", F.unhex(F.sha2(F.col("text").cast("binary"), 256)))
     joined = own.join(cut, "__digest", "left")
