@@ -7,21 +7,16 @@ from pyspark.sql import functions as F
 
 from lakeloom.functions.values import exact_total
 from lakeloom.operators.aggregates import share
-from lakeloom.operators.joins import overlapping_windows, temporal_join
-from lakeloom.operators.sizing import HOT_ROWS, fits_broadcast
+from lakeloom.operators.joins import interval_join
 from lakeloom.operators.telemetry import recent
-from lakeloom.session import durable
 
 
 def priced(usage: DataFrame, prices: DataFrame, as_of: str, days: int) -> DataFrame:
-    """Usage of a rolling window with the list price valid at its end; unpriced usage keeps a NULL cost."""
-    usage = recent(usage, "usage_end", as_of, days)
-    prices = durable(prices, "prices")  # looked at three times below
-    small = fits_broadcast(prices)
-    hot = None if small else HOT_ROWS
-    if not overlapping_windows(prices, "sku_name", "price_start", "price_end", hot).limit(1).isEmpty():
-        raise ValueError("price windows overlap: spend would be counted twice")
-    joined = temporal_join(usage, prices, "sku_name", "usage_end", "price_start", "price_end", small=small)
+    """Usage of a rolling window with the list price valid at its end; unpriced usage keeps a NULL cost.
+
+    Prices that overlap are refused, as spend would be counted twice.
+    """
+    joined = interval_join(recent(usage, "usage_end", as_of, days), prices, "sku_name", "usage_end", "price_start", "price_end")
     return joined.withColumn("cost", F.col("quantity") * F.col("price"))
 
 

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeloom.operators.ordered import running_total
+from lakeloom.operators.ordered import CHUNK, running_total
 from lakeloom.operators.sizing import HOT_ROWS, attach, checked_broadcast, fits_broadcast
+from lakeloom.session import durable
 
 
 def star(fact: DataFrame, dims: list[tuple[DataFrame, str]]) -> DataFrame:
@@ -99,9 +100,9 @@ def temporal_join(
     facts: DataFrame, windows: DataFrame, key: str, ts: str, start: str, end: str, how: str = "left",
     small: bool | None = None,
 ) -> DataFrame:
-    """Match each fact with the window of its key that covers its time: start <= t < end.
+    """Match each fact with all windows of its key that cover its time, overlapping ones too: start <= t < end.
 
-    A proven-small window table is broadcast (``small`` passes on an earlier check). A large one is cut into months, so
+    ``interval_join`` is for windows that do not overlap. A proven-small window table is broadcast (``small`` passes on an earlier check). A large one is cut into months, so
     the join is an equality on (key, month) and a key with long history or many
     facts is spread over its months; the range test is then a residual filter.
     """
@@ -120,6 +121,50 @@ def temporal_join(
     return facts.join(cut, on, how).drop("_wkey", "_month")
 
 
+def interval_join(facts: DataFrame, windows: DataFrame, key: str, ts: str, start: str, end: str, how: str = "left") -> DataFrame:
+    """Match each fact with the one window of its key that covers its time: start <= t < end.
+
+    Facts and window starts are united and range partitioned by (key, time), so
+    a key with a third of all facts, or very many windows, spans many chunks.
+    Within a chunk the last window that began is the only one that can cover a
+    fact; a chunk that begins inside a key receives the last window of the
+    chunks before it. At most one key a chunk continues, so that carry has fewer
+    rows than there are chunks and is safe to broadcast. No size decides.
+
+    Columns of the facts, then those of the window but its key. A window that
+    ends before it starts, or without key or start, covers nothing; a fact
+    without key or time has no window and stays unless ``how`` is "inner".
+    Windows of a key must not overlap (an open end is after everything), which
+    is checked here: ValueError.
+    """
+    told = [c for c in windows.columns if c != key]
+    usable = windows.filter(F.col(key).isNotNull() & F.col(start).isNotNull() & (F.col(end).isNull() | (F.col(start) < F.col(end))))
+    begins = usable.select(F.col(key).alias("_key"), F.col(start).alias("_at"), F.lit(0).alias("_kind"), F.lit(0.0).alias("_salt"), F.struct(*told).alias("_win"))
+    moves = facts.select(F.col(key).alias("_key"), F.col(ts).alias("_at"), F.lit(1).alias("_kind"), F.rand(7).alias("_salt"), F.struct(*facts.columns).alias("_fact"))
+    order = ["_at", "_kind", "_salt"]  # the salt spreads facts of one key and time
+    rows = durable(begins.unionByName(moves, allowMissingColumns=True).repartitionByRange("_key", *order)
+                   .withColumn(CHUNK, F.spark_partition_id()), "moves")
+    places = rows.groupBy("_key", CHUNK).agg(F.max_by("_win", F.when(F.col("_kind") == 0, F.col("_at"))).alias("_last"))
+    before = Window.partitionBy("_key").orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    carry = (places.withColumn("_carry", F.last("_last", True).over(before)).filter("_carry IS NOT NULL AND _key IS NOT NULL")
+             .select(F.col("_key").alias("_k"), F.col(CHUNK).alias("_c"), "_carry"))
+
+    def latest(part: DataFrame, upto: int) -> DataFrame:
+        here = Window.partitionBy(CHUNK, "_key").orderBy(*order).rowsBetween(Window.unboundedPreceding, upto)
+        seen = part.withColumn("_own", F.last("_win", True).over(here))
+        carried = seen.join(F.broadcast(carry), (F.col("_key") == F.col("_k")) & (F.col(CHUNK) == F.col("_c")), "left")
+        return carried.withColumn("_cur", F.coalesce("_own", "_carry"))
+
+    clash = latest(rows.filter("_kind = 0").drop("_fact"), -1).filter(F.col("_cur").isNotNull() & (F.col(f"_cur.{end}").isNull() | (F.col(f"_cur.{end}") > F.col("_at"))))
+    if not clash.limit(1).isEmpty():
+        raise ValueError(f"windows of one {key} overlap: facts would count twice")
+    covered = F.col(f"_cur.{end}").isNull() | (F.col("_at") < F.col(f"_cur.{end}"))
+    found = latest(rows, 0).filter("_kind = 1").withColumn("_cur", F.when(F.col("_key").isNotNull() & F.col("_at").isNotNull() & covered, F.col("_cur")))
+    if how == "inner":
+        found = found.filter("_cur IS NOT NULL")
+    return found.select("_fact.*", *[F.col(f"_cur.{c}").alias(c) for c in told])
+
+
 def blend(governed: DataFrame, upload: DataFrame, key: str, probe: str) -> tuple[DataFrame, DataFrame]:
     """Governed rows with the upload attached, and the gates of that join."""
     joined = governed.join(checked_broadcast(upload), key, "left")

@@ -221,13 +221,13 @@ def q04_join_cardinality_gates(c: Campus):
 
 @query("J07", "SELECT sku_name, usage_end, quantity, price FROM costs", "costs")
 def j07_temporal_price_join(c: Campus):
-    return joins.temporal_join(c.usage, c.prices, "sku_name", "usage_end", "price_start", "price_end").select(
+    return joins.interval_join(c.usage, c.prices, "sku_name", "usage_end", "price_start", "price_end").select(
         "sku_name", "usage_end", "quantity", "price")
 
 
 @query("J07", "SELECT sku_name, usage_end, quantity, price FROM costs", "costs")
 def j07_temporal_price_join_by_month(c: Campus):
-    """The same join on the path for price tables too large to broadcast."""
+    """The join for windows that may overlap, on its path for tables too large to broadcast."""
     return joins.temporal_join(c.usage, c.prices, "sku_name", "usage_end", "price_start", "price_end",
                                small=False).select("sku_name", "usage_end", "quantity", "price")
 
