@@ -7,6 +7,7 @@ import json
 import os
 import re
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 from itertools import accumulate, chain, count
 
 import numpy as np
@@ -21,8 +22,10 @@ from lakeloom.llm.common import durable, ragged, table, text_of
 DIR = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
 BYTE_BPE, PIECE_BPE = os.path.join(DIR, "byte_bpe_50k.json"), os.path.join(DIR, "piece_bpe_32k.model")
 #: Units remembered in a task, characters of a unit that is remembered, bytes of text aligned together, and of a block of texts.
-REMEMBERED, LONGEST, AT_ONCE, BLOCK = 1 << 16, 24, 1 << 20, 4 << 20
+REMEMBERED, LONGEST, AT_ONCE, BLOCK = 1 << 18, 24, 1 << 20, 4 << 20
 _MARK = "▁"
+# Fixed value: how byte-level texts are divided before merging.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Where both tokenizers always cut: before a space that follows anything but white space.
 _CUT = re.compile(r"(?<=\S)(?= )")
 
@@ -34,25 +37,46 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(others)}
 
 
+@lru_cache(maxsize=4)
+def byte_level_ranks(path: str) -> tuple[tuple[bytes, ...], dict[bytes, int]]:
+    """Bytes of every id of a byte-level BPE file, and ids by bytes as merge ranks.
+
+    Ranks alone, without the list of merged pairs, give the same ids: every
+    token is made by one merge whose place in the list is that of its id (checked),
+    and a token that its own bytes are not merged to is made nowhere, as merges
+    inside its bytes do not depend on what surrounds them; such tokens are left out.
+    """
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+    from tokenizers import Tokenizer
+
+    model = Tokenizer.from_file(path).model
+    letters = byte_letters()
+    with open(path, encoding="utf-8") as file:
+        told = json.load(file)["model"]
+    raw = [b""] * (max(told["vocab"].values()) + 1)
+    ranks = {}
+    for token, i in told["vocab"].items():
+        if all(c in letters for c in token):
+            raw[i] = bytes(letters[c] for c in token)
+            if len(token) == 1 or [t.id for t in model.tokenize(token)] == [i]:
+                ranks[raw[i]] = i
+    order = [told["vocab"]["".join(m.split(" ") if isinstance(m, str) else m)] for m in told["merges"]]
+    if order != sorted(order):
+        raise ValueError(f"merges of {path} are not in the order of ids")
+    return tuple(raw), ranks
+
+
 class ByteLevel:
     """Ids and token bytes of a byte-level BPE file; special tokens are plain text."""
 
     def __init__(self, path: str) -> None:
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
-
-        self.model = Tokenizer.from_file(path)
-        self.model.encode_special_tokens = True
-        letters = byte_letters()
-        with open(path, encoding="utf-8") as file:
-            vocab = json.load(file)["model"]["vocab"]
-        self.raw = [b""] * self.model.get_vocab_size()
-        for token, i in vocab.items():
-            if all(c in letters for c in token):
-                self.raw[i] = bytes(letters[c] for c in token)
+        import tiktoken
+
+        self.raw, ranks = byte_level_ranks(path)
+        self.model = tiktoken.Encoding(os.path.basename(path), pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def encode(self, units: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.model.encode_batch_fast(units, add_special_tokens=False)]
+        return [self.model.encode_ordinary(u) for u in units]
 
 
 class PieceLevel:
@@ -86,10 +110,10 @@ def common_ends(a: list[int], b: list[int], size_a: list[int], size_b: list[int]
     Each list's cumulative ends are held in a dictionary from end to index; the
     common keys, sorted, are the cuts. Of ids without bytes the last one counts.
     """
-    at_a = dict(zip(accumulate([size_a[i] for i in a]), count(1)))
-    at_b = dict(zip(accumulate([size_b[i] for i in b]), count(1)))
+    at_a = dict(zip(accumulate(map(size_a.__getitem__, a)), count(1)))
+    at_b = dict(zip(accumulate(map(size_b.__getitem__, b)), count(1)))
     ends = sorted(at_a.keys() & at_b.keys())
-    return ends, [at_a[e] for e in ends], [at_b[e] for e in ends]
+    return ends, list(map(at_a.__getitem__, ends)), list(map(at_b.__getitem__, ends))
 
 
 def ending(ids: list[int], to: int, size: list[int]) -> list[int]:
@@ -100,15 +124,13 @@ def ending(ids: list[int], to: int, size: list[int]) -> list[int]:
     return found
 
 
-#: An aligned unit: ids of a and of b, cuts (ends, ids of a before each, ids of b before each), the groups spelled out, and
-#: linked pairs (a << 32 | b). Ids of a are None where the bytes of either side differ from the text's. Plain tuples of
-#: numbers, as very many are remembered and the collector looks at other objects again and again.
-Unit = tuple[tuple[int, ...] | None, tuple[int, ...], tuple[tuple[int, ...], tuple[int, ...], tuple[int, ...]], str, tuple[int, ...]]
-UNSPELLED: Unit = (None, (), ((), (), ()), "", ())
+#: What a text or unit adds: ids of a, of b, groups, the groups as ``a1,a2|b1;``, and linked pairs as the bytes of 64-bit numbers.
+Aligned = tuple[int, int, int, str, bytes]
+NOTHING: Aligned = (0, 0, 0, "", b"")
 
 
 class Aligner:
-    """Aligns texts unit by unit and remembers units.
+    """Encodes texts unit by unit, remembers units, and aligns ids.
 
     Neither tokenizer has a token over a space that follows anything but white
     space: the byte-level pattern ends there, and no piece holds a space mark
@@ -119,46 +141,83 @@ class Aligner:
     def __init__(self, path_a: str, path_b: str) -> None:
         self.a, self.b = ByteLevel(path_a), PieceLevel(path_b)
         self.size_a, self.size_b = [len(r) for r in self.a.raw], [len(r) for r in self.b.raw]
-        self.told_a, self.told_b = [str(i) for i in range(len(self.size_a))], [str(i) for i in range(len(self.size_b))]
-        self.known: dict[str, Unit] = {}
+        self.bare = np.array(self.size_a) == 0, np.array(self.size_b) == 0
+        # each id with the sign behind it: a comma, or what ends its side of a group
+        self.told = [f"{i}{sign}" for signs, n in ((",|", len(self.size_a)), (",;", len(self.size_b))) for i in range(n) for sign in signs]
+        self.known: dict[str, Aligned] = {}
 
     def units(self, text: str) -> list[str]:
         return _CUT.split(" " + text) if self.b.single else [" " + text]
 
-    def _align(self, unit: str, a: list[int], b: list[int]) -> Unit:
-        body, raw_a, raw_b, told_a, told_b = unit.encode(), self.a.raw, self.b.raw, self.told_a, self.told_b
-        if b"".join([raw_a[i] for i in a]) != body or b"".join([raw_b[i] for i in b]) != body:
-            return UNSPELLED
-        ends, cut_a, cut_b = common_ends(a, b, self.size_a, self.size_b)
-        spelled, links = [], []
-        from_a = from_b = 0
-        for to_a, to_b in zip(cut_a, cut_b):
-            left = told_a[a[from_a]] if to_a - from_a == 1 else ",".join([told_a[i] for i in a[from_a:to_a]])
-            right = told_b[b[from_b]] if to_b - from_b == 1 else ",".join([told_b[i] for i in b[from_b:to_b]])
-            spelled.append(f"{left}|{right}")
-            last_a, last_b = a[to_a - 1], b[to_b - 1]
-            if self.size_a[last_a] and self.size_b[last_b]:
-                links.append(last_a << 32 | last_b)
-            else:
-                links += [x << 32 | y for x in ending(a, to_a, self.size_a) for y in ending(b, to_b, self.size_b)]
-            from_a, from_b = to_a, to_b
-        return tuple(a), tuple(b), (tuple(ends), tuple(cut_a), tuple(cut_b)), ";".join(spelled), tuple(links)
-
-    def align(self, texts: list[str]) -> list[list[Unit] | None]:
-        """The units of each text; None for texts that are empty or not spelled by both."""
+    def encode(self, units: list[str]) -> list[tuple[list[int], list[int]]]:
+        """Both sides' ids of texts that begin with a space; none where either side does not spell the text."""
+        ids_a, ids_b = self.a.encode(units), self.b.encode(units)
+        bodies = [u.encode() for u in units]
+        if self._spelled(bodies, ids_a, self.a.raw, self.size_a) and self._spelled(bodies, ids_b, self.b.raw, self.size_b):
+            return list(zip(ids_a, ids_b, strict=True))
+        return [(a, b) if b"".join([self.a.raw[i] for i in a]) == body == b"".join([self.b.raw[i] for i in b]) else ([], [])
+                for body, a, b in zip(bodies, ids_a, ids_b, strict=True)]
+
+    @staticmethod
+    def _spelled(bodies: list[bytes], ids: list[list[int]], raw: tuple[bytes, ...], size: list[int]) -> bool:
+        """Whether all ids together have the bytes of all units, and each unit as many as its own."""
+        flat = list(chain.from_iterable(ids))
+        if b"".join(map(raw.__getitem__, flat)) != b"".join(bodies):
+            return False
+        upto = np.append(0, np.cumsum(np.fromiter(map(size.__getitem__, flat), np.int64, len(flat))))
+        return np.array_equal(upto[np.cumsum(list(map(len, ids)))], np.cumsum(list(map(len, bodies))))
+
+    def align(self, units: list[str]) -> list[Aligned]:
+        """What each of some units adds to its text; all are laid end to end, as their ends are cuts of both sides."""
+        ids = self.encode(units)
+        a, b = list(chain.from_iterable([x for x, _ in ids])), list(chain.from_iterable([y for _, y in ids]))
+        if not a:
+            return [NOTHING] * len(units)
+        _, cut_a, cut_b = common_ends(a, b, self.size_a, self.size_b)
+        cuts_a, cuts_b, flat_a, flat_b = np.array(cut_a), np.array(cut_b), np.array(a, np.int64), np.array(b, np.int64)
+        told = self.spell(flat_a, flat_b, cuts_a, cuts_b)
+        n_a, n_b = np.array([len(x) for x, _ in ids]), np.array([len(y) for _, y in ids])
+        to_a, to_b = np.cumsum(n_a), np.cumsum(n_b)
+        to_group = np.searchsorted(cuts_a, to_a, "right")
+        if self.bare[0][flat_a].any() or self.bare[1][flat_b].any():
+            per = [[x << 32 | y for x in ending(a, p, self.size_a) for y in ending(b, q, self.size_b)] for p, q in zip(cut_a, cut_b, strict=True)]
+            links, links_upto = np.array(list(chain.from_iterable(per)), np.int64), np.append(0, np.cumsum(list(map(len, per))))
+        else:  # one id of either side ends where its slice does
+            links, links_upto = flat_a[cuts_a - 1] << 32 | flat_b[cuts_b - 1], np.arange(len(cut_a) + 1)
+        out, from_told, from_group = [], 0, 0
+        for na, nb, told_to, group in zip(n_a.tolist(), n_b.tolist(), (to_a + to_b).tolist(), to_group.tolist(), strict=True):
+            out.append((na, nb, group - from_group, "".join(told[from_told:told_to]), links[links_upto[from_group]:links_upto[group]].tobytes()) if na else NOTHING)
+            from_told, from_group = told_to, group
+        return out
+
+    def tell(self, texts: list[str]) -> list[Aligned]:
+        """What ``align`` says of whole texts, put together from their units; NOTHING for texts not spelled by both."""
         split = [self.units(t) if t else [] for t in texts]
         if len(self.known) > REMEMBERED:
             self.known.clear()
         known = self.known
         new = list({u for units in split for u in units if u not in known})
-        fresh = {unit: self._align(unit, a, b) for unit, a, b in zip(new, self.a.encode(new), self.b.encode(new), strict=True)} if new else {}
-        known.update([(u, found) for u, found in fresh.items() if len(u) <= LONGEST])
+        fresh = dict(zip(new, self.align(new), strict=True)) if new else {}
+        known.update(fresh)
         found = []
         for units in split:
-            own = [known[u] if u in known else fresh[u] for u in units]
-            found.append(own if own and all([u[0] is not None for u in own]) else None)
+            n_a, n_b, groups, told, links = zip(*map(known.__getitem__, units)) if units else ((0,),) * 5
+            found.append((sum(n_a), sum(n_b), sum(groups), "".join(told), b"".join(links)) if 0 not in n_a else NOTHING)
+        for unit in fresh:
+            if len(unit) > LONGEST:
+                del known[unit]
         return found
 
+    def spell(self, a: np.ndarray, b: np.ndarray, cut_a: np.ndarray, cut_b: np.ndarray) -> list[str]:
+        """Every id with the sign behind it, in the order of ``a1,a2|b1;a3|b2,b3;``."""
+        code_a, code_b = 2 * a, 2 * b + 2 * len(self.size_a)
+        code_a[cut_a - 1] += 1
+        code_b[cut_b - 1] += 1
+        out = np.empty(len(a) + len(b), np.int64)  # a group's ids of a stand behind the ids of b of earlier groups
+        out[np.arange(len(a)) + np.repeat(np.append(0, cut_b[:-1]), np.diff(cut_a, prepend=0))] = code_a
+        out[np.arange(len(b)) + np.repeat(cut_a, np.diff(cut_b, prepend=0))] = code_b
+        return list(map(self.told.__getitem__, out.tolist()))
+
 
 def _texts(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[tuple[pa.Array, list[str]]]:
     """Ids and texts in parts of about ``limit`` bytes; a text is never divided."""
@@ -198,16 +257,10 @@ def align_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         aligner = Aligner(path_a, path_b)
         for own, texts in _texts(batches, AT_ONCE):
             rows_a, rows_b, cuts = [], [], []
-            for units in aligner.align(texts):
-                a, b, cut, end = [], [], [], 0
-                for own_a, own_b, (ends, to_a, to_b), _, _ in units or ():
-                    cut += [{"end": end + e, "a_to": len(a) + x, "b_to": len(b) + y} for e, x, y in zip(ends, to_a, to_b, strict=True)]
-                    end += ends[-1]
-                    a += own_a
-                    b += own_b
+            for a, b in aligner.encode([" " + t if t else "" for t in texts]):
                 rows_a.append(a)
                 rows_b.append(b)
-                cuts.append(cut)
+                cuts.append([{"end": e, "a_to": x, "b_to": y} for e, x, y in zip(*common_ends(a, b, aligner.size_a, aligner.size_b), strict=True)])
             yield pa.RecordBatch.from_arrays([own, pa.array(rows_a, pa.list_(pa.int32())), pa.array(rows_b, pa.list_(pa.int32())), pa.array(cuts, _CUTS)],
                                              ["id", "a_ids", "b_ids", "groups"])
 
@@ -224,21 +277,15 @@ def _summaries(path_a: str, path_b: str) -> Callable[[Iterator[pa.RecordBatch]],
         aligner = Aligner(path_a, path_b)
         block, held = TaskContext.get().partitionId() << 32, 0
         for own, texts in _texts(batches, AT_ONCE):
-            found = aligner.align(texts)
-            rows = [tuple(map(list, zip(*units, strict=True))) if units else ((), (), (), (), ()) for units in found]
-            told = [hashlib.sha256(";".join(r[3]).encode()).hexdigest() if r[3] else "" for r in rows]
-            size = np.array([sum(map(len, r[4])) for r in rows], np.int64)
-            row = np.repeat(np.arange(len(rows)), size)
-            pair = np.fromiter(chain.from_iterable(x for r in rows for x in r[4]), np.int64, int(size.sum()))
-            order = np.lexsort([pair, row])
-            row, pair = row[order], pair[order]
-            first = np.flatnonzero(np.append(True, (row[1:] != row[:-1]) | (pair[1:] != pair[:-1]))) if len(pair) else np.zeros(0, np.int64)
-            times = np.diff(np.append(first, len(pair)))
-            each = np.bincount(row[first], minlength=len(rows))
-            counts = [pa.array([sum(map(len, part(r))) for r in rows], pa.int64()) for part in (lambda r: r[0], lambda r: r[1], lambda r: [c[0] for c in r[2]])]
+            found = aligner.tell(texts)
+            told = [hashlib.sha256(x[3][:-1].encode()).hexdigest() if x[3] else "" for x in found]
+            links = [np.frombuffer(x[4], np.int64) for x in found]
+            size = np.array([len(x) for x in links], np.int64)
+            pair, times = zip(*(np.unique(x, return_counts=True) for x in links), strict=True)
+            each = np.array([len(x) for x in pair], np.int64)
             yield pa.RecordBatch.from_arrays(
-                [own, pa.array(np.full(len(rows), block)), *counts, pa.array(size), pa.array(told, pa.string()),
-                 ragged(pair[first], each, pa.int64()), ragged(times, each, pa.int32())],
+                [own, pa.array(np.full(len(links), block)), *(pa.array([x[k] for x in found], pa.int64()) for k in range(3)), pa.array(size), pa.array(told, pa.string()),
+                 ragged(np.concatenate(pair), each, pa.int64()), ragged(np.concatenate(times).astype(np.int32), each, pa.int32())],
                 ["digest", "block", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pairs", "times"])
             held += sum(map(len, texts))
             if held >= BLOCK:

@@ -15,7 +15,13 @@ from tests.llm.cases import ODD, SCHEMA, frame
 
 @pytest.fixture(scope="module")
 def sides():
-    return alignment.ByteLevel(alignment.BYTE_BPE), alignment.PieceLevel(alignment.PIECE_BPE)
+    """Both sides, the first with the model of the file itself in place of its ranks."""
+    from tokenizers import Tokenizer
+
+    a, b = alignment.ByteLevel(alignment.BYTE_BPE), alignment.PieceLevel(alignment.PIECE_BPE)
+    a.model = Tokenizer.from_file(alignment.BYTE_BPE)
+    a.model.encode_special_tokens = True
+    return a, b
 
 
 def brute_ids(sides, text):
@@ -70,8 +76,8 @@ PARTS = [" ", "  ", "\n", "\t", "a", "the", " the", "1", "'s", "!", "é", "漢
 def test_vocabularies(sides):
     a, b = sides
     assert len(alignment.byte_letters()) == 256 == len(set(alignment.byte_letters().values()))
-    assert len(a.raw) == 50_257 and len(b.raw) == 32_000 and b.single
-    assert sum(not r for r in a.raw) <= 1 and [i for i, r in enumerate(b.raw) if not r] == [0, 1, 2]
+    assert len(a.raw) == 50_256 and len(b.raw) == 32_000 and b.single
+    assert all(a.raw) and [i for i, r in enumerate(b.raw) if not r] == [0, 1, 2]
 
 
 def test_units_give_the_ids_of_whole_texts(sides):
@@ -79,19 +85,34 @@ def test_units_give_the_ids_of_whole_texts(sides):
     aligner = alignment.Aligner(alignment.BYTE_BPE, alignment.PIECE_BPE)
     texts = ["".join(rng.choices(PARTS, k=rng.randrange(1, 15))) for _ in range(4000)]
     spelled = 0
-    for text, units in zip(texts, aligner.align(texts), strict=True):
-        got = ([i for u in units or () for i in u[0]], [i for u in units or () for i in u[1]])
-        assert got == brute_ids(sides, text), repr(text)
-        spelled += units is not None
+    for text, got in zip(texts, aligner.tell(texts), strict=True):
+        a, b = brute_ids(sides, text)
+        groups = [g.split("|") for g in got[3][:-1].split(";")] if got[3] else []
+        assert ([int(i) for g in groups for i in g[0].split(",")], [int(i) for g in groups for i in g[1].split(",")]) == (a, b), repr(text)
+        assert got[:3] == (len(a), len(b), len(groups)) and aligner.encode([" " + text]) == [(a, b)]
+        spelled += bool(a)
     assert 1000 < spelled < 4000
 
 
 def test_forgetting_changes_nothing(sides, monkeypatch):
+    texts = ["one two three four", "five six seven one", "two two ten", "with ▁ mark", ""] * 2
+    want = alignment.Aligner(alignment.BYTE_BPE, alignment.PIECE_BPE).tell(texts)
     monkeypatch.setattr(alignment, "REMEMBERED", 3)
+    monkeypatch.setattr(alignment, "LONGEST", 4)
     aligner = alignment.Aligner(alignment.BYTE_BPE, alignment.PIECE_BPE)
-    for text in ["one two three four", "five six seven one", "two two ten"] * 2:
-        (units,) = aligner.align([text])
-        assert ([i for u in units for i in u[0]], [i for u in units for i in u[1]]) == brute_ids(sides, text)
+    assert [aligner.tell([t])[0] for t in texts] == want
+
+
+def test_ranks_give_the_ids_of_the_merges(sides):
+    """Whole documents and random bytes, letters and marks, by ranks and by the list of merges."""
+    import duckdb
+
+    rng = random.Random(3)
+    texts = [r[0] for r in duckdb.sql(f"SELECT text FROM '{SF}/documents.parquet' WHERE text IS NOT NULL").fetchall()]
+    texts += ["".join(chr(rng.choice([rng.randrange(32, 127), rng.randrange(160, 1500), rng.randrange(0x3040, 0x9FFF), 32])) for _ in range(60)) for _ in range(1500)]
+    texts += ["".join(rng.choices("aeinorst", k=40)) for _ in range(1500)]
+    own = alignment.ByteLevel(alignment.BYTE_BPE)
+    assert own.encode(texts) == [e.ids for e in sides[0].model.encode_batch(texts, add_special_tokens=False)]
 
 
 def test_ids_without_bytes():
