@@ -42,6 +42,28 @@ def write_clustered(df: DataFrame, path: str, partition: str, within: list[str])
     return df.sparkSession.read.parquet(path)
 
 
+def write_interleaved(df: DataFrame, path: str, keys: list[str], files: int = 64, bits: int = 4) -> DataFrame:
+    """Lay a table out by several numeric or date keys at once, so that a filter on any one of them reads few files.
+
+    Each key is scaled to 2 ** ``bits`` ranks by approximate percentiles (one
+    aggregate, whose few cuts are all that reaches the driver), and the bits of
+    the ranks are interleaved. Rows are range partitioned and sorted by that
+    code, so every file covers a small box of all keys and its footer shows a
+    narrow range for each. Rows with NULL have rank 0; rows of equal keys are
+    spread by a salt where they are too many for a file.
+    """
+    steps = [i / 2**bits for i in range(1, 2**bits)]
+    cuts = df.agg(*[F.percentile_approx(k, steps, 10_000).alias(k) for k in keys]).first()
+    ranks = {k: reduce(lambda a, b: a + b, [F.when(F.col(k) >= F.lit(cut), 1).otherwise(0) for cut in cuts[k] or []], F.lit(0)) for k in keys}
+    code = F.lit(0)
+    for bit in reversed(range(bits)):
+        for k in keys:
+            code = code * 2 + F.shiftright(ranks[k], bit).bitwiseAND(1)
+    placed = df.withColumn("_code", code).repartitionByRange(files, "_code", *keys, F.rand(7))
+    placed.sortWithinPartitions("_code", *keys).drop("_code").write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def write_bucketed(df: DataFrame, name: str, path: str, keys: list[str], buckets: int) -> DataFrame:
     """A table laid out by hash of its join keys: joins of two such tables need no shuffle."""
     (df.write.mode("overwrite").format("parquet").option("path", path).bucketBy(buckets, *keys).sortBy(*keys)
