@@ -94,6 +94,41 @@ def forecast(daily: DataFrame, series: str, day: str, value: str, horizon: int =
                         F.round(at - z * F.col("sd"), 2).alias("low"), F.round(at + z * F.col("sd"), 2).alias("high"))
 
 
+def weekday_forecast(daily: DataFrame, series: str, day: str, value: str, horizon: int = 30, z: float = 1.645) -> DataFrame:
+    """Linear trend and weekday effects per series for the next ``horizon`` days, with a prediction band.
+
+    ``daily`` has one row per series and day. Least squares from sums per
+    (series, weekday), which combine on the map side: the slope pools the
+    deviations within weekdays, a weekday's level is its own mean on that slope.
+    The band holds one further day: residual variance, doubt of the level and
+    doubt of the slope, so it widens with the horizon; ``z`` is a normal
+    quantile (1.645 for 90 percent), corrected to Student's t for few days.
+    A weekday that a series has never seen has a NULL forecast, a series with
+    too few days to judge its residuals a NULL band.
+    """
+    number = lambda date: F.datediff(date, F.lit("1970-01-01").cast("date")).cast("double")
+    x, y = F.col("_x"), F.col(value)
+    dated = daily.filter(F.col(day).isNotNull() & y.isNotNull()).withColumn("_x", number(F.col(day).cast("date")))
+    levels = dated.groupBy(series, F.weekday(F.col(day).cast("date")).alias("_wd")).agg(
+        F.count("*").alias("n"), F.avg(x).alias("mx"), F.avg(y).alias("my"), F.regr_sxx(y, x).alias("sxx"),
+        F.regr_sxy(y, x).alias("sxy"), F.regr_syy(y, x).alias("syy"), F.max(F.col(day).cast("date")).alias("last"))
+    spread = F.nullif(F.sum("sxx"), F.lit(0.0))
+    fit = levels.groupBy(series).agg(
+        (F.sum("sxy") / spread).alias("slope"), spread.alias("spread"), (F.sum("syy") - F.pow(F.sum("sxy"), F.lit(2)) / spread).alias("rest"),
+        (F.sum("n") - F.count("*") - 1).alias("df"), F.max("last").alias("last"),
+        F.collect_list(F.struct("_wd", "n", "mx", "my")).alias("levels"))  # at most seven
+    ahead = fit.withColumn("_day", F.explode(F.sequence(F.date_add("last", 1), F.date_add("last", horizon))))
+    level = F.get(F.filter("levels", lambda one: one["_wd"] == F.weekday(F.col("_day"))), 0)
+    off = number(F.col("_day")) - level["mx"]
+    at = level["my"] + F.col("slope") * off
+    df = F.when(F.col("df") > 0, F.col("df"))
+    t = (F.lit(z) + (z ** 3 + z) / 4 / df + (5 * z ** 5 + 16 * z ** 3 + 3 * z) / 96 / F.pow(df, F.lit(2))
+         + (3 * z ** 7 + 19 * z ** 5 + 17 * z ** 3 - 15 * z) / 384 / F.pow(df, F.lit(3)))
+    sd = F.sqrt(F.greatest(F.col("rest"), F.lit(0.0)) / df * (1 + 1 / level["n"] + F.pow(off, F.lit(2)) / F.col("spread")))
+    return ahead.select(series, F.col("_day").alias("day"), F.round(at, 2).alias("forecast"),
+                        F.round(at - t * sd, 2).alias("low"), F.round(at + t * sd, 2).alias("high"))
+
+
 def chargeback(weights: DataFrame, rows: DataFrame, cost: str) -> DataFrame:
     """Split total spend by given weights (T17, J15); the total is a scalar, not a join side."""
     total = rows.agg(exact_total(cost, 4)).scalar()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lakeloom.functions import dates, text, values
-from lakeloom.operators import aggregates, cost, joins, ordered, telemetry, windows
+from lakeloom.operators import aggregates, cost, joins, ordered, sketches, telemetry, windows
 from lakeloom.plans.campus import Campus
 from lakeloom.plans.catalog.core import GPA4, STAR_NEEDS, STAR_SQL, avg_sql, star
 from lakeloom.plans.oracle import BUCKET, STANDING, TIER
@@ -130,6 +130,44 @@ def x06_daily_summary(c: Campus):
     return replace_partition(row, path, "run_date")
 
 
+def kept_days(c: Campus):
+    """The query log sketched by day and warehouse, and stored by day."""
+    from lakeloom.session import scratch_path
+    from lakeloom.sinks.tables import replace_partition
+
+    rows = c.query_history.select(F.col("start_time").cast("date").alias("day"), "compute.warehouse_id", "total_duration_ms", "executed_by")
+    days = sketches.daily_sketches(rows, "day", ["warehouse_id"], ["total_duration_ms"], ["executed_by"])
+    return rows, replace_partition(days, scratch_path(c.spark, "sketches"), "day")
+
+
+@query("X06 A09 A22", """SELECT warehouse_id, count(*) AS n_rows, count(DISTINCT executed_by) AS exact_users, true AS median_holds, true AS users_hold
+    FROM query_history GROUP BY 1""", "query_history")
+def x06_sketched_days(c: Campus):
+    """Merged days held against the facts: the median's rank and the distinct count stay within the stated errors."""
+    rows, stored = kept_days(c)
+    found = sketches.estimates(sketches.merge_days(stored, "day", ["warehouse_id"]), {"mid": ("total_duration_ms", 0.5)}, {"users": "executed_by"})
+    exact = rows.groupBy("warehouse_id").agg(F.countDistinct("executed_by").alias("exact_users"))
+    values_by_key = rows.groupBy("warehouse_id", "total_duration_ms").agg(F.count("total_duration_ms").alias("n"))
+    found = found.withColumnRenamed("warehouse_id", "_w")
+    ranks = values_by_key.join(found.select("_w", "mid"), F.col("warehouse_id").eqNullSafe(F.col("_w"))).groupBy("warehouse_id").agg(
+        (F.sum(F.when(F.col("total_duration_ms") < F.col("mid"), F.col("n")).otherwise(0)) / F.sum("n")).alias("low"),
+        (F.sum(F.when(F.col("total_duration_ms") <= F.col("mid"), F.col("n")).otherwise(0)) / F.sum("n")).alias("high"))
+    joined = found
+    for side, key in ((exact, "_e"), (ranks, "_r")):
+        joined = joined.join(side.withColumnRenamed("warehouse_id", key), F.col("_w").eqNullSafe(F.col(key)))
+    return joined.select(F.col("_w").alias("warehouse_id"), "n_rows", "exact_users",
+                         F.expr(f"low - {sketches.RANK_ERROR} <= 0.5 AND high + {sketches.RANK_ERROR} >= 0.5").alias("median_holds"),
+                         (F.abs(F.col("users") - F.col("exact_users")) <= F.col("exact_users") * sketches.COUNT_ERROR).alias("users_hold"))
+
+
+@query("A09 A22")
+def a09_rolling_week(c: Campus):
+    """Approximate median latency and active users of the seven days that end with each day, from stored sketches alone."""
+    _, stored = kept_days(c)
+    week = sketches.rolling_days(stored, "day", ["warehouse_id"], 7)
+    return sketches.estimates(week, {"median_ms": ("total_duration_ms", 0.5), "p95_ms": ("total_duration_ms", 0.95)}, {"users": "executed_by"})
+
+
 @query("X07 K14", """SELECT 'by_dept' AS leg, count(*) AS n_groups, sum(n)::BIGINT AS total, true AS agree FROM (SELECT dept_id, count(*) AS n FROM history GROUP BY 1)
     UNION ALL SELECT 'by_term', count(*), sum(n)::BIGINT, true FROM (SELECT term_id, count(*) AS n FROM history GROUP BY 1)""", "history")
 def x07_stage_legs_merge(c: Campus):
@@ -313,6 +351,22 @@ def t16_spend_forecast(c: Campus):
     return cost.forecast(daily, "product", "usage_date", "usd")
 
 
+@query("T16", """WITH d AS (SELECT product, usage_date, sum(round(cost * 10000)::BIGINT)::DOUBLE / 10000 AS y, (usage_date - DATE '1970-01-01')::DOUBLE AS x FROM costs GROUP BY 1, 2, 4),
+    w AS (SELECT product, isodow(usage_date) AS wd, count(*) AS n, avg(x) AS mx, avg(y) AS my, regr_sxx(y, x) AS sxx, regr_sxy(y, x) AS sxy, regr_syy(y, x) AS syy, max(usage_date) AS l
+      FROM d WHERE y IS NOT NULL GROUP BY 1, 2),
+    f AS (SELECT product, sum(sxy) / sum(sxx) AS m, sum(sxx) AS sxx, sum(syy) - sum(sxy) ^ 2 / sum(sxx) AS rest, sum(n) - count(*) - 1 AS df, max(l) AS l FROM w GROUP BY 1),
+    p AS (SELECT product, l + h::INTEGER AS day FROM f, (SELECT unnest(range(1, 31)) AS h)),
+    v AS (SELECT p.product, day, my + m * (day - DATE '1970-01-01' - mx) AS v, sqrt(greatest(rest, 0) / df * (1 + 1.0::DOUBLE / n + (day - DATE '1970-01-01' - mx) ^ 2 / f.sxx)) AS sd, df
+      FROM p JOIN f USING (product) LEFT JOIN w ON w.product = p.product AND wd = isodow(day)),
+    q AS (SELECT *, 1.645::DOUBLE AS z FROM v), t AS (SELECT *, z + (z ^ 3 + z) / 4 / df + (5 * z ^ 5 + 16 * z ^ 3 + 3 * z) / 96 / df ^ 2 + (3 * z ^ 7 + 19 * z ^ 5 + 17 * z ^ 3 - 15 * z) / 384 / df ^ 3 AS t FROM q)
+    SELECT product, day, round(v, 2) AS forecast, round(v - t * sd, 2) AS low, round(v + t * sd, 2) AS high FROM t""", "costs")
+def t16_weekday_forecast(c: Campus):
+    """Trend and weekday effects with a band that widens with the horizon."""
+    daily = (costs(c).groupBy("product", "usage_date").agg(values.exact_total("cost", 4).alias("usd"))
+             .filter(F.col("usd").isNotNull()))
+    return cost.weekday_forecast(daily, "product", "usage_date", "usd")
+
+
 @query("T17", f"""WITH t AS (SELECT sum(round(cost * 10000)::BIGINT)::DOUBLE / 10000 AS t FROM costs), w AS (SELECT d.name AS department,
       count(*)::DOUBLE / (SELECT count(*) FROM student) AS weight FROM student JOIN department d USING (dept_id) GROUP BY 1)
     SELECT department, weight, round(weight * (SELECT t FROM t), 2) AS allocated_usd FROM w""", "costs student department")
