@@ -32,19 +32,21 @@ def mask_round(col: str, role: Column | str, digits: int = -3) -> Column:
 MASKS = {"partial": mask_partial, "year": mask_year, "round": mask_round}
 
 
-def register_sql_masks(spark) -> None:
-    """The same masks as SQL scalar functions for the session."""
+def partial_sql(mask: str, value: str) -> str:
+    """What faculty sees of ``value``, as SQL text of built-in functions, for views that are stored."""
     from lakeloom.functions.fixed import DATE_FORMATS
 
-    parsed = ", ".join(f"try_to_date(v, '{fmt}')" for fmt in DATE_FORMATS)
-    bodies = {
-        "mask_partial(v STRING, role STRING) RETURNS STRING": "concat('***-**-', right(v, 4))",
-        "mask_year(v STRING, role STRING) RETURNS STRING":
-            f"concat(cast(year(coalesce({parsed})) AS STRING), '-XX-XX')",
-        "mask_round(v DOUBLE, role STRING) RETURNS DOUBLE": "round(v, -3)",
-    }
-    for signature, partial in bodies.items():
+    parsed = ", ".join(f"try_to_date({value}, '{fmt}')" for fmt in DATE_FORMATS)
+    return {"partial": f"concat('***-**-', right({value}, 4))",
+            "year": f"concat(cast(year(coalesce({parsed})) AS STRING), '-XX-XX')",
+            "round": f"round({value}, -3)"}[mask]
+
+
+def register_sql_masks(spark) -> None:
+    """The same masks as SQL scalar functions for the session."""
+    types = {"partial": "STRING", "year": "STRING", "round": "DOUBLE"}
+    for mask, kind in types.items():
         spark.sql(
-            f"CREATE OR REPLACE TEMPORARY FUNCTION {signature} "
-            f"RETURN CASE role WHEN 'admin' THEN v WHEN 'faculty' THEN {partial} END"
+            f"CREATE OR REPLACE TEMPORARY FUNCTION mask_{mask}(v {kind}, role STRING) RETURNS {kind} "
+            f"RETURN CASE role WHEN 'admin' THEN v WHEN 'faculty' THEN {partial_sql(mask, 'v')} END"
         )

@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.functions.masks import MASKS, register_sql_masks
+from lakeloom.functions.masks import MASKS, partial_sql, register_sql_masks
 from lakeloom.functions.text import matches_any
 
 ADMIN_GROUP, FACULTY_GROUP, STUDENT_GROUP = "admins", "faculty", "students"
@@ -256,6 +256,11 @@ def code_activity(log: DataFrame, as_of: str, days: int) -> DataFrame:
             .agg(F.count("*").alias("n"), F.max("event_time").alias("last_event")))
 
 
+def sql_text(value: str) -> str:
+    """A string as a SQL literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def create_secured_view(
     spark: SparkSession, name: str, source: str, schema: str, table: str, policies: Policies,
     principal: str, access: str, memberships: str,
@@ -266,7 +271,7 @@ def create_secured_view(
     reading decide: a revoked admin loses access at once.
     """
     register_sql_masks(spark)
-    who = "'" + principal.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    who = sql_text(principal)
     role = (f"(SELECT CASE WHEN bool_or(m.group_name = '{ADMIN_GROUP}') THEN 'admin' WHEN bool_or(m.group_name = '{FACULTY_GROUP}') THEN 'faculty' "
             f"ELSE 'other' END FROM {memberships} m WHERE m.principal = {who})")
     masks = {c: m for (s, t, c), m in policies.masks.items() if (s, t) == (schema, table)}
@@ -278,6 +283,38 @@ def create_secured_view(
     spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW {name} AS SELECT {columns} FROM {source}{rows}")
 
 
+def create_policy_view(
+    spark: SparkSession, name: str, source: str, schema: str, table: str, policies: Policies,
+    access: str, memberships: str, self_col: str | None = None,
+) -> None:
+    """One stored view for everyone: who reads it decides what it shows.
+
+    ``source``, ``access`` and ``memberships`` are stored tables. Filter and
+    masks ask ``current_user()`` and those tables whenever the view is read, so
+    it names no principal, outlives the session that made it, and a changed
+    membership or mapping counts at once. Admins see all rows, other principals
+    those mapped to them or their groups; with ``self_col`` students also see
+    the rows that name them. Masked columns are whole for admins, partial for
+    faculty and NULL for others. NULL filter values are for admins alone.
+    """
+    own = "m.principal = current_user()"
+    held = lambda group: f"EXISTS (SELECT 1 FROM {memberships} m WHERE {own} AND m.group_name = '{group}')"
+    role = (f"(SELECT CASE WHEN bool_or(m.group_name = '{ADMIN_GROUP}') THEN 'admin' WHEN bool_or(m.group_name = '{FACULTY_GROUP}') THEN 'faculty' "
+            f"WHEN bool_or(m.group_name = '{STUDENT_GROUP}') THEN 'student' ELSE 'other' END FROM {memberships} m WHERE {own})")
+    by_column = {c: m for (s, t, c), m in policies.masks.items() if (s, t) == (schema, table)}
+    shown = [f"CASE __viewer WHEN 'admin' THEN `{c}` WHEN 'faculty' THEN {partial_sql(by_column[c], f'`{c}`')} END AS `{c}`" if c in by_column else f"`{c}`"
+             for c in spark.table(source).columns]
+    col = policies.filters.get((schema, table))
+    rows = ""
+    if col is not None:
+        mapped = (f"SELECT a.`{col}` FROM {access} a WHERE a.principal = current_user() "
+                  f"OR a.principal IN (SELECT m.group_name FROM {memberships} m WHERE {own})")
+        rows = f" WHERE {held(ADMIN_GROUP)} OR `{col}` IN ({mapped})"
+        if self_col:
+            rows += f" OR (`{self_col}` = current_user() AND {held(STUDENT_GROUP)})"
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {', '.join(shown)} FROM (SELECT *, {role} AS __viewer FROM {source}{rows})")
+
+
 def tier_predicate(role: Column, own_dept: Column, dept: Column, own_id: Column, row_id: Column) -> Column:
     """Three tiers as one predicate over already resolved identities."""
     return (F.when(role == "admin", F.lit(True)).when(role == "faculty", dept == own_dept)

@@ -73,6 +73,22 @@ def g08_filter_and_mask(c: Campus):
     return gov.secure(c.student, "sandbox", "student", POLICIES, USER, c.access, staff)
 
 
+@query("G04 G05 G08", f"SELECT {MASKED} FROM student WHERE dept_id IN (SELECT dept_id FROM allowed WHERE principal = '{USER}')", "student allowed")
+def g04_policy_view(c: Campus):
+    """A stored view that asks who reads it: whoever runs this query has joined a faculty group with the mappings of ``USER``."""
+    from lakeloom.session import scratch_path
+
+    me = c.spark.range(1).select(F.expr("current_user()").alias("principal"))
+    members = me.select("principal", F.lit(gov.FACULTY_GROUP).alias("group_name")).union(me.select("principal", F.lit(USER).alias("group_name")))
+    stored = {}
+    for name, df in {"student": c.student, "access": c.access, "members": members}.items():
+        path = scratch_path(c.spark, f"view-{name}")
+        df.write.parquet(path)
+        stored[name] = f"parquet.`{path}`"
+    gov.create_policy_view(c.spark, "lakeloom_student", stored["student"], "sandbox", "student", POLICIES, stored["access"], stored["members"])
+    return c.spark.table("lakeloom_student")
+
+
 @query("G09", """SELECT faculty_id, ssn AS true_value, ssn AS as_admin, '***-**-' || right(ssn, 4) AS as_faculty, NULL::VARCHAR AS as_student FROM faculty""", "faculty")
 def g09_role_harness(c: Campus):
     return gov.simulate_roles(c.faculty, "faculty_id", "ssn", "partial", ["admin", "faculty", "student"])
@@ -249,9 +265,10 @@ def d02_sql_filter_function(c: Campus):
     people = {"mapped": USER} | ({"admin": admin} if admin is not None else {})
     parts = []
     for label, who in people.items():  # the principal stands in the function, so its subqueries are answered once, not per row
+        own = gov.sql_text(who)
         c.spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION lakeloom_may_see_{label}(dept BIGINT) RETURNS BOOLEAN "
-                    f"RETURN EXISTS (SELECT 1 FROM lakeloom_members m WHERE m.principal = '{who}' AND m.group_name = 'admins') "
+                    f"RETURN EXISTS (SELECT 1 FROM lakeloom_members m WHERE m.principal = {own} AND m.group_name = 'admins') "
                     "OR dept IN (SELECT a.dept_id FROM lakeloom_access a LEFT JOIN lakeloom_members g ON a.principal = g.group_name "
-                    f"WHERE a.principal = '{who}' OR g.principal = '{who}')")
+                    f"WHERE a.principal = {own} OR g.principal = {own})")
         parts.append(c.spark.sql(f"SELECT '{label}' AS acting_as, student_id, dept_id FROM {{s}} WHERE lakeloom_may_see_{label}(dept_id)", s=c.student))
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])

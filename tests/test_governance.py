@@ -66,6 +66,42 @@ def test_secured_view_follows_memberships(world, spark):
     assert {r.ssn for r in spark.table("for_ana").collect()} == {None}
 
 
+def test_one_stored_view_for_everyone(world, spark, tmp_path):
+    """The same view, read by one session user in changing groups."""
+    students, access, _ = world
+    me = spark.sql("SELECT current_user()").first()[0]
+    policies = gov.Policies({("s", "student", "ssn"): "partial", ("s", "student", "dob"): "year"}, {("s", "student"): "dept_id"})
+    own = students.withColumn("email", F.when(F.col("student_id") == 7, me).otherwise(F.col("email"))).withColumn("role", F.lit("admin"))
+    own = own.union(own.filter("student_id = 1").selectExpr("99 AS student_id", "cast(null AS bigint)", "ssn", "dob", "email", "role"))
+    paths = {name: f"parquet.`{tmp_path}/{name}`" for name in ("students", "access", "members")}
+
+    def let(name, df):
+        df.write.mode("overwrite").parquet(str(tmp_path / name))
+
+    def join(*groups, principal=me):
+        let("members", spark.createDataFrame([(principal, g) for g in groups], "principal string, group_name string"))
+        spark.catalog.refreshByPath(str(tmp_path / "members"))
+        return {r.student_id: (r.ssn, r.dob, r.role) for r in spark.table("all_see").collect()}
+
+    let("students", own)
+    let("access", access)
+    let("members", spark.createDataFrame([], "principal string, group_name string"))
+    gov.create_policy_view(spark, "all_see", paths["students"], "s", "student", policies, paths["access"], paths["members"], self_col="email")
+    text = spark.sql("SHOW CREATE TABLE all_see").first()[0]
+    assert f"'{me}'" not in text and "current_user()" in text
+    assert spark.table("all_see").columns == own.columns and spark.table("all_see").isEmpty()
+    assert len(join("admins")) == 21 and join("admins")[5] == ("900-00-0005", "unknown", "admin")
+    assert join("faculty") == {}
+    assert set(join("faculty", "team")) == {2, 6, 10, 14, 18}
+    assert join("faculty", "team")[2] == ("***-**-0002", "1999-XX-XX", "admin")
+    assert join("students") == {7: (None, None, "admin")}
+    assert set(join("students", "team")) == {2, 6, 7, 10, 14, 18}
+    assert join("admins", principal="someone else") == {}
+    let("access", access.union(spark.createDataFrame([(me, 3, "later")], access.schema)))
+    spark.catalog.refreshByPath(str(tmp_path / "access"))
+    assert set(join("guests")) == {3, 7, 11, 15, 19} and join("guests")[3] == (None, None, "admin")
+    spark.sql("DROP VIEW all_see")
+
 
 def test_leaks_and_gaps(spark, world):
     students, _, _ = world
