@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
@@ -49,48 +52,65 @@ def unsorted_pairs(df: DataFrame, position: str, value: str) -> DataFrame:
     return df.join(nxt, position).filter(F.col("_next") > F.col(value))
 
 
-def profile(df: DataFrame, columns: list[str], bounds: dict[str, tuple[float, float]] | None = None) -> DataFrame:
+def profile(
+    df: DataFrame, columns: list[str], bounds: dict[str, tuple[float, float]] | None = None, exact_distinct: bool = True,
+) -> DataFrame:
     """Long profile: count, nulls, distinct, mean, deviation, min, max, outliers per column (Q08).
 
-    All columns come from one scan. Distinct counts are exact: values are
-    shuffled as (column, value) pairs already reduced on the map side.
+    One wide aggregate over the table, combined on the map side; no cell becomes
+    a row. Exact distinct counts take one more pass for each column, which reads
+    and shuffles that column's values alone; without ``exact_distinct`` they
+    come from a sketch of the same aggregate (2 percent standard error). An
+    empty table gives a row of zero counts for each column.
     """
     types = {f.name: f.dataType for f in df.schema.fields}
-    numeric = {c: isinstance(types[c], NumericType) for c in columns}
     lo_hi = bounds or {}
 
-    def item(c: str) -> Column:
-        num = F.col(c).cast("double") if numeric[c] else F.lit(None).cast("double")
+    def measures(c: str) -> list[Column]:
+        x = F.col(c).cast("double") if isinstance(types[c], NumericType) else F.lit(None).cast("double")
         low, high = lo_hi.get(c, (None, None))
         out = F.lit(False) if low is None else ~F.col(c).between(low, high)
-        return F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("t"),
-                        num.alias("x"), F.coalesce(out, F.lit(False)).alias("outlier"))
-
-    long = df.select(F.explode(F.array(*[item(c) for c in columns])).alias("r")).select("r.*")
-    # One row per (column, value): everything else is computed from the counts.
-    values = durable(long.groupBy("column_name", "t", "x", "outlier").agg(F.count("*").alias("n")), "values")
-    n, x = F.col("n"), F.col("x")
-    sums = values.groupBy("column_name").agg(
-        F.sum("n").alias("row_count"),
-        F.sum(F.when(F.col("t").isNull(), n).otherwise(0)).alias("null_count"),
-        F.count("t").alias("distinct_count"),
-        F.sum(F.when(x.isNotNull(), n)).alias("_nx"), F.sum(x * n).alias("_sx"),
-        F.min("x").alias("min_value"), F.max("x").alias("max_value"),
-        F.sum(F.when(F.col("outlier"), n).otherwise(0)).alias("outliers"))
-    mean = F.col("_sx") / F.col("_nx")
-    # One row per column is joined back, so that squares are of distances from the mean.
-    away = F.col("x") - F.col("_mean")
-    spread = (values.filter("x IS NOT NULL").join(F.broadcast(sums.select("column_name", mean.alias("_mean"))), "column_name")
-              .groupBy("column_name").agg(F.sum(away * away * n).alias("_square")))
-    var = F.col("_square") / F.nullif(F.col("_nx") - 1, F.lit(0))
-    return sums.join(spread, "column_name", "left").select(
-        "column_name", "row_count",
-        F.round(100.0 * F.col("null_count") / F.col("row_count"), 4).alias("null_pct"),
-        "distinct_count", F.round(mean, 4).alias("mean"),
-        F.round(F.when(var > 0, F.sqrt(var)).when(var <= 0, 0.0), 3).alias("stddev"),
+        count = F.lit(None).cast("long") if exact_distinct else F.approx_count_distinct(c, 0.02)
+        return [F.count("*").alias("row_count"), F.count(c).alias("present"), count.alias("distinct_count"), F.avg(x).alias("mean"),
+                F.stddev_samp(x).alias("stddev"), F.min(x).alias("min_value"), F.max(x).alias("max_value"),
+                F.count(F.when(out, 1)).alias("outliers")]
+
+    wide = df.agg(*[F.struct(F.lit(c).alias("column_name"), *measures(c)).alias(f"_{i}") for i, c in enumerate(columns)])
+    rows = wide.select(F.inline(F.array(*[f"_{i}" for i in range(len(columns))])))
+    distinct = F.col("distinct_count")
+    if exact_distinct:
+        each = [df.select(F.col(c)).distinct().agg(F.count(c).alias("_distinct")).select(F.lit(c).alias("column_name"), "_distinct") for c in columns]
+        rows, distinct = rows.join(reduce(DataFrame.unionAll, each), "column_name"), F.col("_distinct")
+    missing = F.col("row_count") - F.col("present")
+    return rows.select(
+        "column_name", "row_count", F.round(100.0 * missing / F.nullif(F.col("row_count"), F.lit(0)), 4).alias("null_pct"),
+        distinct.alias("distinct_count"), F.round("mean", 4).alias("mean"), F.round("stddev", 3).alias("stddev"),
         "min_value", "max_value", "outliers")
 
 
+def frequent_values(df: DataFrame, columns: list[str], share: float = 0.01) -> DataFrame:
+    """Every value that fills at least ``share`` of a column's rows, with its exact count.
+
+    One aggregate sketches the hashes of all columns. A sketch of 7 / share
+    hashes is off by at most half the share, so its best 2 / share candidates
+    hold all wanted values; a second pass counts the rows of those candidates
+    alone, by value, and drops what falls short. Only candidates are broadcast.
+    NULL is no value, but its rows count for the share. Values come as text.
+    """
+    best, kept = math.ceil(2 / share) + 1, max(math.ceil(7 / share), 16)
+    hashed = lambda c: F.when(F.col(c).isNotNull(), F.xxhash64(F.col(c)))
+    named = df.select(*[hashed(c).alias(f"_{i}") for i, c in enumerate(columns)])
+    found = durable(named.agg(F.count("*").alias("_rows"), *[F.expr(f"approx_top_k(_{i}, {best}, {kept})").alias(f"_{i}") for i in range(len(columns))]), "frequent")
+    total = found.select("_rows").scalar()
+    parts = []
+    for i, c in enumerate(columns):
+        likely = found.select(F.explode(F.col(f"_{i}.item")).alias("_h"))
+        rows = df.select(F.col(c), hashed(c).alias("_h")).join(F.broadcast(likely), "_h", "left_semi")
+        parts.append(rows.groupBy(c).agg(F.count("*").alias("n")).filter(F.col("n") >= F.lit(share) * total)
+                     .select(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"), "n", F.round(F.col("n") / total, 6).alias("share")))
+    return reduce(DataFrame.unionAll, parts)
+
+
 def categorical_drift(base: DataFrame, other: DataFrame, col: str, limit: float) -> DataFrame:
     """Total-variation distance of two frequency tables (Q09)."""
     def freq(df: DataFrame, name: str) -> DataFrame:

@@ -864,6 +864,16 @@ def q08_column_profile(c: Campus):
     return quality.profile(c.history, ["gpa_points", "course_id", "grade"], {"gpa_points": (0.5, 4.0)})
 
 
+FREQUENT = ["grade", "dept_id", "course_id", "student_id"]
+
+
+@query("Q08 A12", " UNION ALL ".join(
+    f"""SELECT '{col}' AS column_name, {col}::VARCHAR AS value, count(*) AS n, round(count(*)::DOUBLE / (SELECT count(*) FROM history), 6) AS share
+    FROM history WHERE {col} IS NOT NULL GROUP BY 2 HAVING count(*) >= 0.01::DOUBLE * (SELECT count(*) FROM history)""" for col in FREQUENT), "history")
+def q08_frequent_values(c: Campus):
+    return quality.frequent_values(c.history, FREQUENT)
+
+
 @query("Q09", """WITH f AS (SELECT grade, count(*) FILTER (term_id <= 9) AS a, count(*) FILTER (term_id > 9) AS b FROM history GROUP BY 1)
     SELECT 'grade' AS column_name, 'total_variation' AS metric, round(sum(abs(a / (SELECT sum(a) FROM f)::DOUBLE - b / (SELECT sum(b) FROM f)::DOUBLE)) / 2, 6) AS distance,
     sum(abs(a / (SELECT sum(a) FROM f)::DOUBLE - b / (SELECT sum(b) FROM f)::DOUBLE)) / 2 > 0.05 AS drifted FROM f""", "history")

@@ -122,3 +122,31 @@ def test_deviation_of_large_values(spark):
     rows = spark.range(1000).select((F.lit(3_000_000_000) + F.col("id")).alias("big"))
     got = quality.profile(rows, ["big"]).first()
     assert abs(got.stddev - rows.agg(F.stddev_samp("big")).first()[0]) < 1e-3
+
+
+def test_profile_is_one_wide_aggregate(spark):
+    rows = spark.range(3000).select((F.col("id") % 7).alias("a"), F.when(F.col("id") % 3 > 0, F.col("id") / 2).alias("b"),
+                                    F.concat(F.lit("v"), F.col("id") % 1000).alias("t"), F.lit(None).cast("string").alias("none"))
+    got = {r.column_name: r for r in quality.profile(rows, rows.columns, {"a": (1, 5)}).collect()}
+    assert [(got[c].row_count, got[c].distinct_count) for c in rows.columns] == [(3000, 7), (3000, 2000), (3000, 1000), (3000, 0)]
+    assert got["b"].null_pct == 33.3333 and got["none"].null_pct == 100.0 and got["a"].outliers == rows.filter("a IN (0, 6)").count()
+    assert got["t"].mean is None and got["b"].max_value == 1499.5 and got["a"].stddev == round(rows.agg(F.stddev_samp("a")).first()[0], 3)
+    quick = quality.profile(rows, rows.columns, exact_distinct=False)
+    plan = quick._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate") == 1 and "Expand" not in plan and plan.index("Aggregate") > plan.index("Generate")
+    assert all(abs(r.distinct_count - got[r.column_name].distinct_count) <= 0.1 * got[r.column_name].distinct_count for r in quick.collect())
+    empty = quality.profile(rows.limit(0), ["a", "t"]).collect()
+    assert [(r.row_count, r.null_pct, r.distinct_count, r.mean, r.outliers) for r in empty] == [(0, None, 0, None, 0)] * 2
+
+
+def test_frequent_values_are_whole_and_exact(spark):
+    """A third of all rows on one value, values on the line, a long tail, NULLs and very long values."""
+    rows = spark.range(60_000).select(
+        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") < 900, "edge").when(F.col("id") < 1_799, "short").when(F.col("id") % 5 == 1, None)
+        .otherwise(F.concat(F.lit("x"), F.col("id"))).alias("t"),
+        F.when(F.col("id") % 2 == 0, F.repeat(F.lit("long"), 5000)).otherwise(F.col("id").cast("string")).alias("u"))
+    got = quality.frequent_values(rows, ["t", "u"], 0.01)
+    want = {(c, r[0], r.n) for c in ("t", "u") for r in rows.filter(f"{c} IS NOT NULL").groupBy(c).agg(F.count("*").alias("n")).filter("n >= 600").collect()}
+    assert {(r.column_name, r.value, r.n) for r in got.collect()} == want
+    assert {w[1][:5] for w in want} == {"hot", "edge", "longl"}
+    assert quality.frequent_values(rows.limit(0), ["t"]).isEmpty()
