@@ -20,6 +20,7 @@ from lakeloom.sinks import files as out
 from lakeloom.sinks import tables
 from lakeloom.sources import files, generate, paged, workbook
 from lakeloom.streaming import cdc as stream_cdc
+from lakeloom.streaming.evolving import stream_evolving
 from lakeloom.streaming.files import stream_checkpoint, stream_files
 
 # -- S: sources -------------------------------------------------------------------
@@ -145,6 +146,24 @@ def s08_stream_pipe(c: Campus):
     return _streamed(c, "csv", path, "course_id long, title string", sep="|")
 
 
+@query("S08 R01 R02", """SELECT enrollment_id, CASE WHEN enrollment_id % 7 > 0 THEN gpa_points END AS gpa_points, CASE WHEN term_id > 9 THEN grade END AS grade,
+    CASE WHEN enrollment_id % 7 = 0 THEN 'pending' END AS unfit FROM enrollment""", "enrollment")
+def r02_evolving_stream(c: Campus):
+    """Two drops: the second brings a column, both hold values that do not fit; every one is kept."""
+    path, work = scratch_path(c.spark, "in"), scratch_path(c.spark, "stream")
+    points = F.when(F.col("enrollment_id") % 7 == 0, F.lit('"pending"')).otherwise(F.coalesce(F.col("gpa_points").cast("string"), F.lit("null")))
+    old = F.format_string('{"enrollment_id":%d,"gpa_points":%s}', "enrollment_id", points)
+    new = F.format_string('{"enrollment_id":%d,"gpa_points":%s,"grade":%s}', "enrollment_id", points,
+                          F.coalesce(F.concat(F.lit('"'), "grade", F.lit('"')), F.lit("null")))
+    late = F.coalesce(F.col("term_id") > 9, F.lit(False))
+    for part, lines in (("first", c.enrollment.filter(~late).select(old)), ("second", c.enrollment.filter(late).select(new))):
+        lines.write.text(f"{path}/{part}")
+        rows = stream_evolving(c.spark, path, f"{work}/check", f"{work}/bronze", "enrollment_id long, gpa_points double")
+    if "grade" not in rows.columns:  # no row of the second drop has one
+        rows = rows.withColumn("grade", F.lit(None).cast("string"))
+    return rows.select("enrollment_id", "gpa_points", "grade", F.col("rescued")["gpa_points"].alias("unfit"))
+
+
 @query("S09 K06", """SELECT aid_id, amount, CASE o_orderstatus WHEN 'F' THEN DATE '2024-01-01' WHEN 'O' THEN DATE '2024-01-02' ELSE DATE '2024-01-03' END AS file_date
     FROM aid JOIN orders ON o_orderkey = aid_id""", "aid")
 def s09_dated_files(c: Campus):
