@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeloom.operators.ordered import exact_percentiles
+from lakeloom.operators.sizing import attach
+from lakeloom.session import durable
 
 
 def counts(df: DataFrame, *keys: str, out: str = "n") -> DataFrame:
@@ -62,9 +64,16 @@ def collapse_timeline(
 
 
 def share(df: DataFrame, value: str, out: str, within: list[str] | None = None, digits: int = 1) -> DataFrame:
-    """Percent of the total, or of the group total; ``df`` is already aggregated."""
-    total = F.sum(value).over(Window.partitionBy(*(within or [])))
-    return df.withColumn(out, F.round(F.col(value) * 100.0 / total, digits))
+    """Percent of the total, or of the group total; ``df`` is already aggregated.
+
+    Totals are combined on the map side and joined back, so no task holds a group.
+    """
+    df = durable(df, "share")
+    percent = lambda total: F.round(F.col(value) * 100.0 / total, digits)
+    if not within:
+        return df.withColumn(out, percent(df.agg(F.sum(value)).scalar()))
+    whole = attach(df, df.groupBy(*within).agg(F.sum(value).alias("_total")), within)
+    return whole.withColumn(out, percent(F.col("_total"))).drop("_total")
 
 
 def having(df: DataFrame, keys: list[str], more_than: int = 1, out: str = "n") -> DataFrame:

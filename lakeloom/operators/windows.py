@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakeloom.operators import ordered
 from lakeloom.operators.sizing import attach
+from lakeloom.session import durable
 
 
 def latest_per_key(df: DataFrame, keys: list[str], by: list[str]) -> DataFrame:
@@ -28,11 +30,18 @@ def flag_latest(df: DataFrame, keys: list[str], by: list[str], out: str = "is_la
 
 def rank_aggregate(
     df: DataFrame, groups: list[str], measures: dict[str, Column], within: list[str],
-    by: str, out: str, method: str = "rank", ties: list[str] | None = None,
+    by: str, out: str, method: str = "rank", ties: list[str] | None = None, many: bool = False,
 ) -> DataFrame:
-    """Aggregate, then rank the groups; the window sees one row per group only."""
+    """Aggregate, then rank the groups; the window sees one row per group only.
+
+    Without ``within``, or where ``many`` groups may share one value of it, the
+    ordered scan ranks them, which cuts what is too large for a task.
+    """
     agg = df.groupBy(*groups).agg(*[c.alias(n) for n, c in measures.items()])
     order = [F.col(by).desc(), *[F.col(t).asc() for t in ties or []]]
+    if many or not within:
+        agg = durable(agg, "groups")
+        return ordered.rank_in_group(agg, within, by, out) if method == "rank" else ordered.sequence_number(agg, within, order, out)
     w = Window.partitionBy(*within).orderBy(*order)
     return agg.withColumn(out, (F.rank() if method == "rank" else F.row_number()).over(w))
 
