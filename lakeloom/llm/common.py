@@ -59,6 +59,31 @@ class _Powers:
 POWERS = _Powers()
 
 
+class _Residues:
+    """Powers of a base modulo a prime below 2**32 and of its inverse, grown as texts ask for them."""
+
+    def __init__(self, prime: int, base: int) -> None:
+        self.prime, self.base = prime, base
+        self.up = self.down = np.ones(1, np.uint32)
+
+    def get(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.up) < n:
+            size = max(n, 1 << 21)
+            for name, b in (("up", self.base), ("down", pow(self.base, -1, self.prime))):
+                powers = np.ones(1, np.uint32)
+                while len(powers) < size:
+                    step = np.uint64(pow(b, len(powers), self.prime))
+                    powers = np.append(powers, (powers[:size - len(powers)] * step % np.uint64(self.prime)).astype(np.uint32))
+                setattr(self, name, powers)
+        return self.up[:n], self.down[:n]
+
+
+#: The largest primes below 2**32, with primitive roots of them.
+RESIDUES = [(p, _Residues(p, b)) for p, b in ((4294967291, 2246822519), (4294967279, 2654435761))]
+#: Bytes of a span whose sum stays below 2**64.
+EXACT = 1 << 24
+
+
 def chunks(column: pa.Array | pa.ChunkedArray, limit: int = 2 << 20) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Parts of a text column of about ``limit`` bytes: first row, row offsets in the part, bytes.
 
@@ -101,11 +126,25 @@ def spans(data: np.ndarray, offsets: np.ndarray, gap: np.ndarray = SPACE) -> tup
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each span of bytes, equal for equal bytes wherever they stand."""
-    up, down = POWERS.get(len(data) + 1)
+    """A 64-bit hash of each span of bytes, equal for equal bytes wherever they stand.
+
+    A polynomial in the bytes modulo two primes. Prefix sums may wrap modulo
+    2**64: a byte adds less than 2**40, so that the difference over ``EXACT``
+    bytes is the sum itself; longer spans are added up in parts.
+    """
+    code = data.astype(np.uint64) + np.uint64(1)
     total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(BYTE_CODES[data] * up[:len(data)], out=total[1:])
-    return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64) * GOLD)
+    out = np.zeros(len(starts), np.uint64)
+    for prime, powers in RESIDUES:
+        p = np.uint64(prime)
+        up, down = powers.get(len(data) + 1)
+        np.cumsum(code * up[:len(data)], out=total[1:])
+        own = (total[ends] - total[starts]) % p
+        for k in np.flatnonzero(ends - starts > EXACT).tolist():
+            cut = np.append(np.arange(starts[k], ends[k], EXACT), ends[k])
+            own[k] = ((total[cut[1:]] - total[cut[:-1]]) % p).sum() % p
+        out = (out << np.uint64(32)) | (own * down[starts] % p)
+    return mix(out)
 
 
 def row_counts(starts: np.ndarray, offsets: np.ndarray) -> np.ndarray:

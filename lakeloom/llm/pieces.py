@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import GOLD, chunks, mix, ragged, span_hashes, table, text_of
+from lakeloom.llm.common import BYTE_CODES, GOLD, POWERS, chunks, mix, ragged, span_hashes, table, text_of
 
 MODEL = os.path.join(os.environ.get("TOKENIZER_DIR", "/opt/tokenizers"), "piece_bpe_32k.model")
 #: Bytes of text whose lattices are held at once; a lattice takes some hundred bytes for each.
@@ -60,7 +60,7 @@ class Pieces:
         per = size[ids]
         start = np.repeat(self.starts[ids], per)
         length = np.arange(per.sum()) - np.repeat(np.cumsum(per) - per, per) + 1
-        hashes = span_hashes(self.data, start, start + length)
+        hashes = _Spans(self.data)(start, length)
         owner = np.where(length == np.repeat(per, per), np.repeat(ids, per), -1)
         for h, i in zip(hashes.tolist(), owner.tolist(), strict=True):
             if i >= 0 or h not in found:
@@ -199,17 +199,15 @@ class Lattice:
 
 
 class _Spans:
-    """Hashes of many spans of one buffer."""
+    """Hashes of many spans of one buffer, none longer than a piece: below 1,024 bytes no two spans clash by design."""
 
     def __init__(self, data: np.ndarray) -> None:
-        from lakeloom.llm.common import BYTE_CODES, POWERS
-
         up, self.down = POWERS.get(len(data) + 1)
         self.total = np.zeros(len(data) + 1, np.uint64)
         np.cumsum(BYTE_CODES[data] * up[:len(data)], out=self.total[1:])
 
-    def __call__(self, start: np.ndarray, length: int) -> np.ndarray:
-        return mix((self.total[start + length] - self.total[start]) * self.down[start] + np.uint64(length * int(GOLD) % 2**64))
+    def __call__(self, start: np.ndarray, length: np.ndarray | int) -> np.ndarray:
+        return mix((self.total[start + length] - self.total[start]) * self.down[start] + np.atleast_1d(length).astype(np.uint64) * GOLD)
 
 
 def gather(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
