@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from lakeloom.llm import attention, gam, lm, toxicity
@@ -167,3 +168,47 @@ def test_gradients_and_causality():
     changed = x.copy()
     changed[:, 6:] = (changed[:, 6:] + 1) % 20
     assert np.allclose(net.forward(x)["z"][:, :6], net.forward(changed)["z"][:, :6])
+
+
+def test_rounds_average_the_copies(spark):
+    rng = random.Random(6)
+    texts = [" ".join(rng.choice(["north wind", "calm sea", "old grey stone"]) for _ in range(80)) for _ in range(24)]
+    rows = [(k, k, t, True) for k, t in enumerate(texts)]
+    table_of = lm.read_ranks(lm.VOCABULARY)
+    ranks = spark.sparkContext.broadcast(table_of)
+    _, offsets, data = next(chunks(pa.array(texts)))
+    sequences = lm._sequences(lm.UnitIds(table_of), data, offsets, 50256)
+    uses, words = np.bincount(sequences[0], minlength=50257), np.bincount(sequences[1][sequences[1] >= 0], minlength=50257)
+    vocabulary = attention.Vocabulary.of(uses, words, words > 0)
+    start = lambda: attention.Attention(vocabulary.n_inputs, len(vocabulary.mass))
+    docs = lambda rows, parts: spark.createDataFrame(spark.sparkContext.parallelize(rows, parts), "id long, key long, text string, train boolean")
+    gained = lambda net: net.score(vocabulary, *sequences).sum()
+    once = lm.refine(docs(rows, 1), ranks, vocabulary, start(), 50256, rounds=1, share=1)
+    twice = lm.refine(docs(rows + rows, 2), ranks, vocabulary, start(), 50256, rounds=1, share=1)
+    assert gained(once) > gained(start()) + 1
+    assert all(np.allclose(once.p[k], twice.p[k], atol=1e-6) for k in once.p)  # equal parts: the average is the copy
+    further = lm.refine(docs(rows, 3), ranks, vocabulary, start(), 50256, rounds=3, share=1)
+    again = lm.refine(docs(rows, 3), ranks, vocabulary, start(), 50256, rounds=3, share=1)
+    assert all((further.p[k] == again.p[k]).all() for k in further.p)
+    idle = lm.refine(docs([(*r[:3], False) for r in rows], 2), ranks, vocabulary, start(), 50256)
+    assert all((idle.p[k] == v).all() for k, v in start().p.items())
+
+
+def test_scoring_equals_the_forward_pass():
+    rng = np.random.default_rng(8)
+    uses = rng.integers(1, 50, 300)
+    vocabulary = attention.Vocabulary.of(uses, uses, np.ones(300), own_classes=20, shared=4, own_inputs=100)
+    ids = rng.integers(0, 300, 130)
+    goals = np.where(rng.random(130) < 0.4, ids, -1)
+    counts = np.array([29, 1, 100])
+    for scale in (1, 30):  # with 30 sums of exponentials need their maximum taken off
+        net = attention.Attention(vocabulary.n_inputs, len(vocabulary.mass))
+        for k in ("embed", "q", "out"):
+            net.p[k] = net.p[k] * np.float32(scale)
+        windows = attention.Windows(vocabulary, net.start, ids, goals, counts)
+        before, wanted, classes = windows.cut(slice(None))
+        logits = (net.forward(before)["z"].reshape(-1, 16) @ net.p["out"] + net.p["bias"]).astype(np.float64).reshape(*before.shape, -1)
+        high = logits.max(2, keepdims=True)
+        logp = np.take_along_axis(logits - high - np.log(np.exp(logits - high).sum(2, keepdims=True)), classes[:, :, None], 2)[:, :, 0]
+        want = np.bincount(windows.row, np.where(wanted, logp, 0).sum(1), 3)
+        assert wanted.sum() == (goals >= 0).sum() and np.allclose(net.score(vocabulary, ids, goals, counts), want, rtol=1e-4, atol=1e-4)
