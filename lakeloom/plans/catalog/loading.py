@@ -580,10 +580,12 @@ def m05_majority_baseline(c: Campus):
 
 
 def scored(c: Campus):
+    """The scored test rows, written once: no later step, and no caller that reads a result twice, runs the forest again."""
     split = durable(enrollment_split(c), "split")
     pipeline = learning.forest(NUMERIC, CATEGORICAL, "label")
     model = learning.train_and_save(split.filter("is_train"), scratch_path(c.spark, "model"), pipeline, NUMERIC)
-    return learning.score(model, split.filter("NOT is_train"), NUMERIC)
+    test = learning.score(model, split.filter("NOT is_train"), NUMERIC)
+    return durable(test.select("label", "label_ix", "prediction", "predicted"), "scored")
 
 
 TEST_ROWS = """test AS (SELECT grade AS label FROM (SELECT enrollment_id, grade, row_number() OVER (PARTITION BY grade ORDER BY md5(enrollment_id::VARCHAR), enrollment_id) AS rn,
@@ -597,7 +599,7 @@ def m04_forest_scores(c: Campus):
 
     What depends on the trees, which SQL cannot state, is in ``m04_forest_gates``.
     """
-    test = durable(scored(c).select("label", "label_ix", "prediction"), "scored")
+    test = scored(c)
     accuracy = F.lit(learning.metrics(test)["accuracy"])
     return learning.majority_rate(test, "label").select(
         "majority_rate", "total", (accuracy < 0.99).alias("no_leak"))

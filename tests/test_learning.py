@@ -5,6 +5,8 @@ from collections import Counter
 import pytest
 from conftest import SF
 
+from lakeloom.operators import learning
+from lakeloom.plans.campus import Campus
 from lakeloom.plans.catalog import loading
 from lakeloom.plans.registry import QUERIES
 
@@ -26,3 +28,11 @@ def test_scores_and_gates_are_those_of_the_scored_rows(spark, monkeypatch, rows,
         "accuracy": pytest.approx(sum(pairs[k, k] for k in actual) / len(rows)), "f1": pytest.approx(f1),
         "majority_rate": pytest.approx(max(actual.values()) / len(rows), abs=1e-6), "total": len(rows), "no_leak": no_leak, "not_worse": not_worse}
     assert {(r.actual, r.predicted): r.n for r in QUERIES["m06_confusion_pairs"].run(spark, SF).collect()} == pairs
+
+
+def test_scored_rows_are_written_once(spark, monkeypatch):
+    forest = learning.forest
+    monkeypatch.setattr(learning, "forest", lambda *args: forest(*args, trees=2, depth=2))
+    rows = loading.scored(Campus(spark, SF))
+    assert all("/scored-" in path for path in rows.inputFiles()) and "UDF" not in rows._jdf.queryExecution().toString()
+    assert rows.count() == loading.enrollment_split(Campus(spark, SF)).filter("NOT is_train").count()
