@@ -45,16 +45,16 @@ class Vocabulary:
         return cls(inputs, classes, np.log(mass + 0.5 * (kinds + 1))[classes], mass, len(frequent) + n + 1)
 
 
-def windows_of(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def windows_of(counts: np.ndarray, stride: int = STRIDE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Windows over sequences of ``counts`` ids: sequence, first place, first place that the window scores.
 
     Windows overlap, so that each id but the first few of a sequence has at
-    least WINDOW - STRIDE ids before it, and each is scored exactly once.
+    least WINDOW - stride ids before it, and each is scored exactly once.
     """
-    many = np.where(counts > 0, 1 + np.maximum(0, -(-(counts - WINDOW) // STRIDE)), 0)
+    many = np.where(counts > 0, 1 + np.maximum(0, -(-(counts - WINDOW) // stride)), 0)
     row = np.repeat(np.arange(len(counts)), many)
     nth = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-    return row, nth * STRIDE, np.where(nth > 0, WINDOW - STRIDE, 0)
+    return row, nth * stride, np.where(nth > 0, WINDOW - stride, 0)
 
 
 class Windows:
@@ -63,9 +63,9 @@ class Windows:
     ``goals`` holds the last id of a word where the word starts, else -1.
     """
 
-    def __init__(self, vocabulary: Vocabulary, start: int, ids: np.ndarray, goals: np.ndarray, counts: np.ndarray) -> None:
+    def __init__(self, vocabulary: Vocabulary, start: int, ids: np.ndarray, goals: np.ndarray, counts: np.ndarray, stride: int = STRIDE) -> None:
         self.counts, self.begin = counts, np.cumsum(counts) - counts
-        self.row, self.first, self.scored = windows_of(counts)
+        self.row, self.first, self.scored = windows_of(counts, stride)
         self.starts, self.classes = goals >= 0, vocabulary.classes[goals]
         self.inputs = np.append(start, vocabulary.inputs[ids[:-1]])
         self.inputs[self.begin] = start
@@ -116,22 +116,31 @@ class Attention:
         }
         self.start = n_inputs - 1
 
-    def forward(self, inputs: np.ndarray) -> dict[str, np.ndarray]:
+    def attend(self, inputs: np.ndarray) -> dict[str, np.ndarray]:
         p = self.p
         b, w = inputs.shape
         x = p["embed"][inputs] + p["place"][:w]
         q, k, v = (x.reshape(b * w, -1) @ p[n] for n in "qkv")
         q, k, v = (t.reshape(b, w, -1) for t in (q, k, v))
-        a = np.matmul(q, k.transpose(0, 2, 1)) * np.float32(q.shape[-1] ** -0.5)
+        a = np.matmul(q, k.transpose(0, 2, 1))
+        a *= np.float32(q.shape[-1] ** -0.5)
         a += np.triu(np.full((w, w), -1e9, np.float32), 1)
         a -= a.max(2, keepdims=True)
         np.exp(a, out=a)
         a /= a.sum(2, keepdims=True)
-        o = np.matmul(a, v)
-        y = x + (o.reshape(b * w, -1) @ p["o"]).reshape(x.shape)
-        r = np.maximum(y.reshape(b * w, -1) @ p["up"] + p["bend"], 0)
-        z = y + (r @ p["down"]).reshape(x.shape)
-        return {"x": x, "q": q, "k": k, "v": v, "a": a, "o": o, "y": y, "r": r, "z": z}
+        return {"x": x, "q": q, "k": k, "v": v, "a": a, "o": np.matmul(a, v)}
+
+    def follow(self, x: np.ndarray, o: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """What follows attention, on rows of inputs and of what attention gave: y, r, z."""
+        p = self.p
+        y = x + o @ p["o"]
+        r = np.maximum(y @ p["up"] + p["bend"], 0)
+        return y, r, y + r @ p["down"]
+
+    def forward(self, inputs: np.ndarray) -> dict[str, np.ndarray]:
+        f = self.attend(inputs)
+        flat = lambda t: t.reshape(inputs.size, -1)
+        return f | {n: t.reshape(*inputs.shape, -1) for n, t in zip("yrz", self.follow(flat(f["x"]), flat(f["o"])), strict=True)}
 
     def log_classes(self, z: np.ndarray, classes: np.ndarray, together: int = 512) -> np.ndarray:
         """Log probability of each row's class, over as many rows at once as a processor's cache holds."""
@@ -149,13 +158,16 @@ class Attention:
         return out
 
     def gradients(self, inputs: np.ndarray, classes: np.ndarray, valid: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
-        p, f = self.p, self.forward(inputs)
+        p, f = self.p, self.attend(inputs)
         b, w = inputs.shape
         flat = lambda t: t.reshape(b * w, -1)
         own = np.flatnonzero(valid.ravel())
-        z = flat(f["z"])[own]
-        prob = z @ p["out"] + p["bias"]
-        prob -= prob.max(1, keepdims=True)
+        x, o = flat(f["x"])[own], flat(f["o"])[own]
+        y, r, z = self.follow(x, o)
+        prob = z @ p["out"]
+        prob += p["bias"]
+        if not _plain(prob):
+            prob -= prob.max(1, keepdims=True)
         np.exp(prob, out=prob)
         prob /= prob.sum(1, keepdims=True)
         at = np.arange(len(own)), classes.ravel()[own]
@@ -164,19 +176,19 @@ class Attention:
         d[at] -= 1
         d /= np.float32(max(1, len(own)))
         g = {"out": z.T @ d, "bias": d.sum(0)}
-        dz = np.zeros((b * w, z.shape[1]), np.float32)
-        dz[own] = d @ p["out"].T
-        g["down"] = f["r"].T @ dz
-        dr = (dz @ p["down"].T) * (f["r"] > 0)
-        g["up"], g["bend"] = flat(f["y"]).T @ dr, dr.sum(0)
-        dy = dz + dr @ p["up"].T
-        g["o"] = flat(f["o"]).T @ dy
+        dz = d @ p["out"].T
+        g["down"] = r.T @ dz
+        dr = (dz @ p["down"].T) * (r > 0)
+        g["up"], g["bend"] = y.T @ dr, dr.sum(0)
+        dy = np.zeros_like(flat(f["x"]))
+        dy[own] = dz + dr @ p["up"].T
+        g["o"] = o.T @ dy[own]
         do = (dy @ p["o"].T).reshape(b, w, -1)
         dv = np.matmul(f["a"].transpose(0, 2, 1), do)
         da = np.matmul(do, f["v"].transpose(0, 2, 1))
         ds = f["a"] * (da - (da * f["a"]).sum(2, keepdims=True)) * np.float32(f["q"].shape[-1] ** -0.5)
         dq, dk = np.matmul(ds, f["k"]), np.matmul(ds.transpose(0, 2, 1), f["q"])
-        dx = dy.copy()
+        dx = dy
         for n, t in (("q", dq), ("k", dk), ("v", dv)):
             g[n] = flat(f["x"]).T @ flat(t)
             dx += flat(t) @ p[n].T
@@ -188,17 +200,6 @@ class Attention:
         g["embed"][seen] = np.add.reduceat(dx.reshape(b * w, -1)[by], first)
         return float(loss), g
 
-    def train(self, inputs: np.ndarray, classes: np.ndarray, valid: np.ndarray, steps: int, batch: int = 256, rate: float = 0.01, seed: int = 3) -> list[float]:
-        """Adam over random batches; the rate falls to zero along a cosine."""
-        rng = np.random.Generator(np.random.PCG64(seed))
-        adam, losses = Adam(self.p), []
-        for step in range(steps if len(inputs) else 0):
-            own = rng.integers(0, len(inputs), min(batch, len(inputs)))
-            loss, g = self.gradients(inputs[own], classes[own], valid[own])
-            losses.append(loss)
-            adam.step(g, rate * 0.5 * (1 + np.cos(np.pi * step / steps)))
-        return losses
-
     def score(self, vocabulary: Vocabulary, ids: np.ndarray, goals: np.ndarray, counts: np.ndarray, together: int = 96) -> np.ndarray:
         """Natural log probability of the word classes of each of some sequences laid end to end.
 

@@ -11,17 +11,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.llm.attention import WINDOW, Adam, Attention, Vocabulary, Windows, windows_of
+from lakeloom.llm.attention import WINDOW, Adam, Attention, Vocabulary, Windows
 from lakeloom.llm.common import chunks, durable, grouped, row_counts, spans, table, text_of
 from lakeloom.llm.gam import fold
 from lakeloom.llm.packing import UnitIds, read_ranks
 from lakeloom.llm.pieces import gather
 
 VOCABULARY = os.path.join(os.environ.get("TOKENIZER_DIR", "/opt/tokenizers"), "byte_bpe_multi_50k.tiktoken")
-#: Texts and windows that the network starts from at most; documents to a bucket of words.
-SAMPLE_DOCS, SAMPLE_WINDOWS, BUCKET_DOCS = 1500, 12_000, 6000
-#: Rounds over the corpus after that, and of how many training texts one goes into each, at any size; windows and size of a step.
-ROUNDS, SHARE, BATCH, RATE = 1, 32, 128, 0.001
+#: Documents to a bucket of words.
+BUCKET_DOCS = 6000
+#: The network reads all training texts once, dealt by hash into SHARE parts and over ROUNDS rounds that grow; windows and size of a step.
+ROUNDS, SHARE, BATCH, RATE = 3, 64, 128, 0.01
 #: Numbers of the network that are averaged together, and what one is multiplied by to be added as a whole number.
 PIECE, SCALE = 512, 1 << 24
 #: Bytes of text that a task spells out at once.
@@ -170,66 +170,32 @@ def _sequences(units: UnitIds, data: np.ndarray, offsets: np.ndarray, end: int)
     return np.insert(ids, np.cumsum(count), end), np.insert(goals, np.cumsum(count), end), count + 1
 
 
-def fit_attention(docs: DataFrame, ranks, vocabulary: Vocabulary, end: int, sample_docs: int = SAMPLE_DOCS,
-                  sample_windows: int = SAMPLE_WINDOWS) -> Attention:
-    """Train on at most ``sample_windows`` windows of at most ``sample_docs`` training texts, both chosen by hash.
-
-    One task trains, on a sample of that size; if its executor is lost, it runs again elsewhere.
-    """
-    made: list[UnitIds] = []
-
-    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if not made:
-            made.append(UnitIds(ranks.value))
-        for batch in batches:
-            for _, offsets, data in chunks(batch.column(0), CHUNK):
-                ids, goals, count = _sequences(made[0], data, offsets, end)
-                row, first, _ = windows_of(count)
-                begin = (np.cumsum(count) - count)[row] + first
-                size = np.minimum(count[row] - first, WINDOW)
-                before = np.append(-1, ids[:-1])
-                before[np.cumsum(count) - count] = -1
-                cut = [slice(a, a + n) for a, n in zip(begin.tolist(), size.tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array([x[c] for c in cut], pa.list_(pa.int64())) for x in (before, goals)], ["before", "goals"])
-
-    n_classes = len(vocabulary.mass)
-
-    def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = [r for batch in batches for r in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)]
-        model = Attention(vocabulary.n_inputs, n_classes)
-        model.p["bias"][:] = np.log((vocabulary.mass + 0.5) / (vocabulary.mass + 0.5).sum())
-        inputs = np.full((len(rows), WINDOW), model.start)
-        goals = np.full(inputs.shape, -1)
-        for r, (before, goal) in enumerate(rows):
-            before = np.array(before)
-            inputs[r, :len(goal)] = np.where(before >= 0, vocabulary.inputs[before], model.start)
-            goals[r, :len(goal)] = goal
-        model.train(inputs, vocabulary.classes[goals], goals >= 0, int(np.clip(len(rows) / 20, 20, 500)))
-        yield pa.RecordBatch.from_arrays([pa.array(list(model.p)), pa.array([v.tobytes() for v in model.p.values()], pa.binary())], ["name", "value"])
-
-    chosen = F.broadcast(docs.filter("train").select("id", "key").orderBy(F.xxhash64("id", "key"), "id").limit(sample_docs).distinct())
-    trained = (docs.filter("train").join(chosen, ["id", "key"]).select("text").mapInArrow(windows, "before array<long>, goals array<long>").distinct()
-               .orderBy(F.xxhash64("before", "goals"), "before").limit(sample_windows).mapInArrow(train, "name string, value binary").toArrow())
-    model = Attention(vocabulary.n_inputs, n_classes)
-    for name, value in zip(trained["name"].to_pylist(), trained["value"].to_pylist(), strict=True):
-        model.p[name] = np.frombuffer(value, np.float32).reshape(model.p[name].shape)
+def start_attention(vocabulary: Vocabulary) -> Attention:
+    """A network that knows how frequent the classes are in all training texts, and nothing of contexts."""
+    model = Attention(vocabulary.n_inputs, len(vocabulary.mass))
+    model.p["bias"][:] = np.log((vocabulary.mass + 0.5) / (vocabulary.mass + 0.5).sum())
     return model
 
 
 def refine(docs: DataFrame, ranks, vocabulary: Vocabulary, model: Attention, end: int, rounds: int = ROUNDS, share: int = SHARE) -> Attention:
-    """Train on over a share of all training texts, so that what the network has seen grows with the corpus.
-
-    In each round every partition trains a copy on the windows of its part of
-    the round's share, and changes are averaged, each by its windows. They are
-    added as whole numbers, so the order of the parts does not matter. A task
-    holds one copy and the text it spells out at once; the driver, one sum.
+    """Train on all training texts, each in one round, so that what the network has seen grows with the corpus.
+
+    Texts are dealt by hash into ``share`` parts. The first round takes few of
+    them, as copies of an untrained network soon differ; each further one takes
+    more, with smaller steps, and the last one takes all that are left. In a
+    round every partition trains a copy on the windows of its part of the
+    texts, and changes are averaged, each by its windows. They are added as
+    whole numbers, so the order of the parts does not matter. A task holds one
+    copy and the text it spells out at once; the driver, one sum.
     """
     spark = docs.sparkSession
     sizes = np.cumsum([v.size for v in model.p.values()])
+    cuts = [0, *(round(share ** ((k + 1) / rounds)) for k in range(rounds))]
     for k in range(rounds):
         sent = spark.sparkContext.broadcast((vocabulary, model.p))
+        rate = RATE * (1 - k / rounds)
 
-        def train(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+        def train(batches: Iterator[pa.RecordBatch], sent=sent, rate=rate) -> Iterator[pa.RecordBatch]:
             vocabulary, params = sent.value
             net, units, seen = Attention(vocabulary.n_inputs, len(vocabulary.mass)), None, 0
             net.p = {name: v.copy() for name, v in params.items()}
@@ -237,11 +203,12 @@ def refine(docs: DataFrame, ranks, vocabulary: Vocabulary, model: Attention, end
             for batch in batches:
                 for _, offsets, data in chunks(batch.column(0), CHUNK):
                     units = units or UnitIds(ranks.value)
-                    windows = Windows(vocabulary, net.start, *_sequences(units, data, offsets, end))
+                    windows = Windows(vocabulary, net.start, *_sequences(units, data, offsets, end), stride=WINDOW)
                     order = rng.permutation(len(windows.row))
-                    for a in range(0, len(order), BATCH):
-                        before, wanted, classes = windows.cut(order[a:a + BATCH])
-                        adam.step(net.gradients(before, classes, wanted)[1], RATE)
+                    step = int(np.clip(len(order) // 50, 16, BATCH))
+                    for a in range(0, len(order), step):
+                        before, wanted, classes = windows.cut(order[a:a + step])
+                        adam.step(net.gradients(before, classes, wanted)[1], rate)
                     seen += len(order)
             if seen:
                 change = np.concatenate([(net.p[name] - v).ravel() for name, v in params.items()]).astype(np.float64)
@@ -261,7 +228,8 @@ def refine(docs: DataFrame, ranks, vocabulary: Vocabulary, model: Attention, end
                                               pa.array([x[1].tobytes() for x in held.values()], pa.binary())], ["piece", "seen", "change"])
 
         shape = "piece int, seen long, change binary"
-        own = docs.filter("train").filter(F.pmod(F.xxhash64("id", "key", F.lit("round")), F.lit(share)) == k).select("text")
+        dealt = F.pmod(F.xxhash64("id", "key", F.lit("round")), F.lit(share))
+        own = docs.filter("train").filter((dealt >= cuts[k]) & (dealt < cuts[k + 1])).select("text")
         found = own.mapInArrow(train, shape).repartition("piece").mapInArrow(add, shape).toArrow().sort_by("piece")
         if not found.num_rows:
             continue
@@ -310,9 +278,9 @@ def language_model_scores(docs: DataFrame, train=None, id_col: str = "doc_id", t
     share (c + 0.5) / (words + 0.5 * (different words + 1)) of all training
     texts, so unseen words are one further word of their class, as they are one
     word in the base. The logarithms of c are those that the base sums up. The
-    network starts from a bounded, documented sample and is then trained on a
-    fixed share of all training texts (``refine``); every text is scored whole,
-    in overlapping windows of 32 ids that score each word once.
+    network is trained on all training texts, each read once (``refine``);
+    every text is scored whole, in overlapping windows of 32 ids that score
+    each word once.
 
     Defined results: null and empty texts are the end token alone. Rows without
     an id are scored too. Rows that repeat an id with the same text repeat the
@@ -340,7 +308,7 @@ def language_model_scores(docs: DataFrame, train=None, id_col: str = "doc_id", t
     base = (summed.filter("kind < 2").repartition("chunk").sortWithinPartitions("chunk")
             .mapInArrow(_gather, "id long, key long, words long, known long, sums double").dropDuplicates(["id", "key"]))
     vocabulary = Vocabulary.of(uses, words, types)
-    net = refine(slim, ranks, vocabulary, fit_attention(slim, ranks, vocabulary, end), end)
+    net = refine(slim, ranks, vocabulary, start_attention(vocabulary), end)
     scored = slim.select("id", "key", "text").mapInArrow(_score(ranks, spark.sparkContext.broadcast((vocabulary, net.p)), end),
                                                          "id long, key long, n_subwords long, score double")
     scored = scored.alias("s").join(base.alias("b"), F.col("s.id").eqNullSafe(F.col("b.id")) & (F.col("s.key") == F.col("b.key")))

@@ -194,6 +194,20 @@ def test_rounds_average_the_copies(spark):
     assert all((idle.p[k] == v).all() for k, v in start().p.items())
 
 
+def test_network_learns_from_each_training_text(spark):
+    texts = ["north wind calm sea " * 20, "old grey stone " * 30]
+    table_of = lm.read_ranks(lm.VOCABULARY)
+    ranks = spark.sparkContext.broadcast(table_of)
+    _, offsets, data = next(chunks(pa.array(texts)))
+    ids, goals, _ = lm._sequences(lm.UnitIds(table_of), data, offsets, 50256)
+    uses, words = np.bincount(ids, minlength=50257), np.bincount(goals[goals >= 0], minlength=50257)
+    vocabulary = attention.Vocabulary.of(uses, words, words > 0)
+    for k, text in enumerate(texts):  # whichever round a text falls to, and be it the only one
+        docs = spark.createDataFrame([(k, k, text, True)], "id long, key long, text string, train boolean")
+        net = lm.refine(docs, ranks, vocabulary, lm.start_attention(vocabulary), 50256)
+        assert any((net.p[n] != v).any() for n, v in lm.start_attention(vocabulary).p.items())
+
+
 def test_scoring_equals_the_forward_pass():
     rng = np.random.default_rng(8)
     uses = rng.integers(1, 50, 300)
