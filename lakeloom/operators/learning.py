@@ -40,6 +40,12 @@ def stratified_split(df: DataFrame, label: str, key: list[str], train: float = 0
             .drop("_h", "_seq", "_size"))
 
 
+def dealt(df: DataFrame, key: list[str]) -> DataFrame:
+    """The rows, written once in files of about equal size, one for each core: the split leaves few files, of one label or several,
+    and the forest reads a file in one task at every level of its trees."""
+    return durable(df.repartition(df.sparkSession.sparkContext.defaultParallelism, *key), "dealt")
+
+
 def forest(numeric: list[str], categorical: list[str], label: str, trees: int = 50, depth: int = 10, seed: int = 42) -> Pipeline:
     """Index, one-hot, impute medians, assemble, 50 trees of depth 10."""
     index = StringIndexer(inputCols=[*categorical, label], outputCols=[*[f"{c}_ix" for c in categorical], "label_ix"],

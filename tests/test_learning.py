@@ -1,9 +1,11 @@
 """The scores of the learning job against a recount of the scored rows."""
 
 from collections import Counter
+from datetime import date
 
 import pytest
 from conftest import SF
+from pyspark.sql import functions as F
 
 from lakeloom.operators import learning
 from lakeloom.plans.campus import Campus
@@ -36,3 +38,25 @@ def test_scored_rows_are_written_once(spark, monkeypatch):
     rows = loading.scored(Campus(spark, SF))
     assert all("/scored-" in path for path in rows.inputFiles()) and "UDF" not in rows._jdf.queryExecution().toString()
     assert rows.count() == loading.enrollment_split(Campus(spark, SF)).filter("NOT is_train").count()
+
+
+def test_forest_rows_are_dealt_evenly(spark, monkeypatch, tmp_path):
+    grades = [0] * 3000 + list(range(1, 10)) * 20  # one grade has most rows, and all grades few tasks
+    keys = [20 * 10 * k + g for k, g in enumerate(grades)]
+    spark.createDataFrame([(k, k % 500, date(1995 + k % 3, 1 + k % 12, 1)) for k in keys], "o_orderkey long, o_custkey long, o_orderdate date").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.range(10).withColumnRenamed("id", "p_partkey").write.parquet(f"{tmp_path}/part.parquet")
+    spark.range(500).select(F.col("id").alias("c_custkey"), F.lit("BUILDING").alias("c_mktsegment"), F.lit("n").alias("c_name"),
+                            F.lit(1).alias("c_nationkey")).write.parquet(f"{tmp_path}/customer.parquet")
+    seen = []
+
+    class Stop(Exception):
+        pass
+
+    def train(df, *rest):
+        seen.extend(r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect())
+        raise Stop
+
+    monkeypatch.setattr(learning, "train_and_save", train)
+    with pytest.raises(Stop):
+        loading.scored(Campus(spark, str(tmp_path)))
+    assert sum(seen) == 2400 + 9 * 16 and len(seen) >= spark.sparkContext.defaultParallelism and max(seen) < 1.3 * sum(seen) / len(seen)
