@@ -89,11 +89,20 @@ class Adam:
 
     def step(self, g: dict[str, np.ndarray], rate: float) -> None:
         self.done += 1
-        scale = rate * min(1, self.done / 20) * np.sqrt(1 - 0.98**self.done) / (1 - 0.9**self.done)
+        scale = rate * min(1, self.done / 20) * (1 - 0.98**self.done) ** 0.5 / (1 - 0.9**self.done)
         for k, m in self.mean.items():
-            m += 0.1 * (g[k] - m)
-            self.square[k] += 0.02 * (g[k] * g[k] - self.square[k])
-            self.p[k] -= (scale * m / (np.sqrt(self.square[k]) + 1e-8)).astype(np.float32)
+            v, x = self.square[k], g[k] - m
+            x *= 0.1
+            m += x
+            np.multiply(g[k], g[k], out=x)
+            x -= v
+            x *= 0.02
+            v += x
+            np.sqrt(v, out=x)
+            x += 1e-8
+            np.divide(m, x, out=x)
+            x *= scale
+            self.p[k] -= x
 
 
 def _plain(x: np.ndarray) -> bool:
@@ -124,10 +133,13 @@ class Attention:
         q, k, v = (t.reshape(b, w, -1) for t in (q, k, v))
         a = np.matmul(q, k.transpose(0, 2, 1))
         a *= np.float32(q.shape[-1] ** -0.5)
-        a += np.triu(np.full((w, w), -1e9, np.float32), 1)
-        a -= a.max(2, keepdims=True)
+        past = np.tril(np.ones((w, w), a.dtype))
+        if not _plain(a):
+            a -= np.where(past > 0, a, -np.inf).max(2, keepdims=True)
+            np.minimum(a, 0, out=a)
         np.exp(a, out=a)
-        a /= a.sum(2, keepdims=True)
+        a *= past
+        a /= np.matmul(a, np.ones((w, 1), a.dtype))
         return {"x": x, "q": q, "k": k, "v": v, "a": a, "o": np.matmul(a, v)}
 
     def follow(self, x: np.ndarray, o: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -142,14 +154,45 @@ class Attention:
         flat = lambda t: t.reshape(inputs.size, -1)
         return f | {n: t.reshape(*inputs.shape, -1) for n, t in zip("yrz", self.follow(flat(f["x"]), flat(f["o"])), strict=True)}
 
+    def bounded(self, z: np.ndarray) -> bool:
+        """Whether lengths alone tell that all class logits of these rows are safe without taking off a maximum."""
+        if not len(z):
+            return True
+        longest = lambda x: float(np.einsum("ij,ij->i", x, x).max()) ** 0.5
+        return longest(z) * longest(self.p["out"].T) + float(np.abs(self.p["bias"]).max()) < LIMIT
+
+    def class_gradients(self, z: np.ndarray, classes: np.ndarray, together: int = 256) -> tuple[float, np.ndarray, np.ndarray, np.ndarray]:
+        """Mean loss of rows of wanted classes and its gradients by z, by ``out`` and by ``bias``, over as many rows at once as a cache holds."""
+        p, n = self.p, max(1, len(z))
+        by_out, by_bias, dz = np.zeros_like(p["out"]), np.zeros_like(p["bias"]), np.empty_like(z)
+        room = np.empty((min(together, len(z)), len(p["bias"])), z.dtype)
+        back, wide, loss, plain = np.ascontiguousarray(p["out"].T), np.ones(len(p["bias"]), z.dtype), 0.0, self.bounded(z)
+        for a in range(0, len(z), together):
+            rows = z[a:a + together]
+            d = np.matmul(rows, p["out"], out=room[:len(rows)])
+            d += p["bias"]
+            if not plain and not _plain(d):
+                d -= d.max(1, keepdims=True)
+            np.exp(d, out=d)
+            total = d @ wide
+            at = np.arange(len(rows)), classes[a:a + together]
+            loss -= float(np.log(np.maximum(d[at] / total, 1e-30)).sum())
+            d *= (1 / (total * z.dtype.type(n)))[:, None]
+            d[at] -= z.dtype.type(1 / n)
+            by_out += rows.T @ d
+            by_bias += d.sum(0)
+            dz[a:a + together] = d @ back
+        return loss / n, dz, by_out, by_bias
+
     def log_classes(self, z: np.ndarray, classes: np.ndarray, together: int = 512) -> np.ndarray:
         """Log probability of each row's class, over as many rows at once as a processor's cache holds."""
         p = self.p
         out = np.empty(len(z), np.float32)
+        plain = self.bounded(z)
         for a in range(0, len(z), together):
             logits = z[a:a + together] @ p["out"]
             logits += p["bias"]
-            if not _plain(logits):
+            if not plain and not _plain(logits):
                 high = logits.max(1, keepdims=True)
                 logits -= high
             own = logits[np.arange(len(logits)), classes[a:a + together]]
@@ -164,19 +207,8 @@ class Attention:
         own = np.flatnonzero(valid.ravel())
         x, o = flat(f["x"])[own], flat(f["o"])[own]
         y, r, z = self.follow(x, o)
-        prob = z @ p["out"]
-        prob += p["bias"]
-        if not _plain(prob):
-            prob -= prob.max(1, keepdims=True)
-        np.exp(prob, out=prob)
-        prob /= prob.sum(1, keepdims=True)
-        at = np.arange(len(own)), classes.ravel()[own]
-        loss = -np.log(np.maximum(prob[at], 1e-30)).mean() if len(own) else 0.0
-        d = prob
-        d[at] -= 1
-        d /= np.float32(max(1, len(own)))
-        g = {"out": z.T @ d, "bias": d.sum(0)}
-        dz = d @ p["out"].T
+        loss, dz, by_out, by_bias = self.class_gradients(z, classes.ravel()[own])
+        g = {"out": by_out, "bias": by_bias}
         g["down"] = r.T @ dz
         dr = (dz @ p["down"].T) * (r > 0)
         g["up"], g["bend"] = y.T @ dr, dr.sum(0)
@@ -185,9 +217,11 @@ class Attention:
         g["o"] = o.T @ dy[own]
         do = (dy @ p["o"].T).reshape(b, w, -1)
         dv = np.matmul(f["a"].transpose(0, 2, 1), do)
-        da = np.matmul(do, f["v"].transpose(0, 2, 1))
-        ds = f["a"] * (da - (da * f["a"]).sum(2, keepdims=True)) * np.float32(f["q"].shape[-1] ** -0.5)
-        dq, dk = np.matmul(ds, f["k"]), np.matmul(ds.transpose(0, 2, 1), f["q"])
+        ds = np.matmul(do, f["v"].transpose(0, 2, 1))
+        ds -= np.einsum("bij,bij->bi", do, f["o"])[:, :, None]
+        ds *= f["a"]
+        scale = np.float32(f["q"].shape[-1] ** -0.5)
+        dq, dk = np.matmul(ds, f["k"] * scale), np.matmul(ds.transpose(0, 2, 1), f["q"] * scale)
         dx = dy
         for n, t in (("q", dq), ("k", dk), ("v", dv)):
             g[n] = flat(f["x"]).T @ flat(t)
@@ -195,8 +229,11 @@ class Attention:
         g["place"] = np.zeros_like(p["place"])
         g["place"][:w] = dx.reshape(b, w, -1).sum(0)
         g["embed"] = np.zeros_like(p["embed"])
-        by = np.argsort(inputs.ravel(), kind="stable")
-        seen, first = np.unique(inputs.ravel()[by], return_index=True)
+        flat_inputs = inputs.ravel().astype(np.uint16) if len(p["embed"]) <= 1 << 16 else inputs.ravel()
+        by = np.argsort(flat_inputs, kind="stable")
+        held = flat_inputs[by]
+        first = np.flatnonzero(np.append(True, held[1:] != held[:-1]))
+        seen = held[first]
         g["embed"][seen] = np.add.reduceat(dx.reshape(b * w, -1)[by], first)
         return float(loss), g
 
@@ -227,8 +264,13 @@ class Attention:
                 np.minimum(weight, 0, out=weight)
             np.exp(weight, out=weight)
             weight *= past
-            seen = np.matmul(weight, value)[take]
-            y = p["embed"][before[take]] + p["place"][np.nonzero(take)[1]] + (seen[:, :-1] / seen[:, -1:]) @ p["o"]
+            own = np.flatnonzero(take)
+            seen = np.take(np.matmul(weight, value).reshape(take.size, -1), own, axis=0)
+            y = np.take(p["embed"], before.ravel()[own], axis=0)
+            y += np.take(p["place"], own % WINDOW, axis=0)
+            y += (seen[:, :-1] / seen[:, -1:]) @ p["o"]
             z = y + np.maximum(y @ p["up"] + p["bend"], 0) @ p["down"]
-            out += np.bincount(np.repeat(windows.row[part], take.sum(1)), self.log_classes(z, classes[take]), len(counts))
+            row = windows.row[part][own // WINDOW]
+            found = np.bincount(row - row[0], self.log_classes(z, classes.ravel()[own])) if len(own) else np.zeros(0)
+            out[row[0] if len(own) else 0:][:len(found)] += found
         return out

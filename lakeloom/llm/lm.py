@@ -43,6 +43,16 @@ def spaced_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     return out, stop - size, stop, row_counts(starts, offsets)
 
 
+_held: list = []
+
+
+def held_units(ranks) -> UnitIds:
+    """The ids of words, kept by a worker from task to task, so that it spells a word once; ``UnitIds`` bounds how many it remembers."""
+    if not _held or _held[0] != ranks.value:
+        _held[:] = [ranks.value, UnitIds(ranks.value)]
+    return _held[1]
+
+
 _PASSED = "ids array<long>, keys array<long>, words array<long>, token int, n long"
 _COUNTED = f"kind int, bucket int, chunk long, codes binary, counts binary, lasts binary, pair_word binary, pair_row binary, pair_many binary, {_PASSED}"
 _SUMMED = f"kind int, chunk long, sums binary, known binary, types long, {_PASSED}"
@@ -61,12 +71,8 @@ def _count(ranks, buckets: int, end: int):
     Kinds of rows: 0 words of one bucket, 1 the part's documents, 2 subword
     counts of training texts. A part is named by its task and its number there.
     """
-    made: list[UnitIds] = []
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if not made:
-            made.append(UnitIds(ranks.value))
-        units = made[0]
+        units = held_units(ranks)
         context = TaskContext.get()
         part = (context.partitionId() if context else 0) << 32
         subwords = np.zeros(end + 1, np.int64)
@@ -202,7 +208,7 @@ def refine(docs: DataFrame, ranks, vocabulary: Vocabulary, model: Attention, end
             adam, rng = Adam(net.p), np.random.Generator(np.random.PCG64(11))
             for batch in batches:
                 for _, offsets, data in chunks(batch.column(0), CHUNK):
-                    units = units or UnitIds(ranks.value)
+                    units = units or held_units(ranks)
                     windows = Windows(vocabulary, net.start, *_sequences(units, data, offsets, end), stride=WINDOW)
                     order = rng.permutation(len(windows.row))
                     step = int(np.clip(len(order) // 50, 16, BATCH))
@@ -247,7 +253,7 @@ def _score(ranks, model, end: int):
             vocabulary, params = model.value
             net = Attention(vocabulary.n_inputs, len(vocabulary.mass))
             net.p = params
-            made.extend([UnitIds(ranks.value), vocabulary, net])
+            made.extend([held_units(ranks), vocabulary, net])
         units, vocabulary, net = made
         for batch in batches:
             for first, offsets, data in chunks(batch.column("text"), CHUNK):

@@ -226,3 +226,27 @@ def test_scoring_equals_the_forward_pass():
         logp = np.take_along_axis(logits - high - np.log(np.exp(logits - high).sum(2, keepdims=True)), classes[:, :, None], 2)[:, :, 0]
         want = np.bincount(windows.row, np.where(wanted, logp, 0).sum(1), 3)
         assert wanted.sum() == (goals >= 0).sum() and np.allclose(net.score(vocabulary, ids, goals, counts), want, rtol=1e-4, atol=1e-4)
+
+
+def test_class_gradients_do_not_depend_on_blocks():
+    rng = np.random.default_rng(4)
+    for scale in (1, 60):  # with 60 sums of exponentials need their maximum taken off
+        net = attention.Attention(20, 6)
+        net.p = {k: v.astype(np.float64) * scale for k, v in net.p.items()}
+        z, classes = rng.standard_normal((300, 16)), rng.integers(0, 6, 300)
+        logits = z @ net.p["out"] + net.p["bias"]
+        logits -= logits.max(1, keepdims=True)
+        prob = np.exp(logits) / np.exp(logits).sum(1, keepdims=True)
+        d = (prob - np.eye(6)[classes]) / 300
+        for together in (7, 256, 1000):
+            got = net.class_gradients(z, classes, together)
+            for a, b in zip(got[1:], (d @ net.p["out"].T, z.T @ d, d.sum(0)), strict=True):
+                assert np.allclose(a, b)
+
+
+def test_a_worker_keeps_spelled_words():
+    table_of = lm.read_ranks(lm.VOCABULARY)
+    sent = lambda ranks: type("Sent", (), {"value": ranks})
+    units = lm.held_units(sent(table_of))
+    assert lm.held_units(sent(dict(table_of))) is units  # another task's copy of the vocabulary
+    assert lm.held_units(sent({bytes([k]): k for k in range(256)})) is not units
