@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeloom.llm.attention import WINDOW, Adam, Attention, Vocabulary, Windows
-from lakeloom.llm.common import chunks, durable, grouped, row_counts, spans, table, text_of
+from lakeloom.llm.common import SPACE, chunks, distinct, durable, grouped, row_counts, spans, table, text_of, word_hashes
 from lakeloom.llm.gam import fold
 from lakeloom.llm.packing import UnitIds, read_ranks
 from lakeloom.llm.pieces import gather
@@ -28,19 +28,14 @@ PIECE, SCALE = 512, 1 << 24
 CHUNK = 3 << 19
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
+_LOWER[SPACE] = 32
 
 
 def spaced_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The words of texts, A-Z in lower case, each after one space: bytes, starts, ends, words in each text."""
-    starts, ends = spans(data, offsets)
-    size = ends - starts + 1
-    stop = np.cumsum(size)
-    out = np.full(int(stop[-1]) if len(stop) else 0, 32, np.uint8)
-    if len(stop):
-        at = np.ones(len(out), bool)
-        at[stop - size] = False
-        out[at] = _LOWER[gather(data, starts, ends - starts)]
-    return out, stop - size, stop, row_counts(starts, offsets)
+    """The words of texts, A-Z in lower case, each after one space: bytes, starts (of the space), ends, words in each text."""
+    body = np.take(_LOWER, np.insert(data, offsets[:-1], 32))
+    starts, ends = spans(body, offsets[:0])
+    return body, starts - 1, ends, row_counts(starts, offsets + np.arange(len(offsets)))
 
 
 _held: list = []
@@ -53,6 +48,9 @@ def held_units(ranks) -> UnitIds:
     return _held[1]
 
 
+#: Texts in ids: the bytes of the text, its ids in two bytes each, how many each word has in one byte each (``LONG``: more follow).
+_SPELLED = "id long, key long, train boolean, n_bytes long, ids binary, sizes binary"
+LONG = 255
 _PASSED = "ids array<long>, keys array<long>, words array<long>, token int, n long"
 _COUNTED = f"kind int, bucket int, chunk long, codes binary, counts binary, lasts binary, pair_word binary, pair_row binary, pair_many binary, {_PASSED}"
 _SUMMED = f"kind int, chunk long, sums binary, known binary, types long, {_PASSED}"
@@ -65,49 +63,105 @@ def _batch(schema: str, rows: int, **columns) -> pa.RecordBatch:
                                       [name for name, _ in fields])
 
 
-def _count(ranks, buckets: int, end: int):
+def _words(units: UnitIds, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids of the words of texts laid end to end, ids in each word, words in each text."""
+    body, starts, ends, many = spaced_words(data, offsets)
+    if not len(starts):
+        return np.zeros(0, np.int32), np.zeros(0, np.int64), many
+    _, unit, at = units.units(body, starts, ends)
+    which = at[unit]
+    size = units.size[which]
+    return gather(units.flat, units.start[which], size), size, many
+
+
+def _per_text(sizes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Sums of sizes over so many at a time."""
+    return np.diff(np.append(0, np.cumsum(sizes))[np.append(0, np.cumsum(counts))])
+
+
+def _binary(values: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """A binary column of so many values in each row."""
+    offsets = np.append(0, np.cumsum(counts * values.itemsize)).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(offsets), pa.py_buffer(values.tobytes())])
+
+
+def _values(column: pa.Array, kind) -> tuple[np.ndarray, np.ndarray]:
+    """The values of a binary column laid end to end, and where each row ends."""
+    column = column.cast(pa.large_binary())
+    _, offsets, data = column.buffers()
+    offsets = np.frombuffer(offsets, np.int64)[column.offset:column.offset + len(column) + 1]
+    data = np.frombuffer(data, np.uint8)[offsets[0]:offsets[-1]] if data is not None else np.zeros(0, np.uint8)
+    return data.view(kind), (offsets[1:] - offsets[0]) // np.dtype(kind).itemsize
+
+
+def _spell(ranks):
+    """Each text in ids, so that it is spelled once for all that follows."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        units = held_units(ranks)
+        for batch in batches:
+            for first, offsets, data in chunks(batch.column("text"), CHUNK):
+                ids, size, many = _words(units, data, offsets)
+                entries = size // LONG + 1
+                sizes = np.full(int(entries.sum()), LONG, np.uint8)
+                sizes[np.cumsum(entries) - 1] = size % LONG
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(first, len(many)) for c in ("id", "key", "train")), pa.array(np.diff(offsets)),
+                                                  _binary(ids.astype(np.uint16), _per_text(size, many)), _binary(sizes, _per_text(entries, many))],
+                                                 ["id", "key", "train", "n_bytes", "ids", "sizes"])
+    return run
+
+
+def _spelled(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """Parts of a batch of ``CHUNK`` bytes of text: first row, ids of its words, ids in each word, words in each text."""
+    upto = np.append(0, np.cumsum(batch.column("n_bytes").to_numpy()))
+    at = 0
+    while at < batch.num_rows:
+        to = max(at + 1, int(np.searchsorted(upto, upto[at] + CHUNK, "right")) - 1)
+        ids, _ = _values(batch.column("ids").slice(at, to - at), np.uint16)
+        sizes, ends = _values(batch.column("sizes").slice(at, to - at), np.uint8)
+        last = np.flatnonzero(sizes < LONG)
+        yield at, ids.astype(np.int32), np.diff(np.cumsum(sizes, dtype=np.int64)[last], prepend=0), np.diff(np.searchsorted(last, ends), prepend=0)
+        at = to
+
+
+def _count(buckets: int, end: int):
     """Per part of the corpus: its words by bucket, with counts in training texts and the texts that hold them.
 
+    Different words differ in their ids, so words are told apart by these.
     Kinds of rows: 0 words of one bucket, 1 the part's documents, 2 subword
     counts of training texts. A part is named by its task and its number there.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units = held_units(ranks)
         context = TaskContext.get()
         part = (context.partitionId() if context else 0) << 32
         subwords = np.zeros(end + 1, np.int64)
         for batch in batches:
-            names = batch.schema.names
-            learns = batch.column(names.index("train")).to_numpy(zero_copy_only=False).astype(bool)
-            for first, offsets, data in chunks(batch.column(names.index("text")), CHUNK):
-                rows = len(offsets) - 1
-                own = slice(first, first + rows)
-                body, starts, ends, many = spaced_words(data, offsets)
-                train = learns[own]
+            learns = batch.column("train").to_numpy(zero_copy_only=False).astype(bool)
+            for first, ids, size, many in _spelled(batch):
+                rows = len(many)
+                train = learns[first:first + rows]
                 subwords[end] += train.sum()
-                if len(starts):
-                    codes, unit, at = units.units(body, starts, ends)
+                if len(size):
+                    stop = np.cumsum(size)
+                    codes, one, unit = distinct(word_hashes(ids.astype(np.uint16).view(np.uint8), 2 * (stop - size), 2 * stop))
                     row = np.repeat(np.arange(rows), many)
                     counts = np.bincount(unit[train[row]], minlength=len(codes))
-                    size = units.size[at]
-                    last = units.flat[units.start[at] + size - 1].astype(np.uint16)
-                    subwords += np.bincount(gather(units.flat, units.start[at], size), np.repeat(counts, size), end + 1).astype(np.int64)
+                    last = ids[stop[one] - 1].astype(np.uint16)
+                    subwords += np.bincount(gather(ids, (stop - size)[one], size[one]), np.repeat(counts, size[one]), end + 1).astype(np.int64)
                     pair, tf = np.unique(unit * np.int64(rows) + row, return_counts=True)
                     word, in_row = pair // rows, pair % rows
                     bucket = ((codes >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
                     cut = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
-                    stop = np.append(cut[1:], len(codes))
-                    lo, hi = np.searchsorted(word, cut), np.searchsorted(word, stop)
+                    to = np.append(cut[1:], len(codes))
+                    lo, hi = np.searchsorted(word, cut), np.searchsorted(word, to)
                     yield _batch(_COUNTED, len(cut), kind=[0] * len(cut), bucket=bucket[cut].astype(np.int32), chunk=[part] * len(cut),
-                                 codes=[codes[a:b].tobytes() for a, b in zip(cut, stop, strict=True)],
-                                 counts=[counts[a:b].astype(np.uint32).tobytes() for a, b in zip(cut, stop, strict=True)],
-                                 lasts=[last[a:b].tobytes() for a, b in zip(cut, stop, strict=True)],
+                                 codes=[codes[a:b].tobytes() for a, b in zip(cut, to, strict=True)],
+                                 counts=[counts[a:b].astype(np.uint32).tobytes() for a, b in zip(cut, to, strict=True)],
+                                 lasts=[last[a:b].tobytes() for a, b in zip(cut, to, strict=True)],
                                  pair_word=[(word[a:b] - c).astype(np.uint32).tobytes() for a, b, c in zip(lo, hi, cut, strict=True)],
                                  pair_row=[in_row[a:b].astype(np.uint32).tobytes() for a, b in zip(lo, hi, strict=True)],
                                  pair_many=[tf[a:b].astype(np.uint32).tobytes() for a, b in zip(lo, hi, strict=True)])
                 yield _batch(_COUNTED, 1, kind=[1], bucket=[part % buckets], chunk=[part], words=[many.tolist()],
-                             ids=[batch.column(names.index("id")).slice(first, rows).to_pylist()],
-                             keys=[batch.column(names.index("key")).slice(first, rows).to_pylist()])
+                             ids=[batch.column("id").slice(first, rows).to_pylist()], keys=[batch.column("key").slice(first, rows).to_pylist()])
                 part += 1
         seen = np.flatnonzero(subwords)
         yield _batch(_COUNTED, len(seen), kind=[2] * len(seen), bucket=seen % buckets, token=seen, n=subwords[seen])
@@ -160,22 +214,20 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                           pa.array(words), pa.array(known), pa.array(sums)], ["id", "key", "words", "known", "sums"])
 
 
-def _sequences(units: UnitIds, data: np.ndarray, offsets: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _ended(ids: np.ndarray, size: np.ndarray, many: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Ids of texts, each with the end token, laid end to end; the last id of each word where the word starts, else -1; ids in each text."""
-    body, starts, ends, many = spaced_words(data, offsets)
-    if not len(starts):
-        return np.full(len(many), end, np.int32), np.full(len(many), end), np.ones(len(many), np.int64)
-    _, unit, at = units.units(body, starts, ends)
-    which = at[unit]
-    size = units.size[which]
-    count = np.bincount(np.repeat(np.arange(len(many)), many), size, len(many)).astype(np.int64)
-    ids = gather(units.flat, units.start[which], size)
+    count = _per_text(size, many)
     goals = np.full(len(ids), -1)
     stop = np.cumsum(size)
     goals[stop - size] = ids[stop - 1]
     return np.insert(ids, np.cumsum(count), end), np.insert(goals, np.cumsum(count), end), count + 1
 
 
+def _sequences(units: UnitIds, data: np.ndarray, offsets: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same straight from texts."""
+    return _ended(*_words(units, data, offsets), end)
+
+
 def start_attention(vocabulary: Vocabulary) -> Attention:
     """A network that knows how frequent the classes are in all training texts, and nothing of contexts."""
     model = Attention(vocabulary.n_inputs, len(vocabulary.mass))
@@ -192,9 +244,12 @@ def refine(docs: DataFrame, ranks, vocabulary: Vocabulary, model: Attention, end
     round every partition trains a copy on the windows of its part of the
     texts, and changes are averaged, each by its windows. They are added as
     whole numbers, so the order of the parts does not matter. A task holds one
-    copy and the text it spells out at once; the driver, one sum.
+    copy and the text it reads at once; the driver, one sum. ``docs`` has its
+    texts in ids, as ``_spell`` gives them, or is spelled in each round.
     """
     spark = docs.sparkSession
+    if "ids" not in docs.columns:
+        docs = docs.mapInArrow(_spell(ranks), _SPELLED)
     sizes = np.cumsum([v.size for v in model.p.values()])
     cuts = [0, *(round(share ** ((k + 1) / rounds)) for k in range(rounds))]
     for k in range(rounds):
@@ -203,13 +258,12 @@ def refine(docs: DataFrame, ranks, vocabulary: Vocabulary, model: Attention, end
 
         def train(batches: Iterator[pa.RecordBatch], sent=sent, rate=rate) -> Iterator[pa.RecordBatch]:
             vocabulary, params = sent.value
-            net, units, seen = Attention(vocabulary.n_inputs, len(vocabulary.mass)), None, 0
+            net, seen = Attention(vocabulary.n_inputs, len(vocabulary.mass)), 0
             net.p = {name: v.copy() for name, v in params.items()}
             adam, rng = Adam(net.p), np.random.Generator(np.random.PCG64(11))
             for batch in batches:
-                for _, offsets, data in chunks(batch.column(0), CHUNK):
-                    units = units or held_units(ranks)
-                    windows = Windows(vocabulary, net.start, *_sequences(units, data, offsets, end), stride=WINDOW)
+                for _, *spelled in _spelled(batch):
+                    windows = Windows(vocabulary, net.start, *_ended(*spelled, end), stride=WINDOW)
                     order = rng.permutation(len(windows.row))
                     step = int(np.clip(len(order) // 50, 16, BATCH))
                     for a in range(0, len(order), step):
@@ -235,7 +289,7 @@ def refine(docs: DataFrame, ranks, vocabulary: Vocabulary, model: Attention, end
 
         shape = "piece int, seen long, change binary"
         dealt = F.pmod(F.xxhash64("id", "key", F.lit("round")), F.lit(share))
-        own = docs.filter("train").filter((dealt >= cuts[k]) & (dealt < cuts[k + 1])).select("text")
+        own = docs.filter("train").filter((dealt >= cuts[k]) & (dealt < cuts[k + 1])).select("n_bytes", "ids", "sizes")
         found = own.mapInArrow(train, shape).repartition("piece").mapInArrow(add, shape).toArrow().sort_by("piece")
         if not found.num_rows:
             continue
@@ -245,7 +299,7 @@ def refine(docs: DataFrame, ranks, vocabulary: Vocabulary, model: Attention, end
     return model
 
 
-def _score(ranks, model, end: int):
+def _score(model, end: int):
     made: list = []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -253,11 +307,11 @@ def _score(ranks, model, end: int):
             vocabulary, params = model.value
             net = Attention(vocabulary.n_inputs, len(vocabulary.mass))
             net.p = params
-            made.extend([held_units(ranks), vocabulary, net])
-        units, vocabulary, net = made
+            made.extend([vocabulary, net])
+        vocabulary, net = made
         for batch in batches:
-            for first, offsets, data in chunks(batch.column("text"), CHUNK):
-                ids, goals, count = _sequences(units, data, offsets, end)
+            for first, *spelled in _spelled(batch):
+                ids, goals, count = _ended(*spelled, end)
                 row = np.repeat(np.arange(len(count)), count)[goals >= 0]
                 score = (net.score(vocabulary, ids, goals, count) - np.bincount(row, vocabulary.norm[goals[goals >= 0]], len(count))) / np.log(10)
                 yield pa.RecordBatch.from_arrays([batch.column("id").slice(first, len(count)), batch.column("key").slice(first, len(count)),
@@ -278,7 +332,7 @@ def language_model_scores(docs: DataFrame, train=None, id_col: str = "doc_id", t
     text its share of the sum, so no count table is collected or broadcast.
 
     Model: the words, A-Z in lower case, are spelled in subword ids, each after
-    a space, with an end token. Where a word starts, the network predicts its
+    a space, with an end token; ids are written once, and all steps read them. Where a word starts, the network predicts its
     class from the ids before it; a class is the words with the same last id,
     or, for rarer last ids, of a group of them. Within its class a word has the
     share (c + 0.5) / (words + 0.5 * (different words + 1)) of all training
@@ -296,11 +350,14 @@ def language_model_scores(docs: DataFrame, train=None, id_col: str = "doc_id", t
     """
     spark = docs.sparkSession
     table_of = read_ranks(vocabulary)
+    if max(end, *table_of.values()) >= 1 << 16:
+        raise ValueError("ids are kept in two bytes: the vocabulary may have 65536")
     ranks = spark.sparkContext.broadcast(table_of)
     slim = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text"),
                        F.coalesce(F.lit(True) if train is None else train, F.lit(False)).alias("train")).withColumn("key", F.xxhash64("text"))
-    buckets = max(16, -(-docs.count() // BUCKET_DOCS))
-    counted = slim.mapInArrow(_count(ranks, buckets, end), _COUNTED)
+    spelled = durable(slim.mapInArrow(_spell(ranks), _SPELLED), "spelled")
+    buckets = max(16, -(-spelled.count() // BUCKET_DOCS))
+    counted = spelled.mapInArrow(_count(buckets, end), _COUNTED)
     summed = durable(counted.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(_score_words, _SUMMED), "summed")
     uses, words, types = np.zeros((3, end + 1))
     seen = (summed.filter("kind IN (2, 3)").groupBy("kind", "token").agg(F.sum("n").alias("n"), F.sum("types").alias("types")).fillna(0).toArrow())
@@ -314,9 +371,9 @@ def language_model_scores(docs: DataFrame, train=None, id_col: str = "doc_id", t
     base = (summed.filter("kind < 2").repartition("chunk").sortWithinPartitions("chunk")
             .mapInArrow(_gather, "id long, key long, words long, known long, sums double").dropDuplicates(["id", "key"]))
     vocabulary = Vocabulary.of(uses, words, types)
-    net = refine(slim, ranks, vocabulary, start_attention(vocabulary), end)
-    scored = slim.select("id", "key", "text").mapInArrow(_score(ranks, spark.sparkContext.broadcast((vocabulary, net.p)), end),
-                                                         "id long, key long, n_subwords long, score double")
+    net = refine(spelled, ranks, vocabulary, start_attention(vocabulary), end)
+    scored = spelled.select("id", "key", "n_bytes", "ids", "sizes").mapInArrow(_score(spark.sparkContext.broadcast((vocabulary, net.p)), end),
+                                                                               "id long, key long, n_subwords long, score double")
     scored = scored.alias("s").join(base.alias("b"), F.col("s.id").eqNullSafe(F.col("b.id")) & (F.col("s.key") == F.col("b.key")))
     tokens = F.col("words") + 1
     return scored.select(

@@ -12,7 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import SPACE, chunks, span_hashes, table, text_of
+from lakeloom.llm.common import SPACE, chunks, distinct, table, text_of, word_hashes
 from lakeloom.llm.pieces import gather
 
 VOCABULARY = os.path.join(os.environ.get("TOKENIZER_DIR", "/opt/tokenizers"), "byte_bpe_50k.tiktoken")
@@ -22,6 +22,10 @@ WINDOW_TOKENS, REMEMBERED = 1 << 20, 1_000_000
 # Fixed value: how byte-level BPE vocabularies of this family part a text before merging
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+# Fixed value: what stands before the last byte of any white space beyond ASCII in UTF-8
+_MAY_END_SPACE = np.zeros(256, bool)
+_MAY_END_SPACE[[0xC2, 0x9A, 0x80, 0x81]] = True
+
 
 def unit_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Where the pattern always parts a text: around white space, the last space of a run going with the next word."""
@@ -44,6 +48,8 @@ class UnitIds:
         import tiktoken
 
         self.encoding = tiktoken.Encoding("units", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.length = np.zeros(max(ranks.values(), default=0) + 1, np.int64)
+        self.length[np.fromiter(ranks.values(), np.int64, len(ranks))] = np.fromiter(map(len, ranks), np.int64, len(ranks))
         self._forget()
 
     def _forget(self) -> None:
@@ -52,24 +58,45 @@ class UnitIds:
         self.size = np.zeros(0, np.int64)
         self.flat = np.zeros(0, np.int32)
 
+    def _spell(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of units laid end to end, and how many each has.
+
+        The pattern parts a unit that follows others as it parts it alone, if it
+        begins with a space and the one before does not end in white space;
+        such units are spelled in one call.
+        """
+        last, before = data[ends - 1], data[np.maximum(ends - 2, 0)]
+        joined = (data[starts] == 32) & (ends - starts > 1) & (((last > 32) & (last < 127)) | ((last > 127) & ~_MAY_END_SPACE[before]))
+        size = np.zeros(len(starts), np.int64)
+        a, b = starts[joined], ends[joined]
+        ids = self.encoding.encode_to_numpy(str(gather(data, a, b - a), "utf-8")).astype(np.int32)
+        size[joined] = np.diff(np.searchsorted(np.cumsum(self.length[ids]), np.cumsum(b - a)) + 1, prepend=0)
+        text, alone = memoryview(data), np.flatnonzero(~joined)
+        if not len(alone):
+            return ids, size
+        others = [self.encoding.encode_ordinary(str(text[a:b], "utf-8")) for a, b in zip(starts[alone].tolist(), ends[alone].tolist(), strict=True)]
+        size[alone] = [len(x) for x in others]
+        flat, of_joined = np.empty(int(size.sum()), np.int32), np.repeat(joined, size)
+        flat[of_joined] = ids
+        flat[~of_joined] = [i for x in others for i in x]
+        return flat, size
+
     def units(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Hashes of the different units, the unit of each span, and the place of each unit's ids in ``start`` and ``size``."""
-        hashes, one, unit = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
+        hashes, one, unit = distinct(word_hashes(data, starts, ends))
         at = np.searchsorted(self.keys, hashes)
         new = np.flatnonzero(np.append(self.keys, np.uint64(0))[at] != hashes)
         if len(new) and len(self.keys) and len(self.keys) + len(new) > REMEMBERED:
             self._forget()
             at, new = np.zeros(len(hashes), np.int64), np.arange(len(hashes))
         if len(new):
-            text = memoryview(data)
-            ids = [self.encoding.encode_ordinary(str(text[a:b], "utf-8")) for a, b in zip(starts[one[new]].tolist(), ends[one[new]].tolist(), strict=True)]
-            size = np.array([len(x) for x in ids], np.int64)
+            ids, size = self._spell(data, starts[one[new]], ends[one[new]])
             self.start = np.insert(self.start, at[new], len(self.flat) + np.cumsum(size) - size)
             self.size = np.insert(self.size, at[new], size)
-            self.flat = np.concatenate([self.flat, np.fromiter((i for x in ids for i in x), np.int32, int(size.sum()))])
+            self.flat = np.concatenate([self.flat, ids])
             self.keys = np.insert(self.keys, at[new], hashes[new])
             at = np.searchsorted(self.keys, hashes)
-        return hashes, unit.ravel(), at
+        return hashes, unit, at
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts laid end to end, and how many each has."""

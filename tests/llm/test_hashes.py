@@ -57,3 +57,27 @@ def test_operators_tell_twins_apart(spark):
     items = spark.createDataFrame([(70, f"{a} {words(0, 6)} {a}")], "item_id long, text string")
     leaks = tiling.decontaminate(frame(spark, [(1, f"{b} {words(0, 3)} {b}"), (2, f"{a} {words(0, 6)} {a}")]), items)
     assert [(r.doc_id, r.item_id) for r in leaks.collect()] == [(2, 70)]
+
+
+def test_short_spans_are_hashed_by_their_bytes():
+    rng = np.random.default_rng(5)
+    data = rng.integers(0, 3, 4000, dtype=np.uint8)
+    starts = rng.integers(0, 3900, 3000)
+    ends = starts + rng.integers(0, 60, 3000)
+    whole = [data[a:b].tobytes() for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+    codes, one, which = common.distinct(common.word_hashes(data, starts, ends))
+    assert len(codes) == len(set(whole)) and [whole[k] for k in one[which].tolist()] == whole
+    assert (np.sort(codes) == codes).all() and not len(common.distinct(common.word_hashes(data[:0], starts[:0], ends[:0]))[0])
+
+
+def test_units_are_spelled_together_as_alone():
+    units = packing.UnitIds(packing.read_ranks(packing.VOCABULARY))
+    rng = np.random.default_rng(7)
+    ends = ["a", "b1", "'s", "é", "\u0085", "\u00a0", "\u2003", "\u3000", "漢", "!", "\x1c", "à", "\u1680"]
+    words = [lead + "".join(rng.choice(ends, rng.integers(1, 4))) for lead in [" ", "  ", "", "\n"] for _ in range(500)] + [" ", "  "]
+    words = [words[k] for k in rng.permutation(len(words))]
+    size = np.array([len(w.encode()) for w in words])
+    stop = np.cumsum(size)
+    ids, many = units._spell(np.frombuffer("".join(words).encode(), np.uint8), stop - size, stop)
+    want = [units.encoding.encode_ordinary(w) for w in words]
+    assert many.tolist() == [len(x) for x in want] and ids.tolist() == [i for x in want for i in x]

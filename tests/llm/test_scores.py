@@ -250,3 +250,43 @@ def test_a_worker_keeps_spelled_words():
     units = lm.held_units(sent(table_of))
     assert lm.held_units(sent(dict(table_of))) is units  # another task's copy of the vocabulary
     assert lm.held_units(sent({bytes([k]): k for k in range(256)})) is not units
+
+
+def test_texts_in_ids_are_the_texts():
+    table_of = lm.read_ranks(lm.VOCABULARY)
+    ranks = type("Sent", (), {"value": table_of})
+    rng = random.Random(3)
+    texts = ["", "One two\tTHREE  ", None, "x" * 3000 + " " + "9!" * 700, "\n", *(" ".join(rng.choice(["Öl", "a", "漢字", "\u00a0b", "c\u3000"]) for _ in range(50)) for _ in range(4))]
+    data = pa.array([t or "" for t in texts])
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(range(len(texts))), pa.array([True] * len(texts)), data], ["id", "key", "train", "text"])
+    written = pa.Table.from_batches(lm._spell(ranks)(iter([batch]))).combine_chunks().to_batches()[0]
+    _, offsets, flat = next(chunks(data))
+    want = lm._sequences(lm.UnitIds(table_of), flat, offsets, 50256)
+    for part in (written, written.slice(1), written.slice(3, 2)):
+        at = next(k for k in range(len(texts)) if written["id"][k] == part["id"][0])
+        (first, *spelled), = lm._spelled(part)
+        upto = np.append(0, np.cumsum(want[2]))
+        own = slice(upto[at], upto[at + part.num_rows])
+        assert first == 0 and all((a == b).all() for a, b in zip(lm._ended(*spelled, 50256), (want[0][own], want[1][own], want[2][at:at + part.num_rows]), strict=True))
+
+
+def test_only_wanted_places_ask():
+    rng = np.random.default_rng(2)
+    net = attention.Attention(20, 6)
+    x, y = rng.integers(0, 20, (5, 32)), rng.integers(0, 6, (5, 32))
+    wanted = np.zeros((5, 32), bool)
+    wanted[0, [3, 31]] = wanted[2, 7] = wanted[4, [0, 1, 9]] = True
+    f, whole = net.attend(x, wanted), net.forward(x)
+    assert f["a"].shape == (5, 3, 32)
+    assert np.allclose(f["o"], whole["o"].reshape(160, -1)[wanted.ravel()], atol=1e-6)
+    none = net.gradients(x, y, np.zeros((5, 32), bool))
+    assert none[0] == 0 and not any(v.any() for v in none[1].values())
+
+
+def test_words_wanted_by_windows():
+    rng = np.random.default_rng(9)
+    uses = rng.integers(1, 50, 300)
+    vocabulary = attention.Vocabulary.of(uses, uses, np.ones(300), own_classes=20, shared=4, own_inputs=100)
+    ids = rng.integers(0, 300, 250)
+    windows = attention.Windows(vocabulary, vocabulary.n_inputs - 1, ids, np.where(rng.random(250) < 0.4, ids, -1), np.array([1, 40, 9, 200]))
+    assert windows.wants().tolist() == windows.cut(slice(None))[1].sum(1).tolist()
