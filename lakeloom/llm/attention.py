@@ -68,21 +68,23 @@ class Windows:
     def __init__(self, vocabulary: Vocabulary, start: int, ids: np.ndarray, goals: np.ndarray, counts: np.ndarray, stride: int = STRIDE) -> None:
         self.counts, self.begin = counts, np.cumsum(counts) - counts
         self.row, self.first, self.scored = windows_of(counts, stride)
-        self.starts, self.classes = goals >= 0, vocabulary.classes[goals]
-        self.inputs = np.append(start, vocabulary.inputs[ids[:-1]])
+        self.starts, self.classes = goals >= 0, np.append(vocabulary.classes, -1)[goals]
+        self.inputs = np.empty(len(ids), np.int64)
+        self.inputs[1:] = vocabulary.inputs[ids[:-1]]
         self.inputs[self.begin] = start
 
     def cut(self, which: np.ndarray | slice) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of some windows: the inputs before each place, where a word is wanted, and the classes."""
+        """Of some windows: the inputs before each place, where a word is wanted, and the classes, -1 where no word starts."""
         row, place = self.row[which], np.arange(WINDOW)
         begin, first = self.begin[row], self.first[which]
         room = (self.counts[row] - first)[:, None]
         at = (begin + first)[:, None] + place
         np.minimum(at, (begin + self.counts[row] - 1)[:, None], out=at)
-        wanted = np.take(self.starts, at)
+        classes = np.take(self.classes, at)
+        wanted = classes >= 0
         wanted &= place < room
         wanted &= place >= self.scored[which][:, None]
-        return np.take(self.inputs, at), wanted, np.take(self.classes, at)
+        return np.take(self.inputs, at), wanted, classes
 
     def wants(self) -> np.ndarray:
         """How many places each window wants."""

@@ -24,8 +24,8 @@ BUCKET_DOCS = 6000
 ROUNDS, SHARE, BATCH, RATE = 3, 64, 128, 0.01
 #: Numbers of the network that are averaged together, and what one is multiplied by to be added as a whole number.
 PIECE, SCALE = 512, 1 << 24
-#: Bytes of text that a task spells out at once.
-CHUNK = 3 << 19
+#: Bytes of text that a task works on at once, and that it spells at once.
+CHUNK, SPELLED_AT_ONCE = 3 << 19, 3 << 20
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _LOWER[SPACE] = 32
@@ -48,11 +48,11 @@ def held_units(ranks) -> UnitIds:
     return _held[1]
 
 
-#: Texts in ids: the bytes of the text, its ids in two bytes each, how many each word has in one byte each (``LONG``: more follow).
+#: Texts in ids: the bytes of the text, its ids and the end token in two bytes each, how many each word has in one byte each (``LONG``: more follow).
 _SPELLED = "id long, key long, train boolean, n_bytes long, ids binary, sizes binary"
 LONG = 255
 _PASSED = "ids array<long>, keys array<long>, words array<long>, token int, n long"
-_COUNTED = f"kind int, bucket int, chunk long, codes binary, counts binary, lasts binary, pair_word binary, pair_row binary, pair_many binary, {_PASSED}"
+_COUNTED = f"kind int, bucket int, chunk long, codes binary, counts binary, lasts binary, held binary, pair_row binary, pair_many binary, {_PASSED}"
 _SUMMED = f"kind int, chunk long, sums binary, known binary, types long, {_PASSED}"
 
 
@@ -63,15 +63,26 @@ def _batch(schema: str, rows: int, **columns) -> pa.RecordBatch:
                                       [name for name, _ in fields])
 
 
-def _words(units: UnitIds, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Ids of the words of texts laid end to end, ids in each word, words in each text."""
+def _words(units: UnitIds, data: np.ndarray, offsets: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids of the words of texts laid end to end, ids in each word, words in each text; the end token is the last word of each."""
     body, starts, ends, many = spaced_words(data, offsets)
+    stop = np.cumsum(many)
     if not len(starts):
-        return np.zeros(0, np.int32), np.zeros(0, np.int64), many
+        return np.full(len(many), end, np.int32), np.ones(len(many), np.int64), many + 1
     _, unit, at = units.units(body, starts, ends)
-    which = at[unit]
-    size = units.size[which]
-    return gather(units.flat, units.start[which], size), size, many
+    which = np.insert(at[unit], stop, len(units.size))
+    size = np.append(units.size, 1)[which]
+    return gather(np.append(units.flat, np.int32(end)), np.append(units.start, len(units.flat))[which], size), size, many + 1
+
+
+def _narrow(values: np.ndarray) -> bytes:
+    """Whole numbers in as few bytes each as the largest takes."""
+    return values.astype(np.min_scalar_type(values.max(initial=0))).tobytes()
+
+
+def _wide(data: bytes, n: int) -> np.ndarray:
+    """The ``n`` numbers of ``_narrow``."""
+    return np.frombuffer(data, f"u{len(data) // max(n, 1) or 1}")
 
 
 def _per_text(sizes: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -94,13 +105,13 @@ def _values(column: pa.Array, kind) -> tuple[np.ndarray, np.ndarray]:
     return data.view(kind), (offsets[1:] - offsets[0]) // np.dtype(kind).itemsize
 
 
-def _spell(ranks):
+def _spell(ranks, end: int):
     """Each text in ids, so that it is spelled once for all that follows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         units = held_units(ranks)
         for batch in batches:
-            for first, offsets, data in chunks(batch.column("text"), CHUNK):
-                ids, size, many = _words(units, data, offsets)
+            for first, offsets, data in chunks(batch.column("text"), SPELLED_AT_ONCE):
+                ids, size, many = _words(units, data, offsets, end)
                 entries = size // LONG + 1
                 sizes = np.full(int(entries.sum()), LONG, np.uint8)
                 sizes[np.cumsum(entries) - 1] = size % LONG
@@ -111,7 +122,7 @@ def _spell(ranks):
 
 
 def _spelled(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """Parts of a batch of ``CHUNK`` bytes of text: first row, ids of its words, ids in each word, words in each text."""
+    """Parts of a batch of ``CHUNK`` bytes of text: first row, ids of its words and ends, ids in each, words and end in each text."""
     upto = np.append(0, np.cumsum(batch.column("n_bytes").to_numpy()))
     at = 0
     while at < batch.num_rows:
@@ -140,8 +151,10 @@ def _count(buckets: int, end: int):
                 rows = len(many)
                 train = learns[first:first + rows]
                 subwords[end] += train.sum()
+                word = np.ones(len(size), bool)
+                word[np.cumsum(many) - 1] = False
+                stop, size, many = np.cumsum(size)[word], size[word], many - 1
                 if len(size):
-                    stop = np.cumsum(size)
                     codes, one, unit = distinct(word_hashes(ids.astype(np.uint16).view(np.uint8), 2 * (stop - size), 2 * stop))
                     row = np.repeat(np.arange(rows), many)
                     counts = np.bincount(unit[train[row]], minlength=len(codes))
@@ -149,17 +162,18 @@ def _count(buckets: int, end: int):
                     subwords += np.bincount(gather(ids, (stop - size)[one], size[one]), np.repeat(counts, size[one]), end + 1).astype(np.int64)
                     pair, tf = np.unique(unit * np.int64(rows) + row, return_counts=True)
                     word, in_row = pair // rows, pair % rows
+                    held = np.bincount(word, minlength=len(codes))
                     bucket = ((codes >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
                     cut = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
                     to = np.append(cut[1:], len(codes))
                     lo, hi = np.searchsorted(word, cut), np.searchsorted(word, to)
                     yield _batch(_COUNTED, len(cut), kind=[0] * len(cut), bucket=bucket[cut].astype(np.int32), chunk=[part] * len(cut),
                                  codes=[codes[a:b].tobytes() for a, b in zip(cut, to, strict=True)],
-                                 counts=[counts[a:b].astype(np.uint32).tobytes() for a, b in zip(cut, to, strict=True)],
+                                 counts=[_narrow(counts[a:b]) for a, b in zip(cut, to, strict=True)],
                                  lasts=[last[a:b].tobytes() for a, b in zip(cut, to, strict=True)],
-                                 pair_word=[(word[a:b] - c).astype(np.uint32).tobytes() for a, b, c in zip(lo, hi, cut, strict=True)],
-                                 pair_row=[in_row[a:b].astype(np.uint32).tobytes() for a, b in zip(lo, hi, strict=True)],
-                                 pair_many=[tf[a:b].astype(np.uint32).tobytes() for a, b in zip(lo, hi, strict=True)])
+                                 held=[_narrow(held[a:b]) for a, b in zip(cut, to, strict=True)],
+                                 pair_row=[_narrow(in_row[a:b]) for a, b in zip(lo, hi, strict=True)],
+                                 pair_many=[_narrow(tf[a:b]) for a, b in zip(lo, hi, strict=True)])
                 yield _batch(_COUNTED, 1, kind=[1], bucket=[part % buckets], chunk=[part], words=[many.tolist()],
                              ids=[batch.column("id").slice(first, rows).to_pylist()], keys=[batch.column("key").slice(first, rows).to_pylist()])
                 part += 1
@@ -179,14 +193,18 @@ def _score_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not parts.num_rows:
             continue
         read = lambda name, kind, parts=parts: [np.frombuffer(x, kind) for x in parts[name].to_pylist()]
-        codes, counts = read("codes", np.uint64), read("counts", np.uint32)
+        codes = read("codes", np.uint64)
+        wide = lambda name, many, parts=parts: [_wide(x, n) for x, n in zip(parts[name].to_pylist(), many, strict=True)]
+        sizes = [len(c) for c in codes]
+        counts, held = wide("counts", sizes), wide("held", sizes)
+        pairs = [int(h.sum(dtype=np.int64)) for h in held]
         all_codes, place = np.unique(np.concatenate(codes), return_inverse=True)
         total = np.bincount(place.ravel(), np.concatenate(counts), len(all_codes))
         value = np.log10(total + 0.5)
-        place = np.split(place.ravel(), np.cumsum([len(c) for c in codes])[:-1])
+        place = np.split(place.ravel(), np.cumsum(sizes)[:-1])
         sums, known = [], []
-        for at, word, row, many in zip(place, read("pair_word", np.uint32), read("pair_row", np.uint32), read("pair_many", np.uint32), strict=True):
-            which = at[word]
+        for at, in_rows, row, many in zip(place, held, wide("pair_row", pairs), wide("pair_many", pairs), strict=True):
+            which = np.repeat(at, in_rows)
             sums.append(np.bincount(row, many * value[which]).tobytes())
             known.append(np.bincount(row, many * (total[which] > 0)).astype(np.uint32).tobytes())
         yield _batch(_SUMMED, len(sums), kind=[0] * len(sums), chunk=parts["chunk"].to_pylist(), sums=sums, known=known)
@@ -214,18 +232,17 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                           pa.array(words), pa.array(known), pa.array(sums)], ["id", "key", "words", "known", "sums"])
 
 
-def _ended(ids: np.ndarray, size: np.ndarray, many: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _goals(ids: np.ndarray, size: np.ndarray, many: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Ids of texts, each with the end token, laid end to end; the last id of each word where the word starts, else -1; ids in each text."""
-    count = _per_text(size, many)
     goals = np.full(len(ids), -1)
     stop = np.cumsum(size)
     goals[stop - size] = ids[stop - 1]
-    return np.insert(ids, np.cumsum(count), end), np.insert(goals, np.cumsum(count), end), count + 1
+    return ids, goals, np.diff(stop[np.cumsum(many) - 1], prepend=0)
 
 
 def _sequences(units: UnitIds, data: np.ndarray, offsets: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The same straight from texts."""
-    return _ended(*_words(units, data, offsets), end)
+    return _goals(*_words(units, data, offsets, end))
 
 
 def start_attention(vocabulary: Vocabulary) -> Attention:
@@ -249,7 +266,7 @@ def refine(docs: DataFrame, ranks, vocabulary: Vocabulary, model: Attention, end
     """
     spark = docs.sparkSession
     if "ids" not in docs.columns:
-        docs = docs.mapInArrow(_spell(ranks), _SPELLED)
+        docs = docs.mapInArrow(_spell(ranks, end), _SPELLED)
     sizes = np.cumsum([v.size for v in model.p.values()])
     cuts = [0, *(round(share ** ((k + 1) / rounds)) for k in range(rounds))]
     for k in range(rounds):
@@ -263,7 +280,7 @@ def refine(docs: DataFrame, ranks, vocabulary: Vocabulary, model: Attention, end
             adam, rng = Adam(net.p), np.random.Generator(np.random.PCG64(11))
             for batch in batches:
                 for _, *spelled in _spelled(batch):
-                    windows = Windows(vocabulary, net.start, *_ended(*spelled, end), stride=WINDOW)
+                    windows = Windows(vocabulary, net.start, *_goals(*spelled), stride=WINDOW)
                     order = rng.permutation(len(windows.row))
                     step = int(np.clip(len(order) // 50, 16, BATCH))
                     for a in range(0, len(order), step):
@@ -299,7 +316,7 @@ def refine(docs: DataFrame, ranks, vocabulary: Vocabulary, model: Attention, end
     return model
 
 
-def _score(model, end: int):
+def _score(model):
     made: list = []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -310,10 +327,10 @@ def _score(model, end: int):
             made.extend([vocabulary, net])
         vocabulary, net = made
         for batch in batches:
-            for first, *spelled in _spelled(batch):
-                ids, goals, count = _ended(*spelled, end)
-                row = np.repeat(np.arange(len(count)), count)[goals >= 0]
-                score = (net.score(vocabulary, ids, goals, count) - np.bincount(row, vocabulary.norm[goals[goals >= 0]], len(count))) / np.log(10)
+            for first, ids, size, many in _spelled(batch):
+                _, goals, count = _goals(ids, size, many)
+                within = np.bincount(np.repeat(np.arange(len(many)), many), np.take(vocabulary.norm, ids[np.cumsum(size) - 1]), len(many))
+                score = (net.score(vocabulary, ids, goals, count) - within) / np.log(10)
                 yield pa.RecordBatch.from_arrays([batch.column("id").slice(first, len(count)), batch.column("key").slice(first, len(count)),
                                                   pa.array(count), pa.array(score)], ["id", "key", "n_subwords", "score"])
     return run
@@ -355,7 +372,7 @@ def language_model_scores(docs: DataFrame, train=None, id_col: str = "doc_id", t
     ranks = spark.sparkContext.broadcast(table_of)
     slim = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text"),
                        F.coalesce(F.lit(True) if train is None else train, F.lit(False)).alias("train")).withColumn("key", F.xxhash64("text"))
-    spelled = durable(slim.mapInArrow(_spell(ranks), _SPELLED), "spelled")
+    spelled = durable(slim.mapInArrow(_spell(ranks, end), _SPELLED), "spelled")
     buckets = max(16, -(-spelled.count() // BUCKET_DOCS))
     counted = spelled.mapInArrow(_count(buckets, end), _COUNTED)
     summed = durable(counted.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(_score_words, _SUMMED), "summed")
@@ -372,7 +389,7 @@ def language_model_scores(docs: DataFrame, train=None, id_col: str = "doc_id", t
             .mapInArrow(_gather, "id long, key long, words long, known long, sums double").dropDuplicates(["id", "key"]))
     vocabulary = Vocabulary.of(uses, words, types)
     net = refine(spelled, ranks, vocabulary, start_attention(vocabulary), end)
-    scored = spelled.select("id", "key", "n_bytes", "ids", "sizes").mapInArrow(_score(spark.sparkContext.broadcast((vocabulary, net.p)), end),
+    scored = spelled.select("id", "key", "n_bytes", "ids", "sizes").mapInArrow(_score(spark.sparkContext.broadcast((vocabulary, net.p))),
                                                                                "id long, key long, n_subwords long, score double")
     scored = scored.alias("s").join(base.alias("b"), F.col("s.id").eqNullSafe(F.col("b.id")) & (F.col("s.key") == F.col("b.key")))
     tokens = F.col("words") + 1

@@ -259,7 +259,7 @@ def test_texts_in_ids_are_the_texts():
     texts = ["", "One two\tTHREE  ", None, "x" * 3000 + " " + "9!" * 700, "\n", *(" ".join(rng.choice(["Öl", "a", "漢字", "\u00a0b", "c\u3000"]) for _ in range(50)) for _ in range(4))]
     data = pa.array([t or "" for t in texts])
     batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(range(len(texts))), pa.array([True] * len(texts)), data], ["id", "key", "train", "text"])
-    written = pa.Table.from_batches(lm._spell(ranks)(iter([batch]))).combine_chunks().to_batches()[0]
+    written = pa.Table.from_batches(lm._spell(ranks, 50256)(iter([batch]))).combine_chunks().to_batches()[0]
     _, offsets, flat = next(chunks(data))
     want = lm._sequences(lm.UnitIds(table_of), flat, offsets, 50256)
     for part in (written, written.slice(1), written.slice(3, 2)):
@@ -267,7 +267,7 @@ def test_texts_in_ids_are_the_texts():
         (first, *spelled), = lm._spelled(part)
         upto = np.append(0, np.cumsum(want[2]))
         own = slice(upto[at], upto[at + part.num_rows])
-        assert first == 0 and all((a == b).all() for a, b in zip(lm._ended(*spelled, 50256), (want[0][own], want[1][own], want[2][at:at + part.num_rows]), strict=True))
+        assert first == 0 and all((a == b).all() for a, b in zip(lm._goals(*spelled), (want[0][own], want[1][own], want[2][at:at + part.num_rows]), strict=True))
 
 
 def test_only_wanted_places_ask():
@@ -290,3 +290,11 @@ def test_words_wanted_by_windows():
     ids = rng.integers(0, 300, 250)
     windows = attention.Windows(vocabulary, vocabulary.n_inputs - 1, ids, np.where(rng.random(250) < 0.4, ids, -1), np.array([1, 40, 9, 200]))
     assert windows.wants().tolist() == windows.cut(slice(None))[1].sum(1).tolist()
+
+
+def test_numbers_in_few_bytes():
+    for most in (0, 255, 256, 65535, 65536, 1 << 33):
+        values = np.array([most, 0, 1 if most else 0])
+        held = lm._narrow(values)
+        assert lm._wide(held, 3).tolist() == values.tolist() and len(held) == 3 * np.min_scalar_type(most).itemsize
+    assert lm._wide(lm._narrow(np.zeros(0, np.int64)), 0).tolist() == []
